@@ -44,7 +44,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 def size_hint(df: DataFrame) -> int:
     """Catalyst's estimate of df in bytes: for a scan, the size of its files."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def partitions_for(df: DataFrame, bytes_each: int) -> int:

@@ -5,11 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shotlake.llm import packing, tokens
+from shotlake.llm import fingerprints, packing, sharding, tokens
 from shotlake.llm.common import documents
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.compare_with_edits(documents(spark, sf_dir))
+    own, edited, following = (F.col(f"fingerprints.{c}") for c in ("own", "edited", "following"))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.written(own).alias("fingerprint"),
+        fingerprints.written(edited).alias("edited_fingerprint"),
+        fingerprints.likeness(own, edited).alias("near_edited"),
+        fingerprints.likeness(own, following).alias("near_next"),
+    )
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir))
 
@@ -18,9 +33,26 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.shuffle_shards(documents(spark, sf_dir), shards=sharding.SHARDS)
+    text = F.coalesce("record.text", F.lit(""))
+    key = F.coalesce(F.col("record.doc_id").cast("string"), F.lit("null"))
+    return rows.select(
+        F.col("record.doc_id").alias("doc_id"),
+        (F.octet_length(text) + F.lit(16)).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("key").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"),
+        sharding.shard_of(key, sharding.SHARDS + 1).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_fingerprints": op1_fingerprints,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
+    "op10_sharding": op10_sharding,
 }
 
 ORACLE_SQL: dict[str, str] = {}
