@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.llm import fingerprints, packing, sharding, tokens
+from shotlake.llm import fingerprints, packing, secret_scan, sharding, tokens
 from shotlake.llm.common import documents
 
 
@@ -33,6 +33,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = secret_scan.scan(documents(spark, sf_dir))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    kinds = [k for k, *_ in secret_scan.BASE]
+    return rows.select(
+        F.col("record.doc_id").alias("doc_id"),
+        *[count(k) for k in kinds],
+        F.sha2(secret_scan.written(F.col("spans"), kinds), 256).alias("base_sha256"),
+        secret_scan.written(F.col("spans")).alias("spans"),
+    )
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sharding.shuffle_shards(documents(spark, sf_dir), shards=sharding.SHARDS)
     text = F.coalesce("record.text", F.lit(""))
@@ -52,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
+    "op9_secrets": op9_secrets,
     "op10_sharding": op10_sharding,
 }
 
