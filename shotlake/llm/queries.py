@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.llm import fingerprints, packing, secret_scan, sharding, tokens
+from shotlake.llm import fingerprints, mixing, packing, secret_scan, sharding, tokens
 from shotlake.llm.common import documents
 
 
@@ -33,6 +33,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.counted(documents(spark, sf_dir))
+    return mixing.positions(rows, mixing.weights(rows))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = secret_scan.scan(documents(spark, sf_dir))
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
+    "op8_mixing": op8_mixing,
     "op9_secrets": op9_secrets,
     "op10_sharding": op10_sharding,
 }
