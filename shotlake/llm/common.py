@@ -56,3 +56,11 @@ def partitions_for(df: DataFrame, bytes_each: int) -> int:
 def unit_hash(*cols: Column, seed: int = SEED) -> Column:
     """Seeded hash of cols as a non-negative long below 2^63."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 1)
+
+
+def release(spark: SparkSession) -> None:
+    """Let the context cleaner drop shuffle files that no plan refers to any more."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

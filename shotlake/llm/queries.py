@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.llm import fingerprints, mixing, packing, secret_scan, sharding, tokens
+from shotlake.llm import fingerprints, jaccard_join, mixing, packing, secret_scan, sharding, tokens
 from shotlake.llm.common import documents
 
 
@@ -25,6 +25,10 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(documents(spark, sf_dir))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir))
 
@@ -67,6 +71,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
     "op8_mixing": op8_mixing,
