@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import array
+import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,12 +12,17 @@ from pyspark.sql import DataFrame
 #: Name of the vocabulary file in public_tokenizers.
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 1_500_000
 #: Texts longer than this many code points are counted in overlapping chunks.
 CHUNK = 65_536
 OVERLAP = 1_024
 
 
+#: A word of ASCII and Latin-1 lower-case letters, then any ASCII marks but the apostrophe: the pre-tokenizer
+#: makes its letters one piece and its marks another.
+PLAIN = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+
+
 class Words:
     """Ids of white-space separated words, each encoded once by the library.
 
@@ -39,6 +45,10 @@ class Words:
         self.remembered = remembered
         self.counts: dict[bytes, int] = {}
         self.packed: dict[bytes, bytes] = {}
+        self.marks: dict[bytes, list[int]] = {}
+        # byte-level alphabet: bytes without a visible Latin-1 character of their own count on from 256
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self.visible = dict(zip(own, own)) | {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in set(own))}
 
     @staticmethod
     def split(data: bytes) -> list[bytes]:
@@ -51,9 +61,26 @@ class Words:
         if len(known) + len(new) > self.remembered:
             known.clear()
             new = set(words)
-        new = list(new)
-        found = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        known.update((w, value(e.ids)) for w, e in zip(new, found))
+        odd = []
+        for w in new:
+            m = PLAIN.fullmatch(w)
+            if not m:
+                odd.append(w)
+                continue
+            letters, marks = m.groups()
+            ids = [t.id for t in self.library.model.tokenize(letters.decode("latin-1").translate(self.visible))]
+            if marks:
+                ids += self._marks(marks)
+            known[w] = value(ids)
+        found = self.library.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
+        known.update((w, value(e.ids)) for w, e in zip(odd, found))
+
+    def _marks(self, marks: bytes) -> list[int]:
+        if marks not in self.marks:
+            if len(self.marks) > 10_000:
+                self.marks.clear()
+            self.marks[marks] = self.library.encode(marks.decode(), add_special_tokens=False).ids
+        return self.marks[marks]
 
     def count(self, data: bytes) -> int:
         """Number of ids of a text given as UTF-8."""
