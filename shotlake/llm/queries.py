@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.llm import fingerprints, jaccard_join, mixing, packing, secret_scan, sharding, tokens
+from shotlake.llm import embedding_dedup, fingerprints, jaccard_join, mixing, packing, secret_scan, sharding, tokens
 from shotlake.llm.common import documents
 
 
@@ -37,6 +37,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.counted(documents(spark, sf_dir))
     return mixing.positions(rows, mixing.weights(rows))
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_token_counts": op3_token_counts,
     "op5_packing": op5_packing,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op8_mixing": op8_mixing,
     "op9_secrets": op9_secrets,
     "op10_sharding": op10_sharding,
