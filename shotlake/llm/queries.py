@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.llm import embedding_dedup, fingerprints, jaccard_join, mixing, packing, secret_scan, sharding, tokens
+from shotlake.llm import embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, secret_scan, sharding, tokens, toxicity
 from shotlake.llm.common import documents
 
 
@@ -33,6 +33,12 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows = toxicity.score(docs, toxicity.train(docs, labels))
+    return rows.select(F.col("record.doc_id").alias("doc_id"), "p_insult", "p_contempt", "p_toxic", "toxic")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -41,6 +47,10 @@ def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.counted(documents(spark, sf_dir))
     return mixing.positions(rows, mixing.weights(rows))
@@ -77,8 +87,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_token_counts": op3_token_counts,
+    "op4_toxicity": op4_toxicity,
     "op5_packing": op5_packing,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_quality": op7_quality,
     "op8_mixing": op8_mixing,
     "op9_secrets": op9_secrets,
     "op10_sharding": op10_sharding,
