@@ -1,19 +1,62 @@
-"""A corpus from raw documents: stages that each apply one operator of shotlake.llm."""
+"""A corpus from raw documents: stages that each apply one operator of shotlake.llm to all that came before.
+
+Toxic documents go; of documents that are alike one stays; secrets are masked; sources are mixed to tempered
+weights, which repeats documents of small sources and drops none; token ids are packed into sequences.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shotlake.llm import jaccard_join, mixing, packing, secret_scan, toxicity
+from shotlake.llm.common import documents, materialise, release
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the chain, fitted on the labelled ones among docs, doesn't call toxic."""
+    chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, chain).where("not toxic").select("record.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least doc_id of each group of linked ones; documents without an id stay."""
+    found = jaccard_join.join_components(docs)
+    gone = materialise(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
+    release(spark)
+    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked."""
+    return secret_scan.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document at least once, small sources more often."""
+    return mixing.mix(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(docs)
+
 
 #: (name, function of (spark, docs, sf_dir)); each result is written and read again as the next one's docs.
-STAGES: list = []
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("jaccard_join", drop_near_duplicates),
+    ("secret_scan", mask_secrets),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-#: The stages learn models and tokenise; SQL can't express them.
+#: The first stage learns a model and the last tokenises, which SQL can't express.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from shotlake.llm.common import documents, materialise
-
+    """Apply STAGES to the documents; all but the last result are written to the shared folder."""
     docs = documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
