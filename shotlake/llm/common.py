@@ -34,11 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df as Parquet into the shared folder and read it back: lineage is cut, and a lost executor
-    costs at most the tasks that it ran."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    """Write df as Parquet into the shared folder and read it back: lineage is cut, a lost executor costs at most
+    the tasks that it ran, and the shuffle files behind df are removed."""
+    spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    path, was = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, was)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -57,10 +61,3 @@ def unit_hash(*cols: Column, seed: int = SEED) -> Column:
     """Seeded hash of cols as a non-negative long below 2^63."""
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), *cols), 1)
 
-
-def release(spark: SparkSession) -> None:
-    """Let the context cleaner drop shuffle files that no plan refers to any more."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()

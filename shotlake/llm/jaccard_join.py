@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shotlake.llm.common import id_and_text, materialise, partitions_for, release
+from shotlake.llm.common import id_and_text, materialise, partitions_for
 from shotlake.llm.components import components
 
 WORDS, PERCENT = 5, 80
@@ -374,9 +374,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     dropped.
     """
     rows = shingle_classes(docs, id_col, text_col, words, percent)
-    release(docs.sparkSession)
     found = components(materialise(class_links(rows, percent), "links"))
-    release(docs.sparkSession)
     classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("class"))
     named = classes.join(found, classes["class"] == found["node"], "left").select(F.col("digest").alias("of"), F.coalesce("component", "class").alias("component"))
     joined = rows.select("doc_id", "n_shingles", "digest").join(named, (F.col("digest") == F.col("of")) & (F.col("n_shingles") > 0), "left")
