@@ -136,7 +136,7 @@ def entries(spark, sf_dir) -> DataFrame:
     corner = "concat_ws(' ', n % 80, -(n % 170), n % 80, -(n % 170) + 1.5, n % 80 + 0.5, -(n % 170) + 1.5, n % 80 + 0.5, -(n % 170), n % 80, -(n % 170))"
     link = lambda href, title: F.struct(href.alias("href"), title.alias("title"))
     url = F.concat(F.lit("s3://bucket/"), F.col("name"), F.lit(".h5"))
-    return rows.select(
+    entry = F.struct(
         (F.col("n") % 17 != 3).alias("online_access_flag"),
         F.when(F.col("po") < 2, "LPCLOUD").otherwise("ORNL_CLOUD").alias("data_center"),
         F.when(F.col("po") < 2, F.col("name")).alias("producer_granule_id"),
@@ -147,6 +147,7 @@ def entries(spark, sf_dir) -> DataFrame:
         F.col("p").alias("product"),
         F.col("po").alias("product_order"),
     )
+    return rows.select(F.explode(F.array(entry)).alias("e")).select("e.*")
 
 
 def listing(spark, sf_dir) -> DataFrame:

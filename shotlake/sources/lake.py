@@ -8,7 +8,7 @@ from collections.abc import Iterable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructType
 
 from shotlake.functions.geometry import RINGS
 from shotlake.schema import lake_schema
@@ -97,7 +97,7 @@ def read_regions(spark: SparkSession, path: str) -> DataFrame:
     return f.select("region_id", "part_id", F.when(beyond, F.raise_error(F.lit("coordinates aren't degrees"))).otherwise(rings).alias("rings"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(BinaryType())
 def point_wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
     """Points as little-endian WKB, for export."""
     return pd.Series([None if pd.isna(x) or pd.isna(y) else struct.pack("<BIdd", 1, 1, x, y) for x, y in zip(lon, lat)])
