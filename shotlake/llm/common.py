@@ -47,8 +47,9 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def size_hint(df: DataFrame) -> int:
-    """Catalyst's estimate of df in bytes: for a scan, the size of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's estimate of df in bytes: for a scan, the size of its files; 0 where it knows none."""
+    found = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return found if found < 1 << 60 else 0
 
 
 def partitions_for(df: DataFrame, bytes_each: int) -> int:
