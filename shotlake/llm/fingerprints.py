@@ -10,9 +10,8 @@ from shotlake.llm.expressions import let, upto
 
 #: Units of a gram and grams of a window: texts that share K + W - 1 units in a row share a fingerprint.
 K, W = 4, 5
-#: A unit: one character of a script written without spaces, or up to 24 others between white space.
-_UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
-UNIT = rf"[{_UNSPACED}]|[^\x20\x09-\x0D{_UNSPACED}]{{1,24}}"
+#: A unit: up to 24 characters of the scripts below U+0E00, or one other character, between white space.
+UNIT = r"[\x21-\x7E\u00A1-\u0DFF]{1,24}|[^\x20\x09-\x0D]"
 #: Stored bytes of text that a range of neighbours holds.
 RANGE_BYTES = 8 << 20
 MOST_RANGES = 8192
@@ -39,7 +38,7 @@ def winnow(text: Column, k: int = K, w: int = W) -> Column:
         return F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(-(1 << 32))).bitwiseOR(low - i))
 
     def least(values: Column) -> Column:
-        windows = F.transform(upto(F.size(values) - (w - 1)), lambda i: F.array_min(F.slice(values, i + 1, w)))
+        windows = F.transform(upto(F.size(values) - (w - 1)), lambda i: F.least(*[values[i + j] for j in range(w)]))
         return F.when(F.size(values) == 0, values).when(F.size(values) < w, F.array(F.array_min(values))).otherwise(F.array_distinct(windows))
 
     units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(0))
