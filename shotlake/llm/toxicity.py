@@ -14,7 +14,11 @@ from shotlake.llm.common import SEED
 from shotlake.llm.linear import Sparse, fit, predict
 
 #: Labelled rows that the models are fitted on at most, columns that they keep at most, folds, rejection.
-TRAIN, COLUMNS, FOLDS, THRESHOLD = 6_000, 8_192, 3, 0.5
+TRAIN, COLUMNS, FOLDS, THRESHOLD = 6_000, 8_192, 3, 0.35
+#: Standard deviations by which a column's presence must tell a category from chance to be kept.
+MARGIN = 4.0
+#: Rounds of a fit.
+ROUNDS = 150
 #: Hashed columns; bytes of the word beginnings that are features beside whole words.
 BITS, BEGINNINGS = 22, (3, 4, 5, 6)
 #: Words whose features a worker remembers before it starts afresh.
@@ -64,7 +68,8 @@ def fit_chain(features: list[np.ndarray], labels: np.ndarray, columns: int = COL
     """Fit a chain on rows of hashed features and a matrix of 0/1 labels, one column a category.
 
     Later models see out-of-fold probabilities of earlier categories, so that they meet errors like those at
-    prediction. The columns kept are those whose presence tells the most about any category.
+    prediction. The columns kept are those whose presence speaks most for any category, by MARGIN at least: what is
+    common in harmless texts must not outweigh a few toxic words in a long one.
     """
     n, flat = len(features), np.concatenate(features)
     kinds, code = np.unique(flat, return_inverse=True)
@@ -73,8 +78,9 @@ def fit_chain(features: list[np.ndarray], labels: np.ndarray, columns: int = COL
     worth = np.zeros(len(kinds))
     for y in labels.T:
         hit, p = np.bincount(code, y[row], len(kinds)), y.mean()
-        worth = np.maximum(worth, np.abs(hit - p * total) / np.sqrt(total * max(p * (1 - p), 1e-9) + 1))
-    kept = np.sort(np.argsort(-np.where(total > 1, worth, -1), kind="stable")[:columns])
+        worth = np.maximum(worth, (hit - p * total) / np.sqrt(total * max(p * (1 - p), 1e-9) + 1))
+    best = np.argsort(-np.where(total > 1, worth, -1), kind="stable")[:columns]
+    kept = np.sort(best[worth[best] >= MARGIN])
     place = np.full(len(kinds), -1)
     place[kept] = np.arange(len(kept))
     bounds = np.cumsum([0, *[len(f) for f in features]])
@@ -83,13 +89,13 @@ def fit_chain(features: list[np.ndarray], labels: np.ndarray, columns: int = COL
     dense, models = np.zeros((n, 0)), []
     everything = Sparse(rows, None, len(kept))
     for k, y in enumerate(labels.T):
-        models.append(fit(everything, dense, y))
+        models.append(fit(everything, dense, y, rounds=ROUNDS))
         if k + 1 < labels.shape[1]:
             out = np.zeros(n)
             for f in range(folds):
                 inside, outside = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
                 if len(inside) and len(outside):
-                    w = fit(Sparse([rows[i] for i in inside], None, len(kept)), dense[inside], y[inside])
+                    w = fit(Sparse([rows[i] for i in inside], None, len(kept)), dense[inside], y[inside], rounds=ROUNDS)
                     out[outside] = predict(Sparse([rows[i] for i in outside], None, len(kept)), dense[outside], w)
             dense = np.concatenate([dense, out[:, None]], 1)
     return Chain(kinds[kept].tolist(), models)
