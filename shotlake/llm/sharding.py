@@ -50,6 +50,8 @@ def _hashable(docs: DataFrame) -> list[Column]:
 
 
 def write_shards(docs: DataFrame, path: str, **options) -> None:
-    """Write shuffle_shards as Parquet: a folder for each shard, whose files are read in the order of slots."""
-    out = shuffle_shards(docs, **options).select("shard", "slot", "record.*")
+    """Write shuffle_shards as Parquet: a folder for each shard, whose files are read in the order of slots. A
+    column of docs named shard or slot is written as record_shard or record_slot."""
+    own = {c: f"record_{c}" if c.lower() in ("shard", "slot") else c for c in docs.columns}
+    out = shuffle_shards(docs, **options).select("shard", "slot", *[F.col(f"record.`{c}`").alias(n) for c, n in own.items()])
     out.repartition("shard").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
