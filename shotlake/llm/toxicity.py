@@ -73,7 +73,9 @@ def fit_chain(features: list[np.ndarray], labels: np.ndarray, columns: int = COL
     """
     n, flat = len(features), np.concatenate(features)
     kinds, code = np.unique(flat, return_inverse=True)
-    row = np.repeat(np.arange(n), [len(f) for f in features])
+    code = code.astype(np.int32)
+    del flat
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(f) for f in features])
     total = np.bincount(code, minlength=len(kinds))
     worth = np.zeros(len(kinds))
     for y in labels.T:
@@ -85,6 +87,7 @@ def fit_chain(features: list[np.ndarray], labels: np.ndarray, columns: int = COL
     place[kept] = np.arange(len(kept))
     bounds = np.cumsum([0, *[len(f) for f in features]])
     rows = [c[c >= 0] for c in (place[code[a:b]] for a, b in zip(bounds, bounds[1:]))]
+    del code, row, place
     fold = np.arange(n) % folds
     dense, models = np.zeros((n, 0)), []
     everything = Sparse(rows, None, len(kept))
@@ -124,7 +127,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     found = joined.mapInArrow(_features, "id long, " + ", ".join(f"{c} int" for c in names) + ", features array<int>").toArrow().sort_by("id")
     if not found.num_rows:
         return None
-    features = [np.asarray(v.values.to_numpy(zero_copy_only=False), np.int64) for v in found["features"]]
+    features = [v.values.to_numpy(zero_copy_only=False) for v in found["features"]]
     return fit_chain(features, np.stack([found[c].to_numpy() for c in names], 1).astype(float))
 
 
