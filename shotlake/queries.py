@@ -19,7 +19,6 @@ from shotlake.operators.crossovers import crossovers
 from shotlake.plans.tile_plan import open_tiles, plan_tiles
 from shotlake.sources.listings import parse_entries
 
-_D = "CAST({} AS DOUBLE)"
 #: Columns of shots in SQL that engines share; k is the order's key, day the days since 2018 began.
 SHOT = {
     "shot_number": "k + 1000000",
