@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shotlake.llm.common import id_and_text, materialise, partitions_for
@@ -343,14 +343,20 @@ def _ddl(schema: pa.Schema) -> str:
     return ", ".join(f"{f.name} {names[str(f.type)]}" for f in schema)
 
 
+def _classes(rows: DataFrame, *more: Column) -> DataFrame:
+    """(digest, class, more) of all rows that can link: class is the least doc_id of the digest's rows, also of those
+    that sent no tokens because their block holds a copy."""
+    return rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("class"), *more)
+
+
 def class_links(rows: DataFrame, percent: int = PERCENT, part: int = PART) -> DataFrame:
     """Links (a, b) between classes, each named by its least doc_id: enough to connect all that are linked.
 
     A pair of classes that is similar shares a prefix token, and so meets in the group of that token's least
     class. A group of more than `part` classes is cut into parts, and each pair of parts is compared.
     """
-    classes = rows.where("reach > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("class"), *[F.any_value(c).alias(c) for c in ("n_shingles", "reach", "shared")])
-    classes = materialise(classes.drop("digest"), "classes")
+    classes = _classes(rows, F.any_value("n_shingles").alias("n_shingles"), F.max("reach").alias("reach"), F.max_by("shared", "reach").alias("shared"))
+    classes = materialise(classes.where("reach > 0").drop("digest"), "classes")
     posts = classes.select("class", F.explode(F.slice("shared", F.lit(1), F.col("reach"))).alias("token"))
     hubs = posts.groupBy("token").agg(F.min("class").alias("hub"), F.count("*").alias("holders")).where("holders > 1").drop("holders")
     members = materialise(posts.join(hubs, "token").select("hub", "class").distinct(), "members")
@@ -375,7 +381,7 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     rows = shingle_classes(docs, id_col, text_col, words, percent)
     found = components(materialise(class_links(rows, percent), "links"))
-    classes = rows.where("n_shingles > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("class"))
+    classes = _classes(rows)
     named = classes.join(found, classes["class"] == found["node"], "left").select(F.col("digest").alias("of"), F.coalesce("component", "class").alias("component"))
     joined = rows.select("doc_id", "n_shingles", "digest").join(named, (F.col("digest") == F.col("of")) & (F.col("n_shingles") > 0), "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -202,6 +202,22 @@ def test_jaccard_join_against_brute_force(spark, part, monkeypatch):
     assert len({c for _, _, c in got}) < len(got) - 40
 
 
+@pytest.mark.parametrize("order", ["descending", "shuffled"])
+def test_jaccard_join_of_copies_in_one_block(spark, order):
+    words = [f"w{i}" for i in range(60)]
+    a, near = " ".join(words), " ".join(words[:-2] + ["x", "y"])
+    rows = [(30, a), (25, a), (20, near)]
+    rng = random.Random(order)
+    for i in range(100, 190):
+        group = i % 12
+        rows.append((i, " ".join([f"g{group}"] + [f"u{group}x{k}" for k in range(40)] + rng.choice([[], [], ["z"], ["y", "x"]]))))
+    rows.sort(reverse=True)
+    if order == "shuffled":
+        rng.shuffle(rows)
+    got = {tuple(r) for r in jaccard_join.join_components(documents(spark, *rows).coalesce(1)).collect()}
+    assert got == jaccard_components(rows)
+
+
 def test_jaccard_join_of_odd_rows(spark):
     got = jaccard_join.join_components(documents(spark, *ODD)).collect()
     plain = sorted({tuple(r) for r in got if r.doc_id is not None})
