@@ -46,14 +46,46 @@ def nearest(x: np.ndarray, c: np.ndarray, k: int) -> np.ndarray:
     return np.concatenate(out) if out else np.empty((0, k), np.int64)
 
 
+def merged(c: np.ndarray, n: np.ndarray, reach: float) -> np.ndarray:
+    """Centroids c of n members each: the most populous one left takes in those within reach of it, as their mean."""
+    left, out = np.ones(len(c), bool), []
+    for k in np.argsort(-n, kind="stable"):
+        if left[k]:
+            near = left & (((c - c[k]) ** 2).sum(1) <= reach * reach)
+            near[k] = True
+            left &= ~near
+            out.append(np.average(c[near], axis=0, weights=np.maximum(n[near], 1e-9)))
+    return np.stack(out)
+
+
+def searched(x: np.ndarray, c: np.ndarray, probes: int, reach: float) -> list[list[int]]:
+    """Of each row, the lists that it searches, its own first: the `probes` nearest, and all others with a centroid
+    within 2 * reach unless the plane between the cells of both is further than reach. No vector within reach of
+    the row is missed that lies within reach of its own centroid."""
+    first, out = nearest(x, c, probes), []
+    norms = (c * c).sum(1)
+    apart = np.sqrt(np.maximum(norms[:, None] + norms - 2 * c @ c.T, 0))
+    for a in range(0, len(x), 4096):
+        y, f = x[a : a + 4096], first[a : a + 4096]
+        d = np.maximum((y * y).sum(1)[:, None] + norms - 2 * y @ c.T, 0)
+        own = np.take_along_axis(d, f[:, :1], 1)
+        more = (d <= (2 * reach) ** 2 + 1e-9) & (d - own <= 2 * reach * apart[f[:, 0]] + 1e-9)
+        np.put_along_axis(more, f, False, 1)
+        out += [[*p, *np.flatnonzero(m).tolist()] for p, m in zip(f.tolist(), more)]
+    return out
+
+
 class Index:
-    """Coarse centroids, and codewords of the residuals' subspaces, fitted on unit vectors."""
+    """Coarse centroids, and codewords of the residuals' subspaces, fitted on unit vectors. Centroids within `reach`
+    of a more populous one are merged into it, so that a hot region is one list however many seeds fell into it."""
 
-    def __init__(self, sample: np.ndarray, lists: int, subspaces: int = SUBSPACES, words: int = WORDS):
+    def __init__(self, sample: np.ndarray, lists: int, subspaces: int = SUBSPACES, words: int = WORDS, reach: float = 0.0):
         self.dim = sample.shape[1]
         self.width = -(-self.dim // subspaces)
         self.subspaces = subspaces
         self.coarse = kmeans(sample, lists)
+        if reach:
+            self.coarse = merged(self.coarse, np.bincount(nearest(sample, self.coarse, 1)[:, 0], minlength=len(self.coarse)), reach)
         rest = self._split(sample - self.coarse[nearest(sample, self.coarse, 1)[:, 0]])
         self.words = [kmeans(rest[:, m], words) for m in range(subspaces)]
 
@@ -106,16 +138,17 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _indexed(index: Index, probes: int):
+def _indexed(index: Index, probes: int, reach: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if not b.num_rows:
                 continue
             x = np.frombuffer(b"".join(b.column(2).to_pylist())).reshape(b.num_rows, -1)
-            lists = nearest(x, index.coarse, probes)
-            codes, miss = index.encode(x, lists[:, 0])
+            lists = searched(x, index.coarse, probes, reach)
+            home = np.array([p[0] for p in lists])
+            codes, miss = index.encode(x, home)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(lists[:, 0], pa.int32()), pa.array(lists.tolist(), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(miss, pa.float64())],
+                [b.column(0), b.column(1), b.column(2), pa.array(home, pa.int32()), pa.array(lists, pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(miss, pa.float64())],
                 ["class", "copies", "unit", "list", "probes", "codes", "miss"],
             )
 
@@ -127,65 +160,82 @@ def _search(index: Index, cosine: float):
     apart among these rows (n 0)."""
     reach = np.sqrt(2 - 2 * cosine)
 
-    def group(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-        t = pa.Table.from_batches(rows)
-        query = t["query"].to_numpy(zero_copy_only=False).astype(bool)
-        ids, copies = t["class"].to_numpy(), t["copies"].to_numpy()
-        x = np.frombuffer(b"".join(t["unit"].to_pylist())).reshape(len(ids), -1)
-        members, queries = np.flatnonzero(~query), np.flatnonzero(query)
-        a, b, n = [], [], []
-        if len(members) and len(queries):
-            at = t["list"][0].as_py()
-            codes = np.frombuffer(b"".join(t["codes"].take(pa.array(members)).to_pylist()), np.uint8).reshape(len(members), -1)
-            limit = (reach + t["miss"].to_numpy()[members] + 1e-9) ** 2
-            probes, home = t["probes"].take(pa.array(members)).to_pylist(), t["home"].to_numpy()
-            node = {c: i for i, c in enumerate(dict.fromkeys(ids.tolist()))}
-            label = np.arange(len(node))
-            mine, theirs = np.array([node[c] for c in ids[members].tolist()]), np.array([node[c] for c in ids[queries].tolist()])
-            found_back: dict[int, set] = {i: set(p) for i, p in enumerate(probes)}
-            for s in range(0, len(queries), 256):
-                q = queries[s : s + 256]
-                near = index.distances(x[q], at, codes) <= limit
-                for k in np.flatnonzero(near.any(1)):
-                    y = np.flatnonzero(near[k])
-                    exact = np.einsum("ij,j->i", x[members[y]], x[q[k]])
-                    y = y[(exact >= cosine) & (ids[members[y]] != ids[q[k]])]
-                    if not len(y):
-                        continue
-                    a.append(int(ids[q[k]]))
+    class Part:
+        """Members of one part of a list; queries meet them as they come, so that memory doesn't grow with their number."""
+
+        def __init__(self, batches: list[pa.RecordBatch]):
+            t = pa.Table.from_batches(batches)
+            self.at, self.ids, self.copies = t["list"][0].as_py(), t["class"].to_numpy(), t["copies"].to_numpy()
+            self.x = np.frombuffer(b"".join(t["unit"].to_pylist())).reshape(len(self.ids), -1)
+            self.codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
+            self.limit = (reach + t["miss"].to_numpy() + 1e-9) ** 2
+            self.probes = [set(p) for p in t["probes"].to_pylist()]
+            self.place = {c: i for i, c in enumerate(self.ids.tolist())}
+            self.label = np.arange(len(self.ids))
+            self.back: dict[int, np.ndarray] = {}
+
+        def finds(self, home: int) -> np.ndarray:
+            """Which members search the list `home`."""
+            if home not in self.back:
+                self.back[home] = np.array([home in p for p in self.probes])
+            return self.back[home]
+
+        def linked(self, x: np.ndarray) -> np.ndarray:
+            near = index.distances(x, self.at, self.codes) <= self.limit
+            rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+            if len(rows):
+                exact = x[rows] @ self.x[columns].T
+                # the order of sums decides nothing
+                for i, j in np.argwhere(np.abs(exact - cosine) < 1e-12):
+                    exact[i, j] = np.einsum("j,j->", self.x[columns[j]], x[rows[i]])
+                near[np.ix_(rows, columns)] &= exact >= cosine
+            return near
+
+        def meet(self, queries: pa.RecordBatch) -> pa.RecordBatch:
+            ids, copies, homes = queries["class"].to_numpy(), queries["copies"].to_numpy(), queries["home"].to_numpy()
+            near = self.linked(np.frombuffer(b"".join(queries["unit"].to_pylist())).reshape(len(ids), -1))
+            a, b, n = [], [], []
+            for k in np.flatnonzero(near.any(1)):
+                q, y = int(ids[k]), np.flatnonzero(near[k])
+                y = y[self.ids[y] != q]
+                if not len(y):
+                    continue
+                a.append(q)
+                b.append(None)
+                n.append(int(self.copies[y].sum()))
+                for z in y[~self.finds(int(homes[k]))[y]]:  # the member will not find this one
+                    a.append(int(self.ids[z]))
                     b.append(None)
-                    n.append(int(copies[members[y]].sum()))
-                    for z in y:
-                        if int(home[q[k]]) not in found_back[int(z)]:  # the member will not find this one
-                            a.append(int(ids[members[z]]))
-                            b.append(None)
-                            n.append(int(copies[q[k]]))
-                    me = theirs[s + k]
-                    apart = y[label[mine[y]] != label[me]]
-                    for old in dict.fromkeys(label[mine[apart]].tolist()):
-                        z = apart[label[mine[apart]] == old][0]
-                        label[label == old] = label[me]
-                        a.append(int(ids[q[k]]))
-                        b.append(int(ids[members[z]]))
-                        n.append(0)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], ["a", "b", "n"])
+                    n.append(int(copies[k]))
+                me = self.label[self.place[q]] if q in self.place else -1
+                labels, at = np.unique(self.label[y], return_index=True)
+                for z in y[at[labels != me]]:
+                    a.append(q)
+                    b.append(int(self.ids[z]))
+                    n.append(0)
+                if len(labels) > 1 or me >= 0 and labels[0] != me:
+                    self.label[np.isin(self.label, labels)] = me if me >= 0 else labels[0]
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(n, pa.int64())], ["a", "b", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        key = None
+        key = part = None
         for batch in batches:
-            lists, parts = batch.column("list").to_numpy(), batch.column("part").to_numpy()
-            cuts = [0, *(np.flatnonzero(np.diff(lists) | np.diff(parts)) + 1).tolist(), batch.num_rows]
+            lists, parts, query = batch.column("list").to_numpy(), batch.column("part").to_numpy(), batch.column("query").to_numpy(zero_copy_only=False).astype(np.int8)
+            cuts = [0, *(np.flatnonzero(np.diff(lists) | np.diff(parts) | np.diff(query)) + 1).tolist(), batch.num_rows]
             for s, e in zip(cuts, cuts[1:]):
                 if s == e:
                     continue
-                if held and key != (lists[s], parts[s]):
-                    yield group(held)
-                    held = []
-                key = (lists[s], parts[s])
-                held.append(batch.slice(s, e - s))
-        if held:
-            yield group(held)
+                if key != (lists[s], parts[s]):
+                    key, held, part = (lists[s], parts[s]), [], None
+                if not query[s]:
+                    held.append(batch.slice(s, e - s))
+                    continue
+                if part is None and held:
+                    part, held = Part(held), []
+                if part is not None:
+                    for k in range(s, e, 256):
+                        yield part.meet(batch.slice(k, min(256, e - k)))
 
     return run
 
@@ -195,7 +245,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
 
     Vectors whose cosine in double precision is `cosine` or more are linked. Equal unit vectors are one class.
     Every class is in the inverted list of its nearest centroid, as codes of its residual; it searches the
-    `probes` nearest lists. A member is a candidate while its asymmetric distance, less what its codes miss, can
+    `probes` nearest lists, and of the others those that `searched` can't rule out for members close to their
+    centroid. Centroids within the link radius are one, so that a hot group is one list. A member is a candidate while its asymmetric distance, less what its codes miss, can
     still reach the cosine, so that within the lists searched none is lost; candidates are verified exactly. A pair is a link
     if either finds the other. Only the index is fitted on at most `train` classes; lists of more than `part`
     members are cut and each query meets all parts.
@@ -218,8 +269,9 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         return alone
     share = F.xxhash64(F.lit(SEED), "class").bitwiseAND(F.lit((1 << 40) - 1)) < F.lit(int(min(1.0, train / total) * (1 << 40)))
     sample = np.stack([np.frombuffer(r["unit"]) for r in classes.where(share).select("class", "unit").orderBy("class").limit(train).collect()] or [np.frombuffer(classes.first()["unit"])])
-    index = Index(sample, max(1, min(MOST_LISTS, len(sample), int(2 * total**0.5))))
-    indexed = materialise(classes.select("class", "copies", "unit").mapInArrow(_indexed(index, probes), "class long, copies long, unit binary, list int, probes array<int>, codes binary, miss double"), "indexed")
+    reach = float(np.sqrt(2 - 2 * cosine))
+    index = Index(sample, max(1, min(MOST_LISTS, len(sample), int(2 * total**0.5))), reach=reach)
+    indexed = materialise(classes.select("class", "copies", "unit").mapInArrow(_indexed(index, probes, reach), "class long, copies long, unit binary, list int, probes array<int>, codes binary, miss double"), "indexed")
     parts = indexed.groupBy("list").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
     members = indexed.join(F.broadcast(parts), "list").select("list", F.pmod(F.xxhash64("class"), "parts").cast("int").alias("part"), F.lit(False).alias("query"), "class", "copies", "unit", F.col("list").alias("home"), "probes", "codes", "miss")
     queries = indexed.withColumnRenamed("list", "home").withColumn("list", F.explode("probes")).join(F.broadcast(parts), "list")

@@ -302,6 +302,21 @@ def test_near_duplicates_against_brute_force(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("size", "noise"), [(1500, 0.02), (6000, 0.02), (6000, 0.026)])
+def test_recall_with_a_third_of_the_vectors_in_one_group(spark, size, noise):
+    rng = np.random.default_rng(size)
+    x = rng.normal(size=(size, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[: size // 3] = x[0] + rng.normal(size=(size // 3, 64)) * noise
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df, part=700).collect()}
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    links = np.array([got[i].n_links for i in range(size)])
+    assert near.sum() > size and links.sum() >= 0.999 * near.sum() and (links <= near.sum(1)).all()
+
+
 def test_asymmetric_distances_are_those_to_the_coded_vectors():
     x = np.random.default_rng(1).normal(size=(200, 10))
     index = embedding_dedup.Index(x, 5, 4, 16)
