@@ -29,6 +29,8 @@ ALLOWED = [
     r"(?i)^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
     r"(?i)example|sample|dummy|placeholder|changeme|xxxx|0123456789|abcdefghij",
 ]
+#: The one of them that isn't about a whole run: it speaks for the piece between / and = that holds it.
+PLACEHOLDER = ALLOWED[-1]
 KINDS = [k for k, *_ in BASE] + [k for k, *_ in CLASSES]
 SPAN = "array<struct<start:bigint,rank:int,kind:string,end:bigint>>"
 
@@ -93,18 +95,25 @@ def _dense(found: Column, alphabet: str, fold: bool, bits: float) -> Column:
     return let(codes, over)
 
 
+def _without_placeholders(found: Column) -> Column:
+    """found with each piece between / and = that holds a placeholder replaced by as many hyphens."""
+    pieces = F.transform(F.split(found, "(?<=[/=])"), lambda p: F.when(p.rlike(PLACEHOLDER), F.repeat(F.lit("-"), F.length(p))).otherwise(p))
+    return F.when(found.rlike(PLACEHOLDER), F.array_join(pieces, "")).otherwise(found)
+
+
 def _entropy(text: Column, kind: str, pattern: str, alphabet: str, fold: bool, bits: float) -> Column:
     rank = F.lit(KINDS.index(kind))
 
     def fine(m: Column) -> Column:
         allowed = F.lit(False)
-        for a in ALLOWED:
-            allowed = allowed | m["found"].rlike(a)
+        for a in ALLOWED[:-1]:
+            allowed = allowed | m["rest"].rlike(a)
         if not fold:
             allowed = allowed | m["found"].rlike("^[0-9A-Fa-f]*$")
         return ~allowed
 
-    tried = F.transform(F.filter(_matches(text, pattern, 0), fine), lambda m: F.struct(m["start"].alias("start"), _dense(m["found"], alphabet, fold, bits).alias("dense")))
+    runs = F.transform(_matches(text, pattern, 0), lambda m: F.struct(m["start"].alias("start"), m["found"].alias("found"), _without_placeholders(m["found"]).alias("rest")))
+    tried = F.transform(F.filter(runs, fine), lambda m: F.struct(m["start"].alias("start"), _dense(m["rest"], alphabet, fold, bits).alias("dense")))
     dense = F.filter(tried, lambda m: m["dense"]["first"] >= 0)
     return F.transform(dense, lambda m: F.struct((m["start"] + m["dense"]["first"]).alias("start"), rank.alias("rank"), F.lit(kind).alias("kind"), (m["start"] + m["dense"]["last"]).alias("end")))
 
@@ -115,7 +124,7 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     Base spans are the matches of BASE. Added to them are runs of the CLASSES' characters in which a sliding
     window reaches the class's entropy, unless an ALLOWED pattern says that the run is harmless or a base span
-    covers it. A null or empty text has no spans. Rows are neither moved nor merged; the columns keep their
+    covers it. A placeholder excuses only the piece between / and = that holds it. A null or empty text has no spans. Rows are neither moved nor merged; the columns keep their
     names inside record.
     """
     record = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("record")

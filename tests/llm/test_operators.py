@@ -445,6 +445,16 @@ def test_entropy_against_brute_force(spark):
         assert [(s.start, s.kind, s.end) for s in r.s] == sorted(want, key=lambda x: (x[0], secret_scan.KINDS.index(x[1])))
 
 
+def test_placeholders_excuse_only_their_piece(spark):
+    key = "kJ8vQ2mZx7Lp0RtY5nWc3BdF6hGs9aEu"
+    texts = [f"/sample/{key}", f"example_key={key}", f"{key}/xxxx", f"{key}example", "/sample/" + "example" + key, "/sample9/ThisIsSomeLongNameWithoutAnyOfThem"]
+    rows = secret_scan.scan(documents(spark, *enumerate(texts))).select("record.doc_id", "spans").collect()
+    for r in rows:
+        at = texts[r.doc_id].index(key) if r.doc_id < 5 else 0
+        assert any(s.start <= at and at + len(key) <= s.end for s in r.spans) == (r.doc_id < 3), texts[r.doc_id]
+        assert r.doc_id < 3 or not r.spans
+
+
 def test_redaction(spark):
     docs = documents(spark, (1, "😀 token=abcdefg then AKIA" + "A" * 20 + "!"), (2, "clean"), (3, None), (4, f"key {RANDOM} end"))
     rows = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
