@@ -455,6 +455,40 @@ def test_placeholders_excuse_only_their_piece(spark):
         assert r.doc_id < 3 or not r.spans
 
 
+def base_spans(text):
+    return sorted((m.start(), k, n, m.end()) for k, (n, p, g, least) in enumerate(PATTERNS) for m in p.finditer(text) if len(m.group(g)) >= least)
+
+
+def test_secrets_query_against_python(spark):
+    from shotlake.llm.queries import op9_secrets
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    rows = op9_secrets(spark, SF).collect()
+    assert len(rows) == len(texts) and sum(r.n_assign + r.n_access + r.n_hex for r in rows) > 3
+    for r in rows:
+        base = base_spans(texts[r.doc_id])
+        written = [f"{n}:{a}:{b}" for a, _, n, b in base]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(n == k for _, _, n, _ in base) for k in ("assign", "access", "hex")]
+        assert r.base_sha256 == hashlib.sha256(",".join(written).encode()).hexdigest()
+        spans = r.spans.split(",") if r.spans else []
+        assert [x for x in spans if not x.startswith("entropy")] == written and len(spans) == len(set(spans))
+
+
+def test_secrets_of_long_texts_and_odd_rows(spark):
+    rng = random.Random(6)
+    texts = ["deed face cafe babble " * 15_000, "token=abcdefg " * 15_000, ("0123456789abcdef" * 2 + " ") * 6_000, " ".join("".join(rng.choice("ghijKLMNop0123456789+/QRS") for _ in range(32)) for _ in range(3_000))]
+    rows = [(None, t + " AKIA" + "A" * 16) for t in texts] + ODD
+    docs = documents(spark, *rows)
+    got = secret_scan.scan(docs).select("record.text", F.filter("spans", lambda s: s["rank"] < 3).alias("s"), F.size("spans").alias("n")).collect()
+    assert Counter(r.text for r in got) == Counter(t for _, t in rows)
+    for r in got:
+        assert [(s.start, s.rank, s.kind, s.end) for s in r.s] == base_spans(r.text or "")
+    assert max(r.n for r in got) > 15_000 and sum(r.n for r in got if r.text and r.text.endswith("AAAA") and "+" in r.text) > 2_000
+    for r in secret_scan.redact(docs).where("text like '%SECRET%'").collect():
+        assert r.n_chars == len(r.text) and not base_spans(r.text)
+    assert secret_scan.scan(documents(spark)).count() == 0
+
+
 def test_redaction(spark):
     docs = documents(spark, (1, "😀 token=abcdefg then AKIA" + "A" * 20 + "!"), (2, "clean"), (3, None), (4, f"key {RANDOM} end"))
     rows = {r.doc_id: r for r in secret_scan.redact(docs).collect()}
