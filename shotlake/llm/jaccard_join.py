@@ -4,12 +4,16 @@ Shingles are 64-bit hashes. The prefix principle needs one order of all shingles
 document alone can match nothing, so only those of two or more are kept ("shared"): they decide how far a prefix
 reaches, and the intersection of two documents is that of their shared shingles.
 
-1. Tasks turn blocks of documents into shingle sets and scatter them over hash ranges, as packed rows.
+1. Tasks turn blocks of documents into shingle sets and scatter each block's distinct shingles over hash ranges, as
+   packed rows. However common a shingle, a block sends it once, with the number of its holders there.
 2. Each range counts its shingles and returns the shared ones, with their counts, to their blocks.
 3. Each block orders its documents' shared shingles. Documents whose prefix holds none are done.
 4. Equal sets become one class. Classes that have a prefix shingle in common meet under the least class among
-   those that hold it; within such a group, multi-match prefixes give candidates, which are verified exactly.
-5. Links that join what was apart in a group go to connected components.
+   those that hold it. A group is cut into parts, each of which meets by itself and with a few pivots of the group;
+   multi-match prefixes give candidates, which are verified exactly.
+5. Where a group of several parts isn't connected yet, the parts of its largest connected set meet the rest, and the
+   rest's parts each other: a group of near copies costs what it has members, not their square.
+6. All links go to connected components.
 """
 
 from __future__ import annotations
@@ -27,9 +31,13 @@ from shotlake.llm.components import components
 
 WORDS, PERCENT = 5, 80
 #: Text and documents of a block; stored bytes of input for each range of hashes.
-BLOCK_BYTES, BLOCK_DOCS, RANGE_BYTES = 2 << 20, 4096, 8 << 20
+BLOCK_BYTES, BLOCK_DOCS, RANGE_BYTES = 2 << 20, 65_535, 8 << 20
+#: Ranges at most, and text of a block for each range, up to MOST_BLOCK_BYTES: rows stay a few tokens long at least.
+MOST_RANGES, BLOCK_BYTES_A_RANGE, MOST_BLOCK_BYTES = 1 << 18, 256, 64 << 20
 #: Longest multiple match that is tried; classes in one part of a group; estimated cost of a verification, in probes.
-MOST_MATCHES, PART, VERIFY = 8, 1024, 60
+MOST_MATCHES, PART, VERIFY = 8, 64, 60
+#: Classes that all parts of a group have in common.
+PIVOTS = 8
 
 _SEED = np.random.default_rng(20240229)
 _BYTE = _SEED.integers(0, 2**64, 256, np.uint64)
@@ -122,15 +130,20 @@ class Shingles:
         return out
 
 
-_SCATTERED = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("digests", pa.binary()), ("owners", pa.binary()), ("tokens", pa.binary()), ("counts", pa.binary())])
+#: Holders in a block above which a token is common there.
+COMMON = 8
+#: A block's row: ids, sizes and digests of its documents; of its common tokens the owners and how many (counts). A
+#: range's row: tokens, each as often as it has owners; or common tokens, with their counts and their places (starts)
+#: among the block's. On the way back counts are those over all blocks.
+_SCATTERED = pa.schema([("part", pa.int32()), ("block", pa.int64()), *[(n, pa.binary()) for n in ("ids", "sizes", "digests", "owners", "tokens", "counts", "starts")]])
 
 
 def _row(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pylist([columns], schema=_SCATTERED)
 
 
-def _scatter(ranges: int, words: int):
-    """Blocks of documents to a row of ids, sizes and digests, and for each range a row of tokens and owners."""
+def _scatter(ranges: int, words: int, block_bytes: int):
+    """Blocks of documents to a row of each block, and for each range a row of its tokens there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
@@ -142,7 +155,6 @@ def _scatter(ranges: int, words: int):
             missing = np.array([x is None for x in ids])
             numbers = np.array([0 if x is None else x for x in ids], np.int64)
             sizes = np.array([len(s) for s in sets], np.int64)
-            yield _row(part=name % ranges, block=name, ids=numbers.tobytes(), sizes=np.where(missing, -1 - sizes, sizes).tobytes(), digests=digests)
             seen: set[bytes] = set()
             kept = []
             for i, s in enumerate(sets):  # copies within a block take part once
@@ -150,18 +162,27 @@ def _scatter(ranges: int, words: int):
                 if len(s) and not missing[i] and d not in seen:
                     seen.add(d)
                     kept.append(i)
-            if not kept:
-                return
-            tokens = np.concatenate([sets[i] for i in kept])
-            owners = np.repeat(np.array(kept, np.uint16), sizes[kept])
-            part = ((tokens >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
-            order = np.argsort(part, kind="stable")
-            tokens, owners, part = tokens[order], owners[order], part[order]
-            bounds = np.searchsorted(part, np.arange(ranges + 1))
-            low = (tokens & _LOW48).view(np.uint8).reshape(-1, 8)[:, :6]
-            for r in np.flatnonzero(np.diff(bounds)):
-                a, b = bounds[r], bounds[r + 1]
-                yield _row(part=int(r), block=name, owners=owners[a:b].tobytes(), tokens=low[a:b].tobytes())
+            tokens = np.concatenate([sets[i] for i in kept]) if kept else np.empty(0, np.uint64)
+            order = np.argsort(tokens)
+            tokens, owners = tokens[order], np.repeat(np.array(kept, np.uint16), sizes[kept])[order]
+            first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1]))[: len(tokens)])
+            counts = np.diff(np.append(first, len(tokens)))
+            often = np.repeat(counts > COMMON, counts)
+            first, counts = first[counts > COMMON], counts[counts > COMMON].astype(np.uint16)
+            yield _row(part=name % ranges, block=name, ids=numbers.tobytes(), sizes=np.where(missing, -1 - sizes, sizes).tobytes(), digests=digests, owners=owners[often].tobytes(), counts=counts.tobytes())
+
+            def spread(t: np.ndarray) -> Iterator[tuple[int, slice, bytes]]:
+                part = ((t >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+                low, starts = (t & _LOW48).view(np.uint8).reshape(-1, 8)[:, :6], np.flatnonzero(np.diff(part, prepend=-1))
+                for a, b in zip(starts, [*starts[1:], len(t)]):
+                    yield int(part[a]), slice(a, b), low[a:b].tobytes()
+
+            mine = owners[~often]
+            for part, at, low in spread(tokens[~often]):
+                yield _row(part=part, block=name, owners=mine[at].tobytes(), tokens=low)
+            place = np.arange(len(first), dtype=np.uint32)
+            for part, at, low in spread(tokens[first]):
+                yield _row(part=part, block=name, counts=counts[at].tobytes(), starts=place[at].tobytes(), tokens=low)
 
         ids, texts, size = [], [], 0
         for batch in batches:
@@ -169,7 +190,7 @@ def _scatter(ranges: int, words: int):
                 ids.append(key)
                 texts.append(value.as_py())
                 size += len(texts[-1])
-                if size >= BLOCK_BYTES or len(ids) >= BLOCK_DOCS:
+                if size >= block_bytes or len(ids) >= BLOCK_DOCS:
                     yield from block(ids, texts)
                     ids, texts, size = [], [], 0
         if ids:
@@ -179,30 +200,32 @@ def _scatter(ranges: int, words: int):
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each range, the tokens that more than one row's owner has, with 16-bit counts; block rows pass."""
-    held: dict[int, list[tuple[int, bytes, bytes]]] = {}
+    """Of each range, the tokens that more than one document has, with 16-bit counts; block rows pass."""
+    held: dict[int, list[dict]] = {}
     for batch in batches:
         plain = [i for i, x in enumerate(batch.column(2)) if x.is_valid]
         if plain:
             yield batch.take(pa.array(plain))
         for r in batch.to_pylist():
             if r["ids"] is None:
-                held.setdefault(r["part"], []).append((r["block"], r["owners"], r["tokens"]))
+                held.setdefault(r["part"], []).append(r)
     for part in list(held):
         rows = held.pop(part)
-        n = [len(o) // 2 for _, o, _ in rows]
+        n = [len(r["tokens"]) // 6 for r in rows]
         wide = np.zeros((sum(n), 8), np.uint8)
-        wide[:, :6] = np.frombuffer(b"".join(t for _, _, t in rows), np.uint8).reshape(-1, 6)
+        wide[:, :6] = np.frombuffer(b"".join(r["tokens"] for r in rows), np.uint8).reshape(-1, 6)
         tokens = wide.view(np.uint64).ravel()
-        _, back, count = np.unique(tokens, return_inverse=True, return_counts=True)
-        count = np.minimum(count, 65535).astype(np.uint16)[back]
+        _, back = np.unique(tokens, return_inverse=True)
+        holders = np.concatenate([np.ones(k) if r["counts"] is None else np.frombuffer(r["counts"], np.uint16) for r, k in zip(rows, n)])
+        count = np.minimum(np.bincount(back, holders), 65535).astype(np.uint16)[back]
         # within 48 bits a range tells its tokens apart; the range above them keeps ranges apart
         tokens = tokens ^ (np.uint64(part & 0xFFFF) << np.uint64(48))
         at = 0
-        for (block, owners, _), k in zip(rows, n):
-            keep = count[at : at + k] > 1
-            if keep.any():
-                yield _row(part=part, block=block, owners=np.frombuffer(owners, np.uint16)[keep].tobytes(), tokens=tokens[at : at + k][keep].tobytes(), counts=count[at : at + k][keep].tobytes())
+        for r, k in zip(rows, n):
+            keep = np.flatnonzero(count[at : at + k] > 1)
+            if len(keep):
+                where = {"owners": np.frombuffer(r["owners"], np.uint16)[keep].tobytes()} if r["counts"] is None else {"starts": np.frombuffer(r["starts"], np.uint32)[keep].tobytes()}
+                yield _row(part=part, block=r["block"], tokens=tokens[at + keep].tobytes(), counts=count[at + keep].tobytes(), **where)
             at += k
 
 
@@ -214,21 +237,27 @@ def _prefixes(percent: int):
     have a match (0: none can link), and if any, all shared tokens, rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain: dict[int, tuple] = {}
+        plain: dict[int, dict] = {}
         parts: dict[int, list] = {}
         for batch in batches:
             for r in batch.to_pylist():
                 if r["ids"] is not None:
-                    plain[r["block"]] = (r["ids"], r["sizes"], r["digests"])
+                    plain[r["block"]] = r
                 else:
-                    parts.setdefault(r["block"], []).append((r["owners"], r["tokens"], r["counts"]))
+                    parts.setdefault(r["block"], []).append(r)
         for block in list(plain):
-            ids, sizes, digests = plain.pop(block)
-            ids, sizes = np.frombuffer(ids, np.int64), np.frombuffer(sizes, np.int64)
+            mine = plain.pop(block)
+            ids, sizes, digests = np.frombuffer(mine["ids"], np.int64), np.frombuffer(mine["sizes"], np.int64), mine["digests"]
             got = parts.pop(block, [])
-            owners = np.frombuffer(b"".join(o for o, _, _ in got), np.uint16)
-            tokens = np.frombuffer(b"".join(t for _, t, _ in got), np.uint64)
-            counts = np.frombuffer(b"".join(c for _, _, c in got), np.uint16)
+            few, common = ([r for r in got if (r["owners"] is None) == c] for c in (False, True))
+            of = lambda rows, c, kind: np.frombuffer(b"".join(r[c] for r in rows), kind)
+            # common tokens once for each of their owners
+            many = np.frombuffer(mine["counts"], np.uint16).astype(np.int64)
+            at = of(common, "starts", np.uint32)
+            begin, many = (np.cumsum(many) - many)[at], many[at]
+            theirs = np.frombuffer(mine["owners"], np.uint16)[np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())]
+            owners = np.concatenate([of(few, "owners", np.uint16), theirs])
+            tokens, counts = (np.concatenate([of(few, c, kind), np.repeat(of(common, c, kind), many)]) for c, kind in (("tokens", np.uint64), ("counts", np.uint16)))
             order = np.lexsort((tokens, counts, owners))
             owners, tokens = owners[order], tokens[order].view(np.int64)
             first = np.searchsorted(owners, np.arange(len(ids) + 1))
@@ -254,11 +283,12 @@ def _prefixes(percent: int):
 
 
 class Group:
-    """Classes that meet: finds links between them until those that are connected are known to be."""
+    """Classes that meet: finds links between them until those that are connected are known to be. label: what they
+    are known to be part of before."""
 
-    def __init__(self, sizes: list[int], reach: list[int], shared: list[np.ndarray], percent: int = PERCENT):
-        self.n, self.k, self.t, self.percent = np.array(sizes), np.array(reach), shared, percent
-        self.label = np.arange(len(sizes))
+    def __init__(self, sizes: list[int], reach: list[int], shared: list[np.ndarray], percent: int = PERCENT, label: list[int] | None = None):
+        self.n, self.k, self.percent = np.array(sizes), np.array(reach), percent
+        self.label = np.arange(len(sizes)) if label is None else np.array(label)
         flat = np.concatenate(shared)
         self.owner = np.repeat(np.arange(len(shared)), [len(x) for x in shared])
         rank = np.concatenate([np.arange(len(x)) for x in shared])
@@ -306,15 +336,22 @@ class Group:
 
 
 def _verify(percent: int):
-    """Rows sorted by group (hub, i, j) to links: classes of part i with those of part j, or among themselves."""
+    """Rows sorted by group (hub, i, j) to links (a, b): classes of part i with those of part j, or among themselves.
+    Where a group has several parts that haven't met (`large`), also each class with the one that it turned out to be
+    connected to (a, b, hub): a pivot if that can be."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def links(rows: list[dict]) -> pa.RecordBatch:
-            g = Group([r["n_shingles"] for r in rows], [r["reach"] for r in rows], [np.asarray(r["shared"], np.int64) for r in rows], percent)
+            g = Group([r["n_shingles"] for r in rows], [r["reach"] for r in rows], [np.asarray(r["shared"], np.int64) for r in rows], percent, [r["known"] for r in rows])
             i, j = rows[0]["i"], rows[0]["j"]
             part = np.array([r["part"] for r in rows])
-            found = list(g.links(part == i, part == j))
-            return pa.RecordBatch.from_arrays([pa.array([rows[x]["class"] for x, _ in found], pa.int64()), pa.array([rows[y]["class"] for _, y in found], pa.int64())], ["a", "b"])
+            found = [(rows[x]["class"], rows[y]["class"], None) for x, y in g.links(part == i, part == j)]
+            if rows[0]["large"]:
+                named: dict[int, tuple[bool, int]] = {}
+                for label, r in zip(g.label.tolist(), rows):
+                    named[label] = min(named.get(label, (True, r["class"])), (not r["pivot"], r["class"]))
+                found += [(r["class"], named[label][1], r["hub"]) for label, r in zip(g.label.tolist(), rows)]
+            return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in range(3)], ["a", "b", "hub"])
 
         held: list[dict] = []
         for batch in batches:
@@ -331,10 +368,10 @@ def _verify(percent: int):
 
 def shingle_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, digest, reach, shared) of every row, written to the shared folder (steps 1 to 3)."""
-    ranges = min(65536, partitions_for(docs, RANGE_BYTES))
-    # short runs of whole records bound a task's memory
-    scattered = id_and_text(docs, id_col, text_col).mapInArrow(_scatter(ranges, words), _ddl(_SCATTERED))
-    counted = scattered.repartition(ranges, "part").mapInArrow(_shared, _ddl(_SCATTERED))
+    ranges = min(MOST_RANGES, partitions_for(docs, RANGE_BYTES))
+    block_bytes = min(max(BLOCK_BYTES, ranges * BLOCK_BYTES_A_RANGE), MOST_BLOCK_BYTES)
+    scattered = id_and_text(docs, id_col, text_col).mapInArrow(_scatter(ranges, words, block_bytes), _ddl(_SCATTERED))
+    counted = scattered.repartitionById(ranges, "part").mapInArrow(_shared, _ddl(_SCATTERED))
     return materialise(counted.repartition(ranges, "block").mapInArrow(_prefixes(percent), _DOCUMENT), "shingles")
 
 
@@ -352,21 +389,50 @@ def _classes(rows: DataFrame, *more: Column) -> DataFrame:
 def class_links(rows: DataFrame, percent: int = PERCENT, part: int = PART) -> DataFrame:
     """Links (a, b) between classes, each named by its least doc_id: enough to connect all that are linked.
 
-    A pair of classes that is similar shares a prefix token, and so meets in the group of that token's least
-    class. A group of more than `part` classes is cut into parts, and each pair of parts is compared.
+    A pair of classes that is similar shares a prefix token, and so meets in the group of that token's least class,
+    the hub. A group of more than `part` classes is cut into parts. First, each part meets by itself, together with a
+    few pivots that all parts of the group have: copies of one text, in whatever parts, connect through a pivot among
+    them. Then the parts of the largest connected set meet those of the rest, and these each other, so that every
+    pair that isn't connected yet meets.
     """
     classes = _classes(rows, F.any_value("n_shingles").alias("n_shingles"), F.max("reach").alias("reach"), F.max_by("shared", "reach").alias("shared"))
     classes = materialise(classes.where("reach > 0").drop("digest"), "classes")
     posts = classes.select("class", F.explode(F.slice("shared", F.lit(1), F.col("reach"))).alias("token"))
     hubs = posts.groupBy("token").agg(F.min("class").alias("hub"), F.count("*").alias("holders")).where("holders > 1").drop("holders")
     members = materialise(posts.join(hubs, "token").select("hub", "class").distinct(), "members")
-    sizes = members.groupBy("hub").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
-    members = members.join(sizes, "hub").withColumn("part", F.pmod(F.xxhash64("class"), "parts").cast("int"))
-    pairs = members.select("hub", "class", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    pairs = pairs.select("hub", "class", "part", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    full = pairs.join(classes, "class")
+    drawn = [F.min(F.struct(F.xxhash64(F.lit(k), "class").alias("h"), "class"))["class"] for k in range(PIVOTS - 1)]
+    groups = members.groupBy("hub").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"), F.array(*drawn).alias("pivots"))
+    groups = materialise(groups.withColumn("pivots", F.array_union(F.array("hub"), "pivots")), "groups")
     n = partitions_for(rows, RANGE_BYTES)
-    return full.repartition(n, "hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(_verify(percent), "a long, b long")
+
+    def met(pieces: DataFrame) -> DataFrame:
+        """pieces: hub, class, part, i, j, known, pivot, large."""
+        full = pieces.join(classes, "class").repartition(n, "hub", "i", "j").sortWithinPartitions("hub", "i", "j")
+        return materialise(full.mapInArrow(_verify(percent), "a long, b long, hub long"), "links")
+
+    def slot(count: str) -> Column:
+        return F.pmod(F.xxhash64("class"), count).cast("int")
+
+    own = members.join(groups, "hub").withColumn("large", F.col("parts") > 1).withColumn("pivot", F.col("large") & F.array_contains("pivots", F.col("class")))
+    everywhere = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(slot("parts")))
+    own = own.select("hub", "class", F.explode(everywhere).alias("part"), "pivot", "large")
+    found = met(own.select("*", F.col("part").alias("i"), F.col("part").alias("j"), F.col("class").alias("known")))
+
+    held = found.where("hub is not null").groupBy("hub", F.col("a").alias("class")).agg(F.min("b").alias("known"))
+    top = held.groupBy("hub", "known").agg(F.count("*").alias("n")).groupBy("hub").agg(F.max_by("known", F.struct("n", "known")).alias("main"), F.max("n").alias("n"), F.sum("n").alias("all"))
+    top = top.where(F.col("n") < F.col("all")).select("hub", "main", F.ceil(F.col("n") / part).cast("int").alias("of_main"), F.ceil((F.col("all") - F.col("n")) / part).cast("int").alias("of_rest"))
+    top = materialise(top, "apart")
+    if top.isEmpty():
+        return found.select("a", "b")
+    held = held.join(top, "hub").withColumns({"pivot": F.lit(False), "large": F.lit(False)})
+    rest = F.sequence(F.col("of_main"), F.col("of_main") + F.col("of_rest") - 1)
+    columns = ["hub", "class", "known", "pivot", "large", "part"]
+    first = held.where("known = main").withColumn("part", slot("of_main")).select(*columns, F.col("part").alias("i"), F.explode(rest).alias("j"))
+    last = held.where("known <> main").withColumn("part", F.col("of_main") + slot("of_rest"))
+    others = F.sequence(F.lit(0), F.col("of_main") + F.col("of_rest") - 1)
+    last = last.select(*columns, F.explode(others).alias("other"))
+    last = last.select(*columns, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+    return found.unionByName(met(first.unionByName(last))).select("a", "b")
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -383,5 +449,6 @@ def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = components(materialise(class_links(rows, percent), "links"))
     classes = _classes(rows)
     named = classes.join(found, classes["class"] == found["node"], "left").select(F.col("digest").alias("of"), F.coalesce("component", "class").alias("component"))
+    named = materialise(named, "named")  # so that a text with many copies is only a hot join key, which is split
     joined = rows.select("doc_id", "n_shingles", "digest").join(named, (F.col("digest") == F.col("of")) & (F.col("n_shingles") > 0), "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

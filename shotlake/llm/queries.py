@@ -96,4 +96,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sharding": op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+#: Shingles joined with themselves, links by the size of the intersection, components by reachability.
+_SQL_JACCARD = """WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS g FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n u ON u.doc_id = x JOIN n v ON v.doc_id = y WHERE 100 * both_have >= 80 * (u.n + v.n - both_have)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+reach(doc_id, least) AS (SELECT DISTINCT x, x FROM e UNION SELECT e.y, reach.least FROM reach JOIN e ON e.x = reach.doc_id WHERE reach.least < e.y),
+c AS (SELECT doc_id, min(least) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id"""
+
+ORACLE_SQL: dict[str, str] = {"op2_jaccard_join": _SQL_JACCARD}
