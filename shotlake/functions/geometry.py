@@ -26,19 +26,51 @@ def edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, of))
 
 
+def parity(edges_: Column, x: Column, y: Column) -> Column:
+    """Whether an odd number of edges crosses the ray from the point to greater x."""
+
+    def crosses(e: Column) -> Column:
+        return ((e["ay"] > y) != (e["by"] > y)) & (x < _x_at(e, y))
+
+    return F.size(F.filter(edges_, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
+
+
+def _x_at(e: Column, y: Column) -> Column:
+    return (e["bx"] - e["ax"]) * (y - e["ay"]) / F.when(e["by"] != e["ay"], e["by"] - e["ay"]) + e["ax"]
+
+
+def _touches(e: Column, x: Column, y: Column) -> Column:
+    turn = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
+    within = x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
+    return (turn == 0) & within
+
+
 def contains(edges_: Column, x: Column, y: Column) -> Column:
     """Whether the point lies inside, the boundary not counted (even-odd rule, so holes are outside)."""
+    return F.coalesce(parity(edges_, x, y) & ~F.exists(edges_, lambda e: _touches(e, x, y)), F.lit(False))
 
-    def crosses(e: Column) -> Column:
-        return ((e["ay"] > y) != (e["by"] > y)) & (x < (e["bx"] - e["ax"]) * (y - e["ay"]) / F.when(e["by"] != e["ay"], e["by"] - e["ay"]) + e["ax"])
 
-    def touches(e: Column) -> Column:
-        turn = (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
-        within = x.between(F.least(e["ax"], e["bx"]), F.greatest(e["ax"], e["bx"])) & y.between(F.least(e["ay"], e["by"]), F.greatest(e["ay"], e["by"]))
-        return (turn == 0) & within
+#: Share of a cell's height, from its south side, at which its reference point lies on the east side: no likely corner.
+LEVEL = 0.6180339887498949
 
-    inside = F.size(F.filter(edges_, lambda e: F.coalesce(crosses(e), F.lit(False)))) % 2 == 1
-    return F.coalesce(inside & ~F.exists(edges_, touches), F.lit(False))
+
+def contains_in_cell(near: Column, known: Column, east: Column, level: Column, x: Column, y: Column) -> Column:
+    """contains for a point of a cell, from the edges that meet the closed cell and the parity of (east, level) on its
+    east side: the ray is followed to that side and along it to the known point, and leaves the cell nowhere. Where an
+    edge crosses the side is asked once, so that ray and side agree on it."""
+
+    def crosses(e: Column) -> Column:
+        straddles = (e["ax"] > east) != (e["bx"] > east)
+        at = F.when(e["bx"] == east, e["by"]).otherwise((e["by"] - e["ay"]) * (east - e["ax"]) / F.when(straddles, e["bx"] - e["ax"]) + e["ay"])
+        below = y < at
+        top_is_east = F.when(e["ay"] > e["by"], e["ax"]).otherwise(e["bx"]) > east
+        beyond = F.when(straddles, below != top_is_east).otherwise(e["ax"] > east)
+        along = ((e["ay"] > y) != (e["by"] > y)) & (x < _x_at(e, y)) & ~beyond
+        aside = straddles & (below != (level < at))
+        return F.coalesce(along, F.lit(False)) != F.coalesce(aside, F.lit(False))
+
+    odd = (F.size(F.filter(near, crosses)) % 2 == 1) != known
+    return F.coalesce(odd & ~F.exists(near, lambda e: _touches(e, x, y)), F.lit(False))
 
 
 def edge_meets_box(e: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
@@ -57,16 +89,6 @@ def edge_meets_box(e: Column, minx: Column, miny: Column, maxx: Column, maxy: Co
     return ~apart
 
 
-def meets_box(edges_: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
-    """Whether a polygon and a closed box intersect; touching counts."""
-    return F.exists(edges_, lambda e: edge_meets_box(e, minx, miny, maxx, maxy)) | contains(edges_, (minx + maxx) / 2.0, (miny + maxy) / 2.0)
-
-
-def covers_box(edges_: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:
-    """Whether a closed box lies wholly inside a polygon."""
-    return ~F.exists(edges_, lambda e: edge_meets_box(e, minx, miny, maxx, maxy)) & contains(edges_, (minx + maxx) / 2.0, (miny + maxy) / 2.0)
-
-
 def extent(rings: Column) -> dict[str, Column]:
     """minx, miny, maxx, maxy of a polygon."""
     xs, ys = (F.flatten(F.transform(rings, lambda r: F.transform(r, lambda p: p[c]))) for c in ("x", "y"))
@@ -121,6 +143,14 @@ def distance_steps(lat1: str, lon1: str, lat2: str, lon2: str) -> list[tuple[str
     return steps
 
 
+def earth_centred(lat: Column, lon: Column) -> list[Column]:
+    """x, y, z in metres of a point on the ellipsoid. No way along the ellipsoid is shorter than the straight line."""
+    square = FLATTENING * (2 - FLATTENING)
+    normal = F.lit(MAJOR) / F.sqrt(1 - F.lit(square) * F.sin(F.radians(lat)) * F.sin(F.radians(lat)))
+    flat = normal * F.cos(F.radians(lat))
+    return [flat * F.cos(F.radians(lon)), flat * F.sin(F.radians(lon)), normal * (1 - square) * F.sin(F.radians(lat))]
+
+
 def with_distance(df: DataFrame, lat1: str, lon1: str, lat2: str, lon2: str) -> DataFrame:
     """df and distance_m between two points on the ellipsoid. The result passes through explode, so that filters on
     it stay above the steps instead of being unfolded into all of them."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the form of a tile's name.
 TILE = r"^([NS])(\d{2})_([EW])(\d{3})$"
 
 

@@ -10,40 +10,109 @@ from pyspark.sql import types as T
 
 PRODUCTS = ("level2A", "level2B", "level4A", "level4C")
 
-# Variables by product. A suffix [n] marks a profile of n bins, :type one that is not float.
+FLOAT, DOUBLE, INT, TEXT, PROFILE = T.FloatType(), T.DoubleType(), T.IntegerType(), T.StringType(), T.ArrayType(T.FloatType())
+
+# Variables by product, in order, and the bins of profiles.
 VARIABLES = {
-    "level2A": """elev_lowestmode delta_time:double sensitivity:double sensitivity_a1:double sensitivity_a2:double degrade_flag:int
-        quality_flag:int landsat_treecover modis_treecover modis_treecover_sd modis_nonvegetated modis_nonvegetated_sd
-        solar_elevation solar_azimuth energy_total digital_elevation_model digital_elevation_model_srtm
-        num_detectedmodes:int rh[101] selected_algorithm:int surface_flag:int elev_highestreturn_a1
-        elev_highestreturn_a2 stale_return_flag:int rx_maxamp sd_corrected rx_algrunflag:int zcross toploc""",
-    "level2B": """l2b_algorithm_run_flag:int l2a_quality_flag:int l2b_quality_flag:int cover cover_z[30] fhd_normal omega
-        pai pai_z[30] pavd_z[30] pgap_theta pgap_theta_error rg rhog rhog_error rhov rhov_error rossg rv
-        rx_range_highestreturn selected_l2a_algorithm:int selected_rg_algorithm:int dz""",
-    "level4A": """l2_quality_flag:int l4_quality_flag:int l4_algorithm_run_flag:int xvar predictor_limit_flag:int
-        response_limit_flag:int agbd:double agbd_pi_lower agbd_pi_upper agbd_se agbd_t agbd_t_se
-        predict_stratum:string landsat_water_persistence leaf_off_flag:int leaf_off_doy:int leaf_on_cycle:int
-        leaf_on_doy:int urban_proportion pft_class:int region_class:int""",
-    "level4C": """wsci wsci_pi_lower wsci_pi_upper wsci_quality_flag:int wsci_xy wsci_xy_pi_lower wsci_xy_pi_upper
-        wsci_z wsci_z_pi_lower wsci_z_pi_upper""",
+    "level2A": [
+        T.StructField("elev_lowestmode", FLOAT),
+        T.StructField("delta_time", DOUBLE),
+        T.StructField("sensitivity", DOUBLE),
+        T.StructField("sensitivity_a1", DOUBLE),
+        T.StructField("sensitivity_a2", DOUBLE),
+        T.StructField("degrade_flag", INT),
+        T.StructField("quality_flag", INT),
+        T.StructField("landsat_treecover", FLOAT),
+        T.StructField("modis_treecover", FLOAT),
+        T.StructField("modis_treecover_sd", FLOAT),
+        T.StructField("modis_nonvegetated", FLOAT),
+        T.StructField("modis_nonvegetated_sd", FLOAT),
+        T.StructField("solar_elevation", FLOAT),
+        T.StructField("solar_azimuth", FLOAT),
+        T.StructField("energy_total", FLOAT),
+        T.StructField("digital_elevation_model", FLOAT),
+        T.StructField("digital_elevation_model_srtm", FLOAT),
+        T.StructField("num_detectedmodes", INT),
+        T.StructField("rh", PROFILE, metadata={"bins": 101}),
+        T.StructField("selected_algorithm", INT),
+        T.StructField("surface_flag", INT),
+        T.StructField("elev_highestreturn_a1", FLOAT),
+        T.StructField("elev_highestreturn_a2", FLOAT),
+        T.StructField("stale_return_flag", INT),
+        T.StructField("rx_maxamp", FLOAT),
+        T.StructField("sd_corrected", FLOAT),
+        T.StructField("rx_algrunflag", INT),
+        T.StructField("zcross", FLOAT),
+        T.StructField("toploc", FLOAT),
+    ],
+    "level2B": [
+        T.StructField("l2b_algorithm_run_flag", INT),
+        T.StructField("l2a_quality_flag", INT),
+        T.StructField("l2b_quality_flag", INT),
+        T.StructField("cover", FLOAT),
+        T.StructField("cover_z", PROFILE, metadata={"bins": 30}),
+        T.StructField("fhd_normal", FLOAT),
+        T.StructField("omega", FLOAT),
+        T.StructField("pai", FLOAT),
+        T.StructField("pai_z", PROFILE, metadata={"bins": 30}),
+        T.StructField("pavd_z", PROFILE, metadata={"bins": 30}),
+        T.StructField("pgap_theta", FLOAT),
+        T.StructField("pgap_theta_error", FLOAT),
+        T.StructField("rg", FLOAT),
+        T.StructField("rhog", FLOAT),
+        T.StructField("rhog_error", FLOAT),
+        T.StructField("rhov", FLOAT),
+        T.StructField("rhov_error", FLOAT),
+        T.StructField("rossg", FLOAT),
+        T.StructField("rv", FLOAT),
+        T.StructField("rx_range_highestreturn", FLOAT),
+        T.StructField("selected_l2a_algorithm", INT),
+        T.StructField("selected_rg_algorithm", INT),
+        T.StructField("dz", FLOAT),
+    ],
+    "level4A": [
+        T.StructField("l2_quality_flag", INT),
+        T.StructField("l4_quality_flag", INT),
+        T.StructField("l4_algorithm_run_flag", INT),
+        T.StructField("xvar", FLOAT),
+        T.StructField("predictor_limit_flag", INT),
+        T.StructField("response_limit_flag", INT),
+        T.StructField("agbd", DOUBLE),
+        T.StructField("agbd_pi_lower", FLOAT),
+        T.StructField("agbd_pi_upper", FLOAT),
+        T.StructField("agbd_se", FLOAT),
+        T.StructField("agbd_t", FLOAT),
+        T.StructField("agbd_t_se", FLOAT),
+        T.StructField("predict_stratum", TEXT),
+        T.StructField("landsat_water_persistence", FLOAT),
+        T.StructField("leaf_off_flag", INT),
+        T.StructField("leaf_off_doy", INT),
+        T.StructField("leaf_on_cycle", INT),
+        T.StructField("leaf_on_doy", INT),
+        T.StructField("urban_proportion", FLOAT),
+        T.StructField("pft_class", INT),
+        T.StructField("region_class", INT),
+    ],
+    "level4C": [
+        T.StructField("wsci", FLOAT),
+        T.StructField("wsci_pi_lower", FLOAT),
+        T.StructField("wsci_pi_upper", FLOAT),
+        T.StructField("wsci_quality_flag", INT),
+        T.StructField("wsci_xy", FLOAT),
+        T.StructField("wsci_xy_pi_lower", FLOAT),
+        T.StructField("wsci_xy_pi_upper", FLOAT),
+        T.StructField("wsci_z", FLOAT),
+        T.StructField("wsci_z_pi_lower", FLOAT),
+        T.StructField("wsci_z_pi_upper", FLOAT),
+    ],
 }
 # Variables that are one number a beam.
 ANCILLARY = ("dz",)
 
-_TYPES = {"float": T.FloatType(), "double": T.DoubleType(), "int": T.IntegerType(), "string": T.StringType()}
-
-
-def _field(text: str) -> T.StructField:
-    name, _, kind = text.partition(":")
-    if name.endswith("]"):
-        name, _, bins = name[:-1].partition("[")
-        return T.StructField(name, T.ArrayType(T.FloatType()), metadata={"bins": int(bins)})
-    return T.StructField(name, _TYPES[kind or "float"])
-
 
 def product_fields(product: str) -> list[T.StructField]:
-    """Variables of a product as its source has them: profiles are arrays."""
-    return [_field(x) for x in VARIABLES[product].split()]
+    """Variables of a product as its source has them, profiles as arrays; the metadata names the product."""
+    return [T.StructField(f.name, f.dataType, metadata={**(f.metadata or {}), "level": product}) for f in VARIABLES[product]]
 
 
 def unrolled(fields: list[T.StructField]) -> list[T.StructField]:
@@ -51,7 +120,7 @@ def unrolled(fields: list[T.StructField]) -> list[T.StructField]:
     out = []
     for f in fields:
         if isinstance(f.dataType, T.ArrayType):
-            out += [T.StructField(f"{f.name}_{i}", f.dataType.elementType) for i in range(f.metadata["bins"])]
+            out += [T.StructField(f"{f.name}_{i}", f.dataType.elementType, metadata={"level": f.metadata.get("level"), "bin": i}) for i in range(f.metadata["bins"])]
         else:
             out.append(f)
     return out
