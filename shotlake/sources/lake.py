@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-import struct
 from collections.abc import Iterable
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructType
+from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
 
 from shotlake.functions.geometry import RINGS
 from shotlake.schema import lake_schema
+from shotlake.sources.scratch import remove
 
 #: Rows of a row group.
 GROUP_ROWS = 10_000
@@ -32,19 +33,27 @@ def read_parts(spark: SparkSession, root: str, parts: Iterable[tuple[str, int]])
     return spark.read.option("basePath", root).parquet(*[f"{root}/tile_id={t}/year={y}" for t, y in parts])
 
 
-def write_lake(df: DataFrame, root: str, salt: int = 1, order: str = "shot_number") -> None:
-    """Write footprints by tile and year, replacing just the partitions that df holds.
+def read_plan(spark: SparkSession, root: str, tiles: Iterable[str] | None = None, schema: StructType | None = None) -> DataFrame:
+    """The plan under root, narrowed to tiles by its partitions."""
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(root)
+    return df if tiles is None else df.where(F.col("tile_id").isin(list(tiles)))
 
-    One task writes a partition; salt cuts heavy tiles into that many files.
-    """
-    slot = F.pmod(F.xxhash64(order), F.lit(salt))
-    df = df.repartition("tile_id", "year", slot).sortWithinPartitions("tile_id", "year", order)
+
+def write_lake(df: DataFrame, root: str, order: str = "shot_number") -> None:
+    """Write footprints by tile and year, replacing just the partitions that df holds. Rows are rebalanced by tile and
+    year, so that light partitions share a task and a heavy one is several tasks and files, each of them in order."""
+    df = df.hint("rebalance", "tile_id", "year").sortWithinPartitions("tile_id", "year", order)
     _overwrite(df, root, "tile_id", "year")
 
 
 def write_plan(df: DataFrame, root: str) -> None:
     """Write a plan by tile, replacing just the tiles that df holds."""
-    _overwrite(df.repartition("tile_id").sortWithinPartitions("tile_id", "granule_key"), root, "tile_id")
+    _overwrite(df.hint("rebalance", "tile_id").sortWithinPartitions("tile_id", "granule_key"), root, "tile_id")
+
+
+def write_result(df: DataFrame, path: str) -> None:
+    """Write a query's result as one table."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
 def _overwrite(df: DataFrame, root: str, *by: str) -> None:
@@ -53,15 +62,23 @@ def _overwrite(df: DataFrame, root: str, *by: str) -> None:
 
 
 def merge_updates(spark: SparkSession, updates: str, root: str) -> None:
-    """Put updated partitions over those of the lake; others stay."""
+    """Put updated partitions over those of the lake; others stay. updates isn't touched, so that a merge that was
+    broken off is made good by another."""
     write_lake(spark.read.parquet(updates), root)
 
 
 def set_aside(spark: SparkSession, root: str, stale: DataFrame, archive: str) -> DataFrame:
-    """Copy the tiles in stale (tile_id) to archive and return their names, to be rebuilt and written over."""
-    tiles = stale.select("tile_id").distinct()
-    write_lake(spark.read.parquet(root).join(tiles, "tile_id", "left_semi"), archive)
-    return tiles
+    """Move the tiles in stale (tile_id) to archive and return their names, to be built anew. They leave the lake only
+    when the archive holds all of them; a move that was broken off can be repeated."""
+    lake = spark.read.parquet(root)
+    moved = lake.join(stale.select("tile_id").distinct(), "tile_id", "left_semi")
+    # of 64,800 tiles on the globe
+    names = [r["tile_id"] for r in moved.select("tile_id").distinct().collect()]
+    if names:
+        write_lake(lake.where(F.col("tile_id").isin(names)), archive)
+    for name in names:
+        remove(spark, f"{root}/tile_id={name}")
+    return spark.createDataFrame([(n,) for n in names], "tile_id string")
 
 
 def register(spark: SparkSession, table: str, root: str, schema: StructType | None = None) -> list[str]:
@@ -78,16 +95,23 @@ def partitions(spark: SparkSession, table: str) -> list[str]:
     return [r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
 
 
+def data_files(spark: SparkSession, root: str) -> DataFrame:
+    """(path, tile_id, year) of the data files under root, from their names alone: no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True).load(root).select("path")
+    part = lambda name: F.regexp_extract("path", f"/{name}=([^/]+)/", 1)
+    return files.select("path", part("tile_id").alias("tile_id"), part("year").try_cast("int").alias("year"))
+
+
 def new_files(listed: DataFrame, known: DataFrame) -> DataFrame:
     """Data files (path) of the listing that aren't in the ledger yet."""
     data = listed.where(F.col("path").endswith(".parquet") & F.col("path").contains("/year="))
-    return data.select("path").distinct().join(known.select("path"), "path", "left_anti")
+    return data.dropDuplicates(["path"]).join(known.select("path"), "path", "left_anti")
 
 
-def read_regions(spark: SparkSession, path: str) -> DataFrame:
-    """(region_id, part_id, rings) of the (multi)polygons of GeoJSON files, degrees; others are left out. A ring
-    with coordinates beyond the globe is an error."""
-    raw = spark.read.schema("features array<struct<id:string,geometry:struct<type:string,coordinates:string>>>").option("multiLine", True).json(path)
+def read_regions(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """(region_id, part_id, rings) of the (multi)polygons of GeoJSON files, degrees; others are left out. A file is
+    one collection, or with `lines` one in each line. A ring with coordinates beyond the globe is an error."""
+    raw = spark.read.schema("features array<struct<id:string,geometry:struct<type:string,coordinates:string>>>").option("multiLine", not lines).json(path)
     f = raw.select(F.explode("features").alias("f")).select(F.col("f.id").alias("region_id"), F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("c"))
     poly, multi = "array<array<array<double>>>", "array<array<array<array<double>>>>"
     parts = F.when(F.col("kind") == "Polygon", F.array(F.from_json("c", poly))).when(F.col("kind") == "MultiPolygon", F.from_json("c", multi))
@@ -97,10 +121,55 @@ def read_regions(spark: SparkSession, path: str) -> DataFrame:
     return f.select("region_id", "part_id", F.when(beyond, F.raise_error(F.lit("coordinates aren't degrees"))).otherwise(rings).alias("rings"))
 
 
+#: A point as little-endian WKB: byte order, kind, coordinates.
+_POINT = np.dtype([("order", "u1"), ("kind", "<u4"), ("x", "<f8"), ("y", "<f8")])
+
+
 @F.pandas_udf(BinaryType())
 def point_wkb(lon: pd.Series, lat: pd.Series) -> pd.Series:
-    """Points as little-endian WKB, for export."""
-    return pd.Series([None if pd.isna(x) or pd.isna(y) else struct.pack("<BIdd", 1, 1, x, y) for x, y in zip(lon, lat)])
+    """Points as little-endian WKB, for export; null where a coordinate is null or NaN."""
+    points = np.zeros(len(lon), _POINT)
+    points["order"] = points["kind"] = 1
+    points["x"], points["y"] = lon.to_numpy("float64", na_value=np.nan), lat.to_numpy("float64", na_value=np.nan)
+    out = pd.Series(points.view("V21").tolist(), dtype=object)
+    return out.where(~(np.isnan(points["x"]) | np.isnan(points["y"])), None)
+
+
+@F.pandas_udf(StructType([StructField("x", DoubleType()), StructField("y", DoubleType())]))
+def point_from_wkb(wkb: pd.Series) -> pd.DataFrame:
+    """Coordinates of points as little-endian WKB; nulls for null and for anything else."""
+    fits = wkb.map(lambda b: b is not None and len(b) == 21 and bytes(b[:5]) == b"\x01\x01\x00\x00\x00").astype(bool)
+    points = np.frombuffer(b"".join(wkb[fits]), _POINT)
+    out = pd.DataFrame({"x": np.nan, "y": np.nan}, index=wkb.index).astype(object)
+    out.loc[fits, "x"], out.loc[fits, "y"] = points["x"], points["y"]
+    return out.where(fits, None)
+
+
+def point_text(lon: Column, lat: Column) -> Column:
+    """Points as WKT; null where a coordinate is null."""
+    return F.concat(F.lit("POINT ("), lon.cast("string"), F.lit(" "), lat.cast("string"), F.lit(")"))
+
+
+def point_from_text(text: Column) -> Column:
+    """struct<x, y> of a point as WKT; null for anything else."""
+    number = r"\s*([-+0-9.eE]+)\s*"
+    part = lambda i: F.regexp_extract(text, rf"^(?i:POINT)\s*\({number}\s{number}\)$", i).try_cast("double")
+    return F.when(part(1).isNotNull() & part(2).isNotNull(), F.struct(part(1).alias("x"), part(2).alias("y")))
+
+
+def rings_text(rings: Column) -> Column:
+    """A polygon's rings as WKT."""
+    ring = lambda r: F.concat(F.lit("("), F.array_join(F.transform(r, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "), F.lit(")"))
+    return F.concat(F.lit("POLYGON ("), F.array_join(F.transform(rings, ring), ", "), F.lit(")"))
+
+
+def rings_from_text(text: Column) -> Column:
+    """Rings of a polygon as WKT; null for anything else."""
+    inner = F.regexp_extract(text, r"(?i)^\s*POLYGON\s*\(\s*(\(.*\))\s*\)\s*$", 1)
+    numbers = lambda p, i: F.get(F.split(F.trim(p), r"\s+"), F.lit(i)).try_cast("double")
+    point = lambda p: F.struct(numbers(p, 0).alias("x"), numbers(p, 1).alias("y"))
+    rings = F.transform(F.regexp_extract_all(inner, F.lit(r"\(([^()]*)\)"), F.lit(1)), lambda r: F.transform(F.split(r, ","), point))
+    return F.when(inner != "", rings.cast(RINGS))
 
 
 def to_local(df: DataFrame, columns: list[str], limit: int) -> pd.DataFrame:
@@ -113,11 +182,35 @@ def to_local(df: DataFrame, columns: list[str], limit: int) -> pd.DataFrame:
 
 
 def from_local(spark: SparkSession, frame: pd.DataFrame) -> DataFrame:
-    """A local frame as a table."""
-    return spark.createDataFrame(frame)
+    """A local frame as a table; a column `geometry` of points, as WKB in hex or as WKT, becomes lon_lowestmode and
+    lat_lowestmode."""
+    df = spark.createDataFrame(frame)
+    if "geometry" not in df.columns:
+        return df
+    point = F.coalesce(point_from_text(F.col("geometry")), point_from_wkb(F.expr("try_to_binary(geometry, 'hex')")))
+    return df.withColumn("_p", point).withColumns({"lon_lowestmode": F.col("_p.x"), "lat_lowestmode": F.col("_p.y")}).drop("_p", "geometry")
+
+
+def shape(df: DataFrame) -> DataFrame:
+    """(n_rows, n_columns): what a collect would bring."""
+    return df.agg(F.count("*").alias("n_rows")).withColumn("n_columns", F.lit(len(df.columns)))
+
+
+def first_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
+    """The first n rows in an order."""
+    return df.orderBy(*order).limit(n)
+
+
+def describe(df: DataFrame, like: str | None = None) -> DataFrame:
+    """A table's columns as a table: column_name, column_type, level, unit, description; those whose name is like a
+    pattern, if there is one."""
+    rows = [(f.name, f.dataType.simpleString(), *[f.metadata.get(k) for k in ("level", "unit", "description")]) for f in df.schema.fields]
+    found = df.sparkSession.createDataFrame(rows, "column_name string, column_type string, level string, unit string, description string")
+    return found.where(F.col("column_name").like(like)) if like else found
 
 
-def describe(df: DataFrame) -> DataFrame:
-    """A table's columns as a table: column_name, column_type, unit, description."""
-    rows = [(f.name, f.dataType.simpleString(), f.metadata.get("unit"), f.metadata.get("description")) for f in df.schema.fields]
-    return df.sparkSession.createDataFrame(rows, "column_name string, column_type string, unit string, description string")
+def profile(df: DataFrame, like: str) -> DataFrame:
+    """Of each numeric column whose name is like a pattern: column_name, column_type, n (values), least, most."""
+    kinds = [(r["column_name"], r["column_type"]) for r in describe(df, like).collect() if r["column_type"] in ("int", "bigint", "float", "double")]
+    asked = [F.struct(F.lit(c).alias("column_name"), F.lit(k).alias("column_type"), F.count(c).alias("n"), F.min(F.col(c).cast("double")).alias("least"), F.max(F.col(c).cast("double")).alias("most")) for c, k in kinds]
+    return df.agg(F.array(*asked).alias("all")).select(F.explode("all").alias("c")).select("c.*")
