@@ -11,13 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.functions.geometry import box_rings, distance_steps
+from shotlake.functions.geometry import RINGS, box_rings, extent
 from shotlake.functions.granules import granule_key, hash_list, parse_name, start_time
 from shotlake.functions.tiles import tile_bounds, tile_of
 from shotlake.operators import build, catalog, maintain, spatial
 from shotlake.operators.crossovers import crossovers
 from shotlake.plans.tile_plan import open_tiles, plan_tiles
+from shotlake.sources import lake
 from shotlake.sources.listings import parse_entries
+from shotlake.sources.scratch import new_path
+from shotlake.streaming.intake import build_tiles, merge_plans
 
 #: Columns of shots in SQL that engines share; k is the order's key, day the days since 2018 began.
 SHOT = {
@@ -57,27 +60,27 @@ def aoi(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.lit("aoi").alias("region_id"), box_rings(*map(F.lit, AOI)).alias("rings"))
 
 
+_REGION_X = "CASE WHEN c % 50 = 0 THEN c % 16 - 266 ELSE c * 7919 % 1280 - 640 END"
+_REGION_Y = "CASE WHEN c % 50 = 0 THEN c % 12 - 24 ELSE c * 104729 % 640 - 320 END"
+
+
 def customer_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A box of up to 2.5 degrees for each customer, on a grid of quarter degrees, some with edges on tiles'."""
+    """A box of up to 2.5 degrees for each customer, on a grid of quarter degrees, some with edges on tiles', one in
+    fifty near the shots."""
     c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("c"))
-    x, y = (F.col("c") * 7919 % 1280 - 640) / F.lit(4.0), (F.col("c") * 104729 % 640 - 320) / F.lit(4.0)
+    c = c.select("c", F.expr(f"({_REGION_X}) / CAST(4 AS DOUBLE)").alias("x"), F.expr(f"({_REGION_Y}) / CAST(4 AS DOUBLE)").alias("y"))
+    x, y = F.col("x"), F.col("y")
     w, h = (F.col("c") % 10 + 1) / F.lit(4.0), (F.col("c") % 7 + 1) / F.lit(4.0)
     return c.select(F.col("c").alias("region_id"), box_rings(x, y, x + w, y + h).alias("rings"))
 
 
-_SQL_REGIONS = """regions AS (SELECT c_custkey AS region_id, (c_custkey * 7919 % 1280 - 640) / CAST(4 AS DOUBLE) AS x, (c_custkey * 104729 % 640 - 320) / CAST(4 AS DOUBLE) AS y,
- (c_custkey % 10 + 1) / CAST(4 AS DOUBLE) AS w, (c_custkey % 7 + 1) / CAST(4 AS DOUBLE) AS h FROM customer),
+_SQL_REGIONS = f"""regions AS (SELECT c AS region_id, ({_REGION_X}) / CAST(4 AS DOUBLE) AS x, ({_REGION_Y}) / CAST(4 AS DOUBLE) AS y,
+ (c % 10 + 1) / CAST(4 AS DOUBLE) AS w, (c % 7 + 1) / CAST(4 AS DOUBLE) AS h FROM (SELECT c_custkey AS c FROM customer)),
 cells AS (SELECT i AS minx, j AS miny FROM range(-180, 180) t(i), range(-90, 90) u(j)),
 met AS (SELECT region_id, minx, miny FROM regions JOIN cells ON minx <= x + w AND minx + 1 >= x AND miny <= y + h AND miny + 1 >= y)"""
 _SQL_CELL = "concat(CASE WHEN miny + 1 < 0 THEN 'S' ELSE 'N' END, lpad(CAST(abs(miny + 1) AS VARCHAR), 2, '0'), '_', CASE WHEN minx < 0 THEN 'W' ELSE 'E' END, lpad(CAST(abs(minx) AS VARCHAR), 3, '0'))"
 
 
-def aoi_aggregate(spark, sf_dir):
-    """Means over the area of interest, found through pruned tiles."""
-    inside = spatial.within_regions(spatial.with_tile_pruning(shots(spark, sf_dir), aoi(spark)), aoi(spark))
-    return inside.where("quality_flag = 1").groupBy("region_id").agg(F.round(F.avg("agbd"), 6).alias("avg_agbd"), F.round(F.avg("rh_98"), 6).alias("avg_rh_98"), F.count("shot_number").alias("num_shots"))
-
-
 def tile_of_shots(spark, sf_dir):
     """Each shot's tile and the tile's bounds."""
     b = tile_bounds(F.col("tile_id"), strict=True)
@@ -117,15 +120,15 @@ def tiles_and_years(spark, sf_dir):
     return shots(spark, sf_dir).groupBy("tile_id", F.year("absolute_time").alias("year")).agg(F.count("*").alias("n"), F.count_distinct("granule_key").alias("granules"))
 
 
-# --- catalog: a listing derived from orders, four products a granule, one granule for each hundred orders
+# --- catalog: a listing derived from orders, four products a granule; one of the granules is denied
 
 _LIST = {
-    "n": "CAST(floor(k / CAST(100 AS DOUBLE)) AS BIGINT)",
-    "p": "CASE k % 100 WHEN 0 THEN 'level2A' WHEN 1 THEN 'level2B' WHEN 2 THEN 'level4A' ELSE 'level4C' END",
-    "po": "CAST(k % 100 AS INT)",
+    "n": "CAST(floor(k / CAST(4 AS DOUBLE)) AS BIGINT)",
+    "p": "CASE k % 4 WHEN 0 THEN 'level2A' WHEN 1 THEN 'level2B' WHEN 2 THEN 'level4A' ELSE 'level4C' END",
+    "po": "CAST(k % 4 AS INT)",
 }
-_LIST_NAME = "concat('X', CASE po WHEN 0 THEN '02_A' WHEN 1 THEN '02_B' WHEN 2 THEN '04_A' ELSE '04_C' END, '_2019', lpad(CAST(1 + n % 365 AS VARCHAR(9)), 3, '0'), '053258_O', lpad(CAST(CAST(floor(n / CAST(4 AS DOUBLE)) AS BIGINT) AS VARCHAR(9)), 5, '0'), '_', lpad(CAST(1 + n % 4 AS VARCHAR(9)), 2, '0'), '_T02132_02_003_01_V002')"
-_LIST_WHERE = "k % 100 < 4 AND NOT (po = 3 AND n % 13 = 5)"
+_LIST_NAME = "concat('X', CASE po WHEN 0 THEN '02_A' WHEN 1 THEN '02_B' WHEN 2 THEN '04_A' ELSE '04_C' END, '_', CAST(2018 + n % 4 AS VARCHAR(9)), lpad(CAST(1 + n % 365 AS VARCHAR(9)), 3, '0'), '053258_O', lpad(CAST(33760 + CAST(floor(n / CAST(4 AS DOUBLE)) AS BIGINT) AS VARCHAR(9)), 5, '0'), '_', lpad(CAST(1 + n % 4 AS VARCHAR(9)), 2, '0'), '_T02132_02_003_01_V002')"
+_LIST_WHERE = "NOT (po = 3 AND n % 13 = 5)"
 
 
 def entries(spark, sf_dir) -> DataFrame:
@@ -167,8 +170,8 @@ def granule_listing(spark, sf_dir):
 
 
 def granule_catalog(spark, sf_dir):
-    """Granules with all required products: sizes, names, URLs, hashes."""
-    rolled = catalog.roll_up(listing(spark, sf_dir), ["level2A", "level2B", "level4A"], start_year=2019, end_year=2020)
+    """Granules of two years with all required products: sizes, names, URLs, hashes."""
+    rolled = catalog.roll_up(listing(spark, sf_dir), catalog.product_tokens("level2A, Level2B,level4a,level2a"), start_year=2019, end_year=2020)
     return rolled.select("granule_key", "granule_size", F.array_join("granule_names", "|").alias("granule_names"), "level2A_url", "level4C_url", "granule_hash")
 
 
@@ -204,7 +207,7 @@ def tile_granule_plan(spark, sf_dir):
     """Customers' tiles with the granules of the catalog that meet them."""
     rolled = catalog.roll_up(listing(spark, sf_dir), ["level2A", "level2B", "level4A"])
     plan = plan_tiles(customer_regions(spark, sf_dir), rolled, "2024-01-01")
-    return plan.select("tile_id", "granule_key", "granule_hash")
+    return plan.select("tile_id", "granule_key", "granule_hash", F.date_format("cmr_access_time", "yyyy-MM-dd").alias("accessed"))
 
 
 def work_left(spark, sf_dir):
@@ -281,25 +284,273 @@ _SQL_BUILT = f"""built AS (SELECT s.*, {_SQL_TILE} AS tile_id, {_SQL_YEAR} AS ye
 
 def find_crossovers(spark, sf_dir):
     """Pairs of good shots at most 40 m apart in the area of interest."""
-    out = crossovers(shots(spark, sf_dir), aoi(spark), 40.0, "quality_flag = 1", ["agbd"])
-    return out.select("t1_shot_number", "t2_shot_number", F.round("distance_m", 3).alias("distance_m"), "t1_agbd", "t2_agbd")
+    out = crossovers(shots(spark, sf_dir), aoi(spark), 40.0, "quality_flag = 1", ["agbd"], guard=True)
+    return out.select("t1_shot_number", "t2_shot_number", F.round("distance_m", 2).alias("distance_m"), "t1_agbd", "t2_agbd")
 
 
 def _sql_crossovers() -> str:
-    ctes, last = [], "near"
-    for i, (name, e) in enumerate(distance_steps("t1_lat", "t1_lon", "t2_lat", "t2_lon")):
-        ctes.append(f"d{i} AS (SELECT *, {e} AS {name} FROM {last})")
-        last = f"d{i}"
-    return f"""WITH {_SQL_SHOTS}, pts AS (SELECT * FROM shots WHERE {_SQL_AOI} AND quality_flag = 1),
-near AS (SELECT a.shot_number AS t1_shot_number, b.shot_number AS t2_shot_number, a.lat_lowestmode AS t1_lat, a.lon_lowestmode AS t1_lon, b.lat_lowestmode AS t2_lat, b.lon_lowestmode AS t2_lon, a.agbd AS t1_agbd, b.agbd AS t2_agbd
- FROM pts a JOIN pts b ON a.shot_number < b.shot_number AND abs(a.lat_lowestmode - b.lat_lowestmode) < 0.0005 AND abs(a.lon_lowestmode - b.lon_lowestmode) < 0.0005),
-{', '.join(ctes)} SELECT t1_shot_number, t2_shot_number, round(distance_m, 3) AS distance_m, t1_agbd, t2_agbd FROM {last} WHERE distance_m <= 40"""
+    """By the straight line between points of the ellipsoid in space, bent by the earth's mean radius: at 40 m the
+    difference to the way along the ellipsoid is far below a micrometre."""
+    square = "CAST(0.0066943799901413165 AS DOUBLE)"
+    return f"""WITH {_SQL_SHOTS}, pts AS (SELECT *, radians(lat_lowestmode) AS f, radians(lon_lowestmode) AS l, CAST(6378137 AS DOUBLE) / sqrt(1 - {square} * sin(radians(lat_lowestmode)) ** 2) AS n FROM shots WHERE {_SQL_AOI} AND quality_flag = 1),
+xyz AS (SELECT *, n * cos(f) * cos(l) AS x, n * cos(f) * sin(l) AS y, n * (1 - {square}) * sin(f) AS z, CAST(floor(lat_lowestmode * 2000) AS INT) AS r, CAST(floor(lon_lowestmode * 2000) AS INT) AS c FROM pts),
+moved AS (SELECT *, r + i AS nr, c + j AS nc FROM xyz, range(-1, 2) t(i), range(-1, 2) u(j)),
+near AS (SELECT a.shot_number AS t1_shot_number, b.shot_number AS t2_shot_number, a.agbd AS t1_agbd, b.agbd AS t2_agbd, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS d FROM moved a JOIN xyz b ON a.nr = b.r AND a.nc = b.c AND a.shot_number < b.shot_number)
+SELECT t1_shot_number, t2_shot_number, round(d * (1 + d * d / (24 * 6371000.0 ** 2)), 2) AS distance_m, t1_agbd, t2_agbd FROM near WHERE d <= 40"""
+
+
+# --- the stored lake: written once for each session and folder of inputs, then read as a user of it would
+
+_stored: dict[tuple[str, str], str] = {}
+_LAKE = ["shot_number", "lat_lowestmode", "lon_lowestmode", "agbd", "rh_98", "elev_lowestmode", "quality_flag", "granule_key", "absolute_time", "tile_id", "year"]
+
+
+def _shots_by_year(spark, sf_dir) -> DataFrame:
+    return shots(spark, sf_dir).withColumn("year", F.year("absolute_time")).select(*_LAKE)
+
+
+def stored_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Where shots are stored by tile and year."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _stored:
+        root = new_path(spark, "lake")
+        lake.write_lake(_shots_by_year(spark, sf_dir), root)
+        _stored[key] = root
+    return _stored[key]
+
+
+def _read(spark, sf_dir, **narrowed) -> DataFrame:
+    return lake.read_lake(spark, stored_lake(spark, sf_dir), schema=_shots_by_year(spark, sf_dir).schema, **narrowed)
+
+
+def _by_part(df: DataFrame) -> DataFrame:
+    return df.groupBy("tile_id", "year").agg(F.count("*").alias("n"), F.min("shot_number").alias("first_shot"), F.round(F.sum("agbd"), 3).alias("sum_agbd"))
+
+
+def aoi_aggregate(spark, sf_dir):
+    """Means over the area of interest: only the tiles that it meets are read."""
+    inside = spatial.within_regions(spatial.with_tile_pruning(_read(spark, sf_dir), aoi(spark)), aoi(spark))
+    return inside.where("quality_flag = 1").groupBy("region_id").agg(F.round(F.avg("agbd"), 6).alias("avg_agbd"), F.round(F.avg("rh_98"), 6).alias("avg_rh_98"), F.count("shot_number").alias("num_shots"))
+
+
+def lake_write(spark, sf_dir):
+    """All shots, written as a lake and counted by its partitions."""
+    return _by_part(_read(spark, sf_dir))
+
+
+def lake_scan(spark, sf_dir):
+    """Shots of two tiles in three years, from their partitions alone."""
+    return _read(spark, sf_dir, tiles=["S03_W063", "S04_W064"], years=[1996, 1998, 2000]).select("shot_number", "tile_id", "year", "rh_98")
+
+
+def lake_parts(spark, sf_dir):
+    """Shots of two folders that are named."""
+    parts = lake.read_parts(spark, stored_lake(spark, sf_dir), [("S03_W063", 1997), ("S04_W063", 1999)])
+    return parts.select("shot_number", "tile_id", F.col("year").cast("int").alias("year"), "agbd")
+
+
+def lake_update(spark, sf_dir):
+    """The lake after some of its partitions were built anew: one year of one tile with other values, a new tile."""
+    root, updates = new_path(spark, "lake"), new_path(spark, "updates")
+    lake.write_lake(_read(spark, sf_dir, tiles=["S03_W063", "S04_W063"]), root)
+    newer = _read(spark, sf_dir, tiles=["S03_W063"], years=[1997]).where("shot_number % 2 = 0").withColumn("agbd", F.col("agbd") + 1)
+    lake.write_lake(newer.unionByName(_read(spark, sf_dir, tiles=["S04_W064"], years=[1998])), updates)
+    lake.merge_updates(spark, updates, root)
+    return _by_part(lake.read_lake(spark, root, schema=newer.schema))
+
+
+def lake_set_aside(spark, sf_dir):
+    """The lake and its archive after stale tiles (those whose granules drifted, but for three) were moved and one of
+    them was built anew."""
+    root, archive = new_path(spark, "lake"), new_path(spark, "archive")
+    lake.write_lake(_read(spark, sf_dir), root)
+    stale = metadata_drift(spark, sf_dir).select("tile_id").where("tile_id not in ('S03_W063', 'S04_W063', 'S03_W064')").unionByName(spark.range(1).select(F.lit("S03_W064").alias("tile_id")))
+    lake.set_aside(spark, root, stale, archive)
+    lake.write_lake(_read(spark, sf_dir, tiles=["S03_W064"]).where("quality_flag = 1"), root)
+    schema = _shots_by_year(spark, sf_dir).schema
+    both = [lake.read_lake(spark, at, schema=schema).select("tile_id", F.lit(name).alias("place")) for name, at in (("lake", root), ("archive", archive))]
+    return both[0].unionByName(both[1]).groupBy("tile_id", "place").agg(F.count("*").alias("n"))
+
+
+def lake_partitions(spark, sf_dir):
+    """Partitions of the lake as a registered table, from the catalog alone."""
+    table = "shots_" + new_path(spark, "t").rpartition("-")[2]
+    try:
+        found = lake.register(spark, table, stored_lake(spark, sf_dir), _shots_by_year(spark, sf_dir).schema)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    # a row for each tile and year: at most 64,800 tiles
+    parts = spark.createDataFrame([(p,) for p in found], "part string")
+    return parts.select(F.regexp_extract("part", "tile_id=([^/]+)", 1).alias("tile_id"), F.regexp_extract("part", "year=(\\d+)", 1).cast("int").alias("year"))
+
+
+def lake_files(spark, sf_dir):
+    """Tiles and years of data files that a ledger of those before 1998 lacks, from their names alone."""
+    files = lake.data_files(spark, stored_lake(spark, sf_dir))
+    return lake.new_files(files, files.where("year < 1998")).select("tile_id", "year").distinct()
+
+
+def plan_store(spark, sf_dir):
+    """The later plan as stored by tile, of three tiles."""
+    root = new_path(spark, "plan")
+    lake.write_plan(_metadata(spark, sf_dir, 2), root)
+    plan = lake.read_plan(spark, root, ["S03_W063", "S04_W064", "N00_E000"])
+    return plan.select("tile_id", "granule_key", "granule_hash", F.date_format("cmr_access_time", "yyyy-MM-dd").alias("accessed"))
+
+
+def coverage(spark, sf_dir):
+    """Whether the stored tiles are covered by the later plan, and the customers' tiles by the stored ones."""
+    stored, planned = _read(spark, sf_dir).select("tile_id"), _metadata(spark, sf_dir, 2)
+    wanted = spatial.covering_tiles(customer_regions(spark, sf_dir))
+    rows = [("stored", maintain.is_covered(stored, planned)), ("wanted", maintain.is_covered(wanted, stored))]
+    return spark.createDataFrame(rows, "what string, covered boolean")
+
+
+def stored_result(spark, sf_dir):
+    """Pairs of shots as a stored table: how many each shot is the first of."""
+    path = new_path(spark, "crossovers")
+    lake.write_result(find_crossovers(spark, sf_dir), path)
+    return spark.read.parquet(path).groupBy("t1_shot_number").agg(F.count("*").alias("n"), F.max("distance_m").alias("farthest"))
+
+
+def column_profile(spark, sf_dir):
+    """Of the lake's columns whose names are like %e%v%: type, values, least and most."""
+    return lake.profile(_read(spark, sf_dir), "%e%v%")
+
+
+def table_shape(spark, sf_dir):
+    """Rows and columns of the good shots, before any is collected."""
+    return lake.shape(_read(spark, sf_dir).where("quality_flag = 1"))
+
+
+def top_shots(spark, sf_dir):
+    """The ten shots with most biomass."""
+    return lake.first_rows(_read(spark, sf_dir), 10, F.desc("agbd"), F.col("shot_number")).select("shot_number", "tile_id", "agbd")
+
+
+def point_formats(spark, sf_dir):
+    """Places of shots after they went through text and binary."""
+    df = _read(spark, sf_dir).select("shot_number", lake.point_text(F.col("lon_lowestmode"), F.col("lat_lowestmode")).alias("text"), lake.point_wkb("lon_lowestmode", "lat_lowestmode").alias("wkb"))
+    df = df.select("shot_number", F.hex(F.substring("wkb", 1, 5)).alias("head"), F.octet_length("wkb").alias("bytes"), lake.point_from_wkb("wkb").alias("b"), lake.point_from_text(F.col("text")).alias("t"))
+    return df.select("shot_number", "head", "bytes", F.col("b.x").alias("lon_b"), F.col("b.y").alias("lat_b"), F.col("t.x").alias("lon_t"), F.col("t.y").alias("lat_t"))
+
+
+def local_exchange(spark, sf_dir):
+    """The first thousand good shots as a local frame with their points, and back as a table."""
+    good = lake.first_rows(_read(spark, sf_dir).where("quality_flag = 1"), 1000, F.col("shot_number"))
+    return lake.from_local(spark, lake.to_local(good, ["shot_number", "agbd"], 1000)).select("shot_number", "agbd", "lon_lowestmode", "lat_lowestmode")
+
+
+# --- regions with slanted edges, holes and two parts, one for each nation, among the shots
+
+_CENTRE = ("(-63700 + n % 5 * 310 + n)", "(-4650 + (n - n % 5) * 58 + n)")
+_OUTER = [(-260, -30), (10, -310), (290, 50), (-40, 270)]
+_HOLE = [(-60, -40), (70, -20), (-10, 90)]
+_SECOND = [(400, 100), (520, -60), (610, 130)]
+
+
+def _at(x: int, y: int) -> tuple[str, str]:
+    return tuple(f"({c} + {d}) / CAST(1000 AS DOUBLE)" for c, d in zip(_CENTRE, (x, y)))
+
+
+def nation_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(region_id, part_id, rings): a quadrilateral with a hole, and a triangle."""
+    n = spark.read.parquet(f"{sf_dir}/nation.parquet").select(F.col("n_nationkey").alias("n"))
+    ring = lambda corners: "array(" + ", ".join(f"named_struct('x', {x}, 'y', {y})" for x, y in (_at(*c) for c in [*corners, corners[0]])) + ")"
+    parts = F.array(F.expr(f"array({ring(_OUTER)}, {ring(_HOLE)})").cast(RINGS), F.expr(f"array({ring(_SECOND)})").cast(RINGS))
+    return n.select(F.col("n").cast("string").alias("region_id"), F.posexplode(parts).alias("part_id", "rings"))
+
+
+def region_shots(spark, sf_dir):
+    """Shots of the lake in the nations' regions."""
+    regions = nation_regions(spark, sf_dir)
+    inside = spatial.within_regions(spatial.with_tile_pruning(_read(spark, sf_dir), regions), regions)
+    return inside.groupBy("region_id").agg(F.count("*").alias("n"), F.sum("shot_number").alias("sum_shots"))
+
+
+def geojson_regions(spark, sf_dir):
+    """The nations' regions, written as GeoJSON and read again: corners of each ring and the part's extent."""
+    path = new_path(spark, "geojson")
+    line = lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"]))
+    polygon = F.transform("rings", line)
+    feature = F.array(F.struct(F.col("region_id").alias("id"), F.struct(F.lit("MultiPolygon").alias("type"), F.col("coordinates")).alias("geometry")))
+    features = nation_regions(spark, sf_dir).groupBy("region_id").agg(F.array_sort(F.collect_list(F.struct("part_id", polygon.alias("p")))).alias("parts")).withColumn("coordinates", F.transform("parts", lambda x: x["p"]))
+    features.select(F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), feature.alias("features"))).alias("value")).write.text(path)
+    read = lake.read_regions(spark, path, lines=True).withColumn("rings", lake.rings_from_text(lake.rings_text(F.col("rings"))))
+    box = extent(F.col("rings"))
+    return read.select("region_id", F.col("part_id").cast("int").alias("part_id"), F.array_join(F.transform("rings", lambda r: F.size(r).cast("string")), ",").alias("corners"), *[c.alias(n) for n, c in box.items()])
+
+
+def region_cover(spark, sf_dir):
+    """Boxes of five degrees that the customers' regions meet, and tiles that the nations' do."""
+    five = spatial.covering_cells(customer_regions(spark, sf_dir), step=5).select(F.col("region_id").cast("long").alias("region_id"), "minx", "miny", F.lit(5).alias("step"))
+    one = spatial.covering_cells(nation_regions(spark, sf_dir).where("part_id = 0").select(F.col("region_id").cast("long").alias("region_id"), "rings")).select("region_id", "minx", "miny", F.lit(1).alias("step"))
+    return five.unionByName(one)
+
+
+def _sql_edges() -> str:
+    rows = [(part, *_at(*a), *_at(*b)) for part, ring in ((0, _OUTER), (0, _HOLE), (1, _SECOND)) for a, b in zip(ring, ring[1:] + ring[:1])]
+    return "edges AS (" + " UNION ALL ".join(f"SELECT n, {p} AS part, {ax} AS ax, {ay} AS ay, {bx} AS bx, {by} AS by_ FROM (SELECT n_nationkey AS n FROM nation)" for p, ax, ay, bx, by in rows) + ")"
+
+
+_TURN = "(bx - ax) * ({y} - ay) - (by_ - ay) * ({x} - ax)"
+_SQL_INSIDE = f"""hits AS (SELECT s.shot_number, e.n, e.part, count(*) FILTER (WHERE (ay > y) <> (by_ > y) AND x < (bx - ax) * (y - ay) / (by_ - ay) + ax) AS crossed,
+ count(*) FILTER (WHERE {_TURN.format(x='x', y='y')} = 0 AND x BETWEEN least(ax, bx) AND greatest(ax, bx) AND y BETWEEN least(ay, by_) AND greatest(ay, by_)) AS touched
+ FROM (SELECT shot_number, lon_lowestmode AS x, lat_lowestmode AS y FROM shots) s, edges e GROUP BY 1, 2, 3)"""
+#: A quadrilateral meets a tile if an edge does, or holds its middle; none of the nations' regions holds a tile.
+_SQL_MEETS = f"""SELECT DISTINCT CAST(n AS BIGINT) AS region_id, CAST(i AS INT) AS minx, CAST(j AS INT) AS miny, 1 AS step FROM edges, range(-66, -60) t(i), range(-7, -1) u(j) WHERE part = 0 AND least(ax, bx) <= i + 1 AND greatest(ax, bx) >= i AND least(ay, by_) <= j + 1 AND greatest(ay, by_) >= j
+ AND least({', '.join(_TURN.format(x=x, y=y) for x in ('i', '(i + 1)') for y in ('j', '(j + 1)'))}) <= 0 AND greatest({', '.join(_TURN.format(x=x, y=y) for x in ('i', '(i + 1)') for y in ('j', '(j + 1)'))}) >= 0"""
+
+
+# --- streams
+
+def plan_stream(spark, sf_dir):
+    """Both versions of the plan, merged as they arrive."""
+    incoming, root, seen = (new_path(spark, n) for n in ("incoming", "plan", "seen"))
+    for version in (1, 2):
+        rows = _metadata(spark, sf_dir, version)
+        rows.write.mode("append").parquet(incoming)
+        merge_plans(spark, incoming, rows.schema, seen, root).awaitTermination()
+    plan = lake.read_plan(spark, root, schema=rows.schema)
+    return plan.select("tile_id", "granule_key", "granule_hash", F.date_format("cmr_access_time", "yyyy-MM-dd").alias("accessed"))
+
+
+def build_stream(spark, sf_dir):
+    """The lake as it is built while files of one product arrive, a few years at a time."""
+    incoming, root, seen = (new_path(spark, n) for n in ("incoming", "lake", "seen"))
+    tables, plan = products(spark, sf_dir), build_plan(spark, sf_dir)
+    years = shots(spark, sf_dir).select("shot_number", F.year("absolute_time").alias("_year"))
+    for some in ("_year < 1998", "_year >= 1998"):
+        rows = tables["level4A"].join(years.where(some), "shot_number", "left_semi")
+        rows.write.mode("append").parquet(incoming)
+        build_tiles(spark, incoming, rows.schema, seen, "level4A", tables, plan, root).awaitTermination()
+    return _by_part(spark.read.parquet(root)).withColumn("year", F.col("year").cast("int"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        lake_write,
         aoi_aggregate,
+        lake_scan,
+        lake_parts,
+        lake_update,
+        lake_set_aside,
+        lake_partitions,
+        lake_files,
+        plan_store,
+        coverage,
+        stored_result,
+        column_profile,
+        table_shape,
+        top_shots,
+        point_formats,
+        local_exchange,
+        region_shots,
+        geojson_regions,
+        region_cover,
+        plan_stream,
+        build_stream,
         tile_of_shots,
         quality_shots,
         month_profile,
@@ -323,12 +574,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-_KEYED = "concat('O', lpad(CAST(CAST(floor(n / CAST(4 AS DOUBLE)) AS BIGINT) AS VARCHAR), 5, '0'), '_', lpad(CAST(1 + n % 4 AS VARCHAR), 2, '0'))"
+_KEYED = "concat('O', lpad(CAST(33760 + CAST(floor(n / CAST(4 AS DOUBLE)) AS BIGINT) AS VARCHAR), 5, '0'), '_', lpad(CAST(1 + n % 4 AS VARCHAR), 2, '0'))"
 _SQL_ROLLED = f"""rolled AS (SELECT {_KEYED} AS granule_key, n, sum(granule_size) AS granule_size, list(granule_name ORDER BY po) AS names, bool_or(po = 3) AS has_4c
- FROM listing GROUP BY 1, 2 HAVING count(DISTINCT po) FILTER (WHERE po < 3) = 3),
+ FROM listing GROUP BY 1, 2 HAVING count(DISTINCT po) FILTER (WHERE po < 3) = 3 AND granule_key <> 'O33765_03'),
 hashed AS (SELECT *, md5(array_to_string([concat(length(x), ':', x) for x in names], ',')) AS granule_hash FROM rolled)"""
 
+_SQL_LAKE = f"{_SQL_SHOTS}, stored AS (SELECT *, {_SQL_TILE} AS tile_id, {_SQL_YEAR} AS year FROM shots)"
+_SQL_PART = "tile_id, year, count(*) AS n, min(shot_number) AS first_shot, round(sum(agbd), 3) AS sum_agbd"
+_SQL_EXTENT = "least(min(ax), min(bx)) AS minx, least(min(ay), min(by_)) AS miny, greatest(max(ax), max(bx)) AS maxx, greatest(max(ay), max(by_)) AS maxy"
+_SQL_MERGED = "SELECT tile_id, granule_key, granule_hash, strftime(cmr_access_time, '%Y-%m-%d') AS accessed FROM (SELECT *, row_number() OVER (PARTITION BY granule_key, tile_id ORDER BY cmr_access_time DESC, granule_hash DESC) AS rn FROM u) WHERE rn = 1"
+
 ORACLE_SQL: dict[str, str] = {
+    "lake_write": f"WITH {_SQL_LAKE} SELECT {_SQL_PART} FROM stored GROUP BY tile_id, year",
+    "lake_scan": f"WITH {_SQL_LAKE} SELECT shot_number, tile_id, year, rh_98 FROM stored WHERE tile_id IN ('S03_W063', 'S04_W064') AND year IN (1996, 1998, 2000)",
+    "lake_parts": f"WITH {_SQL_LAKE} SELECT shot_number, tile_id, year, agbd FROM stored WHERE (tile_id, year) IN (('S03_W063', 1997), ('S04_W063', 1999))",
+    "lake_update": f"WITH {_SQL_LAKE}, after AS (SELECT tile_id, year, shot_number, agbd FROM stored WHERE tile_id IN ('S03_W063', 'S04_W063') AND NOT (tile_id = 'S03_W063' AND year = 1997) UNION ALL SELECT tile_id, year, shot_number, agbd + 1 FROM stored WHERE tile_id = 'S03_W063' AND year = 1997 AND shot_number % 2 = 0 UNION ALL SELECT tile_id, year, shot_number, agbd FROM stored WHERE tile_id = 'S04_W064' AND year = 1998) SELECT {_SQL_PART} FROM after GROUP BY tile_id, year",
+    "lake_set_aside": f"WITH {_SQL_LAKE}, {_sql_metadata(1)}, {_sql_metadata(2)}, stale AS (SELECT c.tile_id AS t FROM md2 c JOIN md1 e USING (tile_id, granule_key) WHERE e.granule_hash <> c.granule_hash AND c.tile_id NOT IN ('S03_W063', 'S04_W063', 'S03_W064') UNION SELECT 'S03_W064') SELECT tile_id, 'archive' AS place, count(*) AS n FROM stored WHERE tile_id IN (SELECT t FROM stale) GROUP BY 1 UNION ALL SELECT tile_id, 'lake', count(*) FROM stored WHERE tile_id NOT IN (SELECT t FROM stale) OR (tile_id = 'S03_W064' AND quality_flag = 1) GROUP BY 1",
+    "lake_partitions": f"WITH {_SQL_LAKE} SELECT DISTINCT tile_id, year FROM stored",
+    "lake_files": f"WITH {_SQL_LAKE} SELECT DISTINCT tile_id, year FROM stored WHERE year >= 1998",
+    "plan_store": f"WITH {_SQL_SHOTS}, {_sql_metadata(2)} SELECT tile_id, granule_key, granule_hash, strftime(cmr_access_time, '%Y-%m-%d') AS accessed FROM md2 WHERE tile_id IN ('S03_W063', 'S04_W064', 'N00_E000')",
+    "coverage": f"WITH {_SQL_LAKE}, {_SQL_REGIONS}, {_sql_metadata(2)} SELECT 'stored' AS what, count(*) = 0 AS covered FROM stored WHERE tile_id NOT IN (SELECT tile_id FROM md2) UNION ALL SELECT 'wanted', count(*) = 0 FROM met WHERE {_SQL_CELL} NOT IN (SELECT tile_id FROM stored)",
+    "stored_result": f"SELECT t1_shot_number, count(*) AS n, max(distance_m) AS farthest FROM ({_sql_crossovers()}) GROUP BY 1",
+    "column_profile": f"WITH {_SQL_LAKE} " + " UNION ALL ".join(f"SELECT '{c}' AS column_name, 'double' AS column_type, count({c}) AS n, min({c}) AS least, max({c}) AS most FROM stored" for c in ("elev_lowestmode",)),
+    "table_shape": f"WITH {_SQL_LAKE} SELECT count(*) AS n_rows, {len(_LAKE)} AS n_columns FROM stored WHERE quality_flag = 1",
+    "top_shots": f"WITH {_SQL_LAKE} SELECT shot_number, tile_id, agbd FROM stored ORDER BY agbd DESC, shot_number LIMIT 10",
+    "point_formats": f"WITH {_SQL_SHOTS} SELECT shot_number, '0101000000' AS head, 21 AS bytes, lon_lowestmode AS lon_b, lat_lowestmode AS lat_b, lon_lowestmode AS lon_t, lat_lowestmode AS lat_t FROM shots",
+    "local_exchange": f"WITH {_SQL_SHOTS} SELECT shot_number, agbd, lon_lowestmode, lat_lowestmode FROM shots WHERE quality_flag = 1 ORDER BY shot_number LIMIT 1000",
+    "region_shots": f"WITH {_SQL_SHOTS}, {_sql_edges()}, {_SQL_INSIDE} SELECT CAST(n AS VARCHAR) AS region_id, count(*) AS n, CAST(sum(shot_number) AS BIGINT) AS sum_shots FROM hits WHERE crossed % 2 = 1 AND touched = 0 GROUP BY 1",
+    "geojson_regions": f"WITH {_sql_edges()} SELECT CAST(n AS VARCHAR) AS region_id, part AS part_id, CASE part WHEN 0 THEN '5,4' ELSE '4' END AS corners, {_SQL_EXTENT} FROM edges GROUP BY n, part",
+    "region_cover": f"WITH {_SQL_REGIONS}, {_sql_edges()} SELECT CAST(region_id AS BIGINT) AS region_id, CAST(minx AS INT) AS minx, CAST(miny AS INT) AS miny, 5 AS step FROM regions JOIN (SELECT i * 5 AS minx, j * 5 AS miny FROM range(-36, 36) t(i), range(-18, 18) u(j)) ON minx <= x + w AND minx + 5 >= x AND miny <= y + h AND miny + 5 >= y UNION ALL {_SQL_MEETS}",
+    "plan_stream": f"WITH {_SQL_SHOTS}, {_sql_metadata(1)}, {_sql_metadata(2)}, u AS (SELECT * FROM md1 UNION ALL SELECT * FROM md2) {_SQL_MERGED}",
+    "build_stream": f"WITH {_SQL_SHOTS}, {_SQL_BUILT} SELECT {_SQL_PART} FROM built GROUP BY tile_id, year",
     "aoi_aggregate": f"WITH {_SQL_SHOTS} SELECT 'aoi' AS region_id, round(avg(agbd), 6) AS avg_agbd, round(avg(rh_98), 6) AS avg_rh_98, count(*) AS num_shots FROM shots WHERE {_SQL_AOI} AND quality_flag = 1",
     "tile_of_shots": f"WITH {_SQL_SHOTS} SELECT shot_number, {_SQL_TILE} AS tile_id, CAST(floor(lon_lowestmode) AS INT) AS minx, CAST(ceil(lat_lowestmode) AS INT) - 1 AS miny, CAST(floor(lon_lowestmode) AS INT) + 1 AS maxx, CAST(ceil(lat_lowestmode) AS INT) AS maxy FROM shots",
     "quality_shots": f"WITH {_SQL_SHOTS} SELECT shot_number, round(agbd, 3) AS agbd, rh_98, sensitivity, sensitivity_a2, rh_98 > 20 AS tall FROM shots WHERE {_SQL_GOOD}",
@@ -336,11 +612,11 @@ ORACLE_SQL: dict[str, str] = {
     "global_aggregate": f"WITH {_SQL_SHOTS} SELECT {_SQL_TILE} AS tile_id, round(avg(agbd), 6) AS avg_agbd, count(*) AS n, min(agbd) AS min_agbd, max(agbd) AS max_agbd FROM shots WHERE quality_flag = 1 AND rh_98 > 20 AND {_SQL_TILE} IN ('S03_W063', 'S04_W064') GROUP BY 1",
     "box_and_dates": f"WITH {_SQL_SHOTS} SELECT shot_number, strftime(DATE '2018-01-01' + CAST(day AS INT) + 1, '%Y-%m-%d') AS next_day FROM shots WHERE lon_lowestmode > -63.0 AND lon_lowestmode < -62.5 AND lat_lowestmode > -4.2 AND lat_lowestmode < -3.8",
     "tiles_and_years": f"WITH {_SQL_SHOTS} SELECT {_SQL_TILE} AS tile_id, {_SQL_YEAR} AS year, count(*) AS n, count(DISTINCT granule_key) AS granules FROM shots GROUP BY 1, 2",
-    "granule_listing": f"WITH {_SQL_LIST} SELECT granule_name, concat('s3://bucket/', granule_name, '.h5') AS granule_url, CAST(granule_size AS DOUBLE) AS granule_size, CAST(-(n % 170) + 1.5 AS DOUBLE) AS corner_x, CAST(n % 80 + 0.5 AS DOUBLE) AS corner_y, {_KEYED} AS granule_key, strftime(DATE '2019-01-01' + CAST(n % 365 AS INT), '%Y-%m-%d 05:32:58') AS started, 'T02132' AS ground_track FROM listing",
-    "granule_catalog": f"WITH {_SQL_LIST}, {_SQL_ROLLED} SELECT granule_key, CAST(granule_size AS DOUBLE) AS granule_size, array_to_string(names, '|') AS granule_names, concat('s3://bucket/', names[1], '.h5') AS level2A_url, CASE WHEN has_4c THEN concat('s3://bucket/', names[4], '.h5') END AS level4C_url, granule_hash FROM hashed",
+    "granule_listing": f"WITH {_SQL_LIST} SELECT granule_name, concat('s3://bucket/', granule_name, '.h5') AS granule_url, CAST(granule_size AS DOUBLE) AS granule_size, CAST(-(n % 170) + 1.5 AS DOUBLE) AS corner_x, CAST(n % 80 + 0.5 AS DOUBLE) AS corner_y, {_KEYED} AS granule_key, strftime(make_date(CAST(2018 + n % 4 AS BIGINT), 1, 1) + CAST(n % 365 AS INT), '%Y-%m-%d 05:32:58') AS started, 'T02132' AS ground_track FROM listing",
+    "granule_catalog": f"WITH {_SQL_LIST}, {_SQL_ROLLED} SELECT granule_key, CAST(granule_size AS DOUBLE) AS granule_size, array_to_string(names, '|') AS granule_names, concat('s3://bucket/', names[1], '.h5') AS level2A_url, CASE WHEN has_4c THEN concat('s3://bucket/', names[4], '.h5') END AS level4C_url, granule_hash FROM hashed WHERE 2018 + n % 4 BETWEEN 2019 AND 2020",
     "tile_cover": f"WITH {_SQL_REGIONS} SELECT m.region_id, {_SQL_CELL} AS tile_id, minx > x AND minx + 1 < x + w AND miny > y AND miny + 1 < y + h AS inside FROM met m JOIN regions r ON m.region_id = r.region_id",
     "cover_union": f"WITH {_SQL_REGIONS} SELECT DISTINCT {_SQL_CELL} AS tile_id FROM met",
-    "tile_granule_plan": f"WITH {_SQL_REGIONS}, {_SQL_LIST}, {_SQL_ROLLED}, wanted AS (SELECT DISTINCT minx, miny FROM met) SELECT {_SQL_CELL} AS tile_id, granule_key, granule_hash FROM hashed JOIN wanted ON minx <= -(n % 170) + 1.5 AND minx + 1 >= -(n % 170) AND miny <= n % 80 + 0.5 AND miny + 1 >= n % 80",
+    "tile_granule_plan": f"WITH {_SQL_REGIONS}, {_SQL_LIST}, {_SQL_ROLLED}, wanted AS (SELECT DISTINCT minx, miny FROM met) SELECT {_SQL_CELL} AS tile_id, granule_key, granule_hash, '2024-01-01' AS accessed FROM hashed JOIN wanted ON minx <= -(n % 170) + 1.5 AND minx + 1 >= -(n % 170) AND miny <= n % 80 + 0.5 AND miny + 1 >= n % 80",
     "work_left": f"WITH {_SQL_SHOTS}, {_SQL_REGIONS} SELECT DISTINCT {_SQL_CELL} AS tile_id FROM met WHERE {_SQL_CELL} NOT IN (SELECT {_SQL_TILE} FROM shots) ORDER BY 1",
     "plan_summary": f"WITH {_SQL_SHOTS}, {_SQL_REGIONS}, {_sql_metadata(2)}, r AS (SELECT DISTINCT {_SQL_CELL} AS t FROM met), p AS (SELECT DISTINCT tile_id AS t FROM md2), s AS (SELECT DISTINCT {_SQL_TILE} AS t FROM shots) SELECT (SELECT count(*) FROM r) AS required, (SELECT count(*) FROM r WHERE t IN (SELECT t FROM s)) AS existing, (SELECT count(*) FROM r WHERE t NOT IN (SELECT t FROM s)) AS missing, (SELECT count(*) FROM r WHERE t NOT IN (SELECT t FROM p)) AS unplanned, (SELECT count(*) FROM s WHERE t NOT IN (SELECT t FROM p)) AS stored_unplanned",
     "metadata_merge": f"WITH {_SQL_SHOTS}, {_sql_metadata(1)}, {_sql_metadata(2)}, u AS (SELECT * FROM md1 UNION ALL SELECT * FROM md2) SELECT tile_id, granule_key, granule_hash, strftime(cmr_access_time, '%Y-%m-%d') AS accessed FROM (SELECT *, row_number() OVER (PARTITION BY granule_key, tile_id ORDER BY cmr_access_time DESC, granule_hash DESC) AS rn FROM u) WHERE rn = 1",

@@ -84,6 +84,32 @@ def test_contains_against_brute_force(spark):
     assert sorted(map(tuple, got.select("lon_lowestmode", "lat_lowestmode").collect())) == sorted((x, y) for x, y, w in rows if w)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_points_in_clipped_polygons_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    ring = lambda x, y, r, k: [(round(x + math.cos(2 * math.pi * i / k) * rng.uniform(0.5, 1) * r, 1), round(y + math.sin(2 * math.pi * i / k) * rng.uniform(0.5, 1) * r, 1)) for i in range(k)]
+    # corners lie on a grid of tenths, so that many are on the edges and corners of tiles, like some of the points
+    shapes = [[ring(0, 0, 5, 9), ring(0.3, 0.1, 1.5, 5)], [ring(3, 2, 2, 4)], box(-1, -1, 1, 1), box(-2, 0, 3, 1)]
+    points = [(round(rng.uniform(-6, 6), rng.choice([0, 1, 1, 3])), round(rng.uniform(-6, 6), rng.choice([0, 1, 1, 3]))) for _ in range(1500)]
+
+    def inside(shape, x, y):
+        odd = False
+        for r in shape:
+            for (ax, ay), (bx, by) in zip(r, r[1:] + r[:1]):
+                if (bx - ax) * (y - ay) - (by - ay) * (x - ax) == 0 and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+                    return False
+                if (ay > y) != (by > y) and x < (bx - ax) * (y - ay) / (by - ay) + ax:
+                    odd = not odd
+        return odd
+
+    df = spark.createDataFrame([(float(x), float(y)) for x, y in points], "lon_lowestmode double, lat_lowestmode double")
+    got = spatial.within_regions(df, regions(spark, *shapes)).collect()
+    want = [(x, y, str(i)) for i, s in enumerate(shapes) for x, y in points if inside(s, x, y)]
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 200
+    once = spatial.within_any(df, regions(spark, *shapes))
+    assert sorted(map(tuple, once.collect())) == sorted((x, y) for x, y in points if any(inside(s, x, y) for s in shapes))
+
+
 def test_covering_tiles_count_touching_and_slanted_edges(spark):
     names = lambda *s: sorted(r[0] for r in spatial.covering_tiles(regions(spark, *s)).select("tile_id").collect())
     assert names(box(-63.2, -4.2, -62.8, -3.8)) == ["S03_W063", "S03_W064", "S04_W063", "S04_W064"]
@@ -115,12 +141,14 @@ def test_pruning_reaches_partitions(spark, tmp_path):
 def test_write_replaces_only_its_partitions(spark, tmp_path):
     schema = "shot_number long, tile_id string, year int"
     root, more, aside = (str(tmp_path / n) for n in ("lake", "updates", "archive"))
-    lake.write_lake(spark.createDataFrame([(1, "N01_E000", 2019), (2, "N01_E000", 2020), (3, "N02_E000", 2019)], schema), root, salt=2)
+    lake.write_lake(spark.createDataFrame([(1, "N01_E000", 2019), (2, "N01_E000", 2020), (3, "N02_E000", 2019)], schema), root)
     lake.write_lake(spark.createDataFrame([(9, "N01_E000", 2020)], schema), more)
     lake.merge_updates(spark, more, root)
     assert sorted(r.shot_number for r in spark.read.parquet(root).collect()) == [1, 3, 9]
     stale = lake.set_aside(spark, root, spark.createDataFrame([("N02_E000",)], "tile_id string"), aside)
     assert [r.tile_id for r in stale.collect()] == ["N02_E000"] and [r.shot_number for r in spark.read.parquet(aside).collect()] == [3]
+    assert sorted(r.shot_number for r in spark.read.parquet(root).collect()) == [1, 9]  # moved, not copied
+    assert lake.set_aside(spark, root, stale, aside).count() == 0 and spark.read.parquet(aside).count() == 1
 
 
 def test_register_adds_partitions(spark, tmp_path):
@@ -143,11 +171,36 @@ def test_local_frames_and_description(spark):
     assert frame.geometry[0] == "0101000000000000000000F83F0000000000000440"
     with pytest.raises(ValueError, match="nothing"):
         lake.to_local(df, ["nothing"], 1)
-    assert lake.from_local(spark, frame).count() == 1
+    assert [tuple(r) for r in lake.from_local(spark, frame).collect()] == [(1, 1.5, 2.5)]
+    texts = frame.assign(geometry=["point( 1.5  -2.5e0 )"])
+    assert [tuple(r) for r in lake.from_local(spark, texts).collect()] == [(1, 1.5, -2.5)]
+    assert lake.from_local(spark, frame[["shot_number"]]).count() == 1
     found = lake.describe(spark.createDataFrame([], lake_schema())).where("column_name LIKE '%elev%'")
     assert {r.column_name for r in found.collect()} == {"elev_lowestmode", "solar_elevation", "digital_elevation_model", "digital_elevation_model_srtm", "elev_highestreturn_a1", "elev_highestreturn_a2"}
 
 
+def test_geometry_text_and_binary(spark):
+    rows = [(1.5, -2.25), (-180.0, 90.0), (None, 1.0), (float("nan"), 1.0), (1e-7, 123.456)]
+    df = spark.createDataFrame(rows, "x double, y double").select("x", "y", lake.point_wkb("x", "y").alias("w"), lake.point_text(F.col("x"), F.col("y")).alias("t"))
+    for r in df.select("x", "y", "w", lake.point_from_wkb("w").alias("b"), lake.point_from_text(F.col("t")).alias("p")).collect():
+        if r.x is None or r.x != r.x:
+            assert r.w is None and r.b.x is None
+        else:
+            assert (r.b.x, r.b.y) == (r.p.x, r.p.y) == (r.x, r.y)
+    bad = spark.createDataFrame([("POINT (a 1)",), ("LINE (1 2)",), (None,)], "t string").select(lake.point_from_text(F.col("t")).alias("p"), lake.rings_from_text(F.col("t")).alias("r"), lake.point_from_wkb(F.encode("t", "utf-8")).alias("w"))
+    assert all(r.p is None and r.r is None and r.w.x is None for r in bad.collect())
+    shapes = regions(spark, box(0, 0, 4, 4) + box(1, 1, 2, 2))
+    back = shapes.select("rings", lake.rings_from_text(lake.rings_text(F.col("rings"))).alias("again")).first()
+    assert back.rings == back.again and len(back.again) == 2
+
+
+def test_shape_first_rows_and_profile(spark):
+    df = spark.createDataFrame([(1, 2.0, "a"), (2, None, "b"), (3, 5.0, None)], "shot_number long, level double, name string")
+    assert tuple(lake.shape(df).first()) == (3, 3) and [r.shot_number for r in lake.first_rows(df, 2, F.desc("shot_number")).collect()] == [3, 2]
+    assert [tuple(r) for r in lake.profile(df, "%e%").collect()] == [("shot_number", "bigint", 3, 1.0, 3.0), ("level", "double", 2, 2.0, 5.0)]
+    assert {r.level for r in lake.describe(spark.createDataFrame([], lake_schema()), "rh^_%".replace("^", "\\")).collect()} == {"level2A"}
+
+
 def test_regions_from_geojson(spark, tmp_path):
     doc = {"features": [{"id": "a", "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [1, 1], [0, 0]]]}}, {"id": "b", "geometry": {"type": "MultiPolygon", "coordinates": [[[[2, 2], [3, 2], [3, 3], [2, 2]]], [[[4, 4], [5, 4], [5, 5], [4, 4]]]]}}]}
     (tmp_path / "r.json").write_text(json.dumps(doc))
@@ -332,3 +385,23 @@ def test_plan_stream_keeps_the_latest(spark, tmp_path):
         merge_plans(spark, incoming, part.schema, str(tmp_path / "c"), root).awaitTermination(120)
     got = sorted((r.tile_id, r.granule_key, r.granule_hash) for r in spark.read.parquet(root).collect())
     assert got == [("A", "g", "2"), ("A", "h", "1"), ("B", "g", "1")]
+
+
+def test_broken_off_merge_is_made_good(spark, tmp_path, monkeypatch):
+    from shotlake.streaming import intake
+
+    incoming, root = str(tmp_path / "in"), str(tmp_path / "plan")
+    plan_rows(spark, ("A", "g", "1", 1), ("A", "k", "1", 1)).coalesce(1).write.parquet(incoming)
+    merge_plans(spark, incoming, spark.read.parquet(incoming).schema, str(tmp_path / "c"), root).awaitTermination(120)
+    plan_rows(spark, ("A", "g", "2", 2)).coalesce(1).write.mode("append").parquet(incoming)
+
+    def broken(df, at):
+        lake.remove(spark, f"{at}/tile_id=A")  # as if it had ended between deleting and writing
+        raise RuntimeError("broken off")
+
+    with monkeypatch.context() as m:
+        m.setattr(intake, "write_plan", broken)
+        with pytest.raises(Exception, match="broken off"):
+            merge_plans(spark, incoming, spark.read.parquet(incoming).schema, str(tmp_path / "c"), root).awaitTermination(120)
+    merge_plans(spark, incoming, spark.read.parquet(incoming).schema, str(tmp_path / "c"), root).awaitTermination(120)
+    assert sorted((r.granule_key, r.granule_hash) for r in spark.read.parquet(root).collect()) == [("g", "2"), ("k", "1")]
