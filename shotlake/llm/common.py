@@ -2,16 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shotlake.sources.scratch import new_path, remove
+
 #: Seed of every seeded hash unless a caller gives another.
 SEED = 42
-#: Scratch folders by application, where the session names none.
-_own: dict[str, str] = {}
+#: Tables written by materialise, by application.
+_written: dict[str, list[str]] = {}
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,20 +23,12 @@ def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a folder of our own only where that is unset (local tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = _own.setdefault(spark.sparkContext.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="spark-")
-        _own[spark.sparkContext.applicationId] = found
-    return found
-
-
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet into the shared folder and read it back: lineage is cut, a lost executor costs at most
     the tasks that it ran, and the shuffle files behind df are removed."""
     spark, cleanup = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    path, was = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", spark.conf.get(cleanup, "false")
+    path, was = new_path(spark, name), spark.conf.get(cleanup, "false")
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     spark.conf.set(cleanup, "true")
     try:
         df.write.parquet(path)
@@ -46,16 +37,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clear(spark: SparkSession) -> None:
+    """Remove the tables that materialise has written for this application: results that were made of them must have
+    been written by then."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
+
+
 def size_hint(df: DataFrame) -> int:
     """Catalyst's estimate of df in bytes: for a scan, the size of its files; 0 where it knows none."""
     found = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return found if found < 1 << 60 else 0
 
 
+def input_size(df: DataFrame) -> int:
+    """size_hint, or where the planner knows none (a table made from rows, say) the length of df's rows as JSON."""
+    found = size_hint(df)
+    if not found:
+        width = F.octet_length(F.to_json(F.struct(*[df[f"`{c}`"].alias(f"c{i}") for i, c in enumerate(df.columns)])))
+        found = df.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0).cast("long"))).first()[0]
+    return found
+
+
 def partitions_for(df: DataFrame, bytes_each: int) -> int:
     """Partitions that keep each near bytes_each of the input, at least the session's shuffle partitions."""
     spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1_000_000, -(-size_hint(df) // bytes_each)))
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(1_000_000, -(-input_size(df) // bytes_each)))
 
 
 def unit_hash(*cols: Column, seed: int = SEED) -> Column:
