@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,8 +13,8 @@ from shotlake.llm.common import SEED, materialise
 TOKEN = r"[^\x20\x09-\x0D]+"
 #: No source is repeated more often than this, if no entropy is asked for.
 MAX_REPETITION = 1.5
-#: Halvings of the exponent's interval, and documents meant for one block of a permutation.
-STEPS, BLOCK = 60, 4096
+#: Documents meant for one block of a permutation.
+BLOCK = 4096
 
 
 def counted(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -29,54 +31,51 @@ def weights(rows: DataFrame, target_entropy: float | None = None, max_repetition
     target_entropy (in nats; 1 if the shares already have more), or else the smallest that repeats no source more
     than max_repetition times. Without a budget of tokens, the mixture is the least that holds every document
     once. A source's budget is met by `epochs` whole permutations and `rest` tokens of a further one.
-    The sources' shares are one array in one row: their number, not the data's, bounds it.
+
+    Sources stay rows of a table, however many there are. Those of equal size are counted together, and the bisection
+    asks that table for sums over it; only the sums, the least and the largest size reach the driver.
     """
-    shares = rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0")
-    one = shares.agg(F.array_sort(F.collect_list(F.struct("source", F.col("tokens").cast("double").alias("tokens")))).alias("all"))
-    total = F.aggregate("all", F.lit(0.0), lambda s, x: s + x["tokens"])
-    one = one.where(F.size("all") > 0).withColumn("total", total)
-    one = one.withColumn("p", F.transform("all", lambda x: x["tokens"] / F.col("total")))
-
-    def spread(a: Column) -> Column:
-        raw = F.transform("p", lambda p: F.pow(p, a))
-        return F.transform(F.array(F.struct(raw.alias("raw"), F.aggregate(raw, F.lit(0.0), lambda s, x: s + x).alias("sum"))), lambda r: F.transform(r["raw"], lambda x: x / r["sum"]))[0]
-
-    def met(a: Column) -> Column:
-        w = spread(a)
+    shares = materialise(rows.groupBy("source").agg(F.sum("n_tokens").alias("tokens")).where("tokens > 0"), "shares")
+    alike = materialise(shares.groupBy("tokens").agg(F.count("*").alias("n")), "sizes")
+    least, most, total = alike.agg(F.min("tokens"), F.max("tokens"), F.sum(F.col("tokens") * F.col("n"))).first()
+    share = F.col("tokens") / F.lit(float(total or 1))
+
+    def sums(exponents: list[float]) -> list[tuple[float, float]]:
+        """Of each exponent the sum of share ** exponent over all sources, and that of its products with ln share."""
+        raised = [F.col("n") * F.pow(share, F.lit(a)) for a in exponents]
+        got = alike.agg(*[F.sum(r).alias(f"s{i}") for i, r in enumerate(raised)], *[F.sum(r * F.log(share)).alias(f"l{i}") for i, r in enumerate(raised)]).first()
+        return list(zip(got[: len(raised)], got[len(raised) :]))
+
+    def met(exponents: list[float]) -> list[bool]:
         if target_entropy is not None:
-            return F.aggregate(w, F.lit(0.0), lambda s, x: s - x * F.log(x)) >= F.lit(float(target_entropy))
-        ratio = F.zip_with(w, "p", lambda x, p: x / p)
-        most = F.array_max(ratio)
-        # without a budget the source repeated least is taken once, and ratios are relative to it
-        repeated = most / F.array_min(ratio) if budget is None else most * F.lit(float(budget)) / F.col("total")
-        return repeated <= F.lit(float(max_repetition))
-
-    # the condition holds for small exponents where an entropy is asked for, for large ones with a limit
-    def halve(s: Column, _: Column) -> Column:
-        mid = (s["lo"] + s["hi"]) / 2
-        up = met(mid) if target_entropy is not None else ~met(mid)
-        return F.struct(F.when(up, mid).otherwise(s["lo"]).alias("lo"), F.when(up, s["hi"]).otherwise(mid).alias("hi"))
-
-    begin = F.struct(F.lit(0.0).alias("lo"), F.lit(1.0).alias("hi"))
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(STEPS)), begin, halve)
-    if target_entropy is not None:
-        exponent = F.when(met(F.lit(1.0)), F.lit(1.0)).otherwise(found["lo"])
-    else:
-        exponent = F.when(met(F.lit(0.0)), F.lit(0.0)).otherwise(found["hi"])
-    one = one.withColumn("exponent", exponent).withColumn("w", spread(F.col("exponent")))
-    if budget is None:
-        one = one.withColumn("whole", F.array_max(F.zip_with("all", "w", lambda x, w: x["tokens"] / w)))
-    else:
-        one = one.withColumn("whole", F.lit(float(budget)))
-    each = one.select("exponent", "whole", F.explode(F.arrays_zip("all", "p", "w")).alias("x"))
-    each = each.select(
-        F.col("x.all.source").alias("source"),
-        F.col("x.all.tokens").cast("long").alias("tokens"),
-        F.col("x.p").alias("share"),
-        "exponent",
-        F.col("x.w").alias("weight"),
-        F.round(F.col("x.w") * F.col("whole")).cast("long").alias("budget"),
-    )
+            return [math.log(s) - a * x / s >= target_entropy for a, (s, x) in zip(exponents, sums(exponents))]
+        if budget is None:
+            # the source repeated least, the largest, is taken once, and the smallest is repeated most
+            return [(most / least) ** (1 - a) <= max_repetition for a in exponents]
+        return [(least / total) ** (a - 1) / s * budget / total <= max_repetition for a, (s, _) in zip(exponents, sums(exponents))]
+
+    exponent = normal = 1.0
+    if total:
+        # the condition holds for small exponents where an entropy is asked for, for large ones with a limit
+        small = target_entropy is not None
+        lo, hi = 0.0, 1.0
+        if met([1.0 if small else 0.0])[0]:
+            lo = hi = 1.0 if small else 0.0
+        while lo < (lo + hi) / 2 < hi:
+            # four halvings at a time: all places where they can come to are asked for together
+            places = [lo + (hi - lo) * k / 16 for k in range(17)]
+            holds = met(places[1:-1])
+            a, b = 0, 16
+            while b - a > 1:
+                k = (a + b) // 2
+                a, b = (k, b) if holds[k - 1] == small else (a, k)
+            lo, hi = places[a], places[b]
+        exponent = lo if small else hi
+        normal = sums([exponent])[0][0]
+    raised = F.pow(share, F.lit(exponent))
+    # the largest source is taken once, if there is no budget
+    wanted = raised * F.lit(float(total or 0) * ((most or 1) / (total or 1)) ** (1 - exponent)) if budget is None else raised / F.lit(normal) * F.lit(float(budget))
+    each = shares.select("source", "tokens", share.alias("share"), F.lit(exponent).alias("exponent"), (raised / F.lit(normal)).alias("weight"), F.round(wanted).cast("long").alias("budget"))
     epochs = F.floor(F.col("budget") / F.col("tokens")).cast("int")
     return each.withColumn("epochs", epochs).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
 
@@ -97,6 +96,7 @@ def positions(rows: DataFrame, mixture: DataFrame, seed: int = SEED, block: int
     """
     sizes = rows.groupBy("source").count().withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("count") / block)).cast("int"))
     plan = sizes.join(mixture, sizes["source"].eqNullSafe(mixture["source"]), "left").select(sizes["source"].alias("of"), "blocks", "budget", F.coalesce("epochs", F.lit(1)).alias("epochs"), F.coalesce("rest", F.lit(0).cast("long")).alias("rest"))
+    plan = materialise(plan, "mixing-plan")
     last = F.col("epochs") + F.when(F.col("rest") > 0, 0).otherwise(-1)
     used = rows.join(F.broadcast(plan) if _few(plan) else plan, rows["source"].eqNullSafe(plan["of"])).where(last >= 0)
     used = used.select("doc_id", "source", "n_tokens", "blocks", "budget", "epochs", "rest", F.explode(F.sequence(F.lit(0), last)).alias("epoch"))
@@ -143,11 +143,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     rows = counted(docs, id_col, source_col, text_col)
     mixture = weights(rows, target_entropy, max_repetition, budget)
     uses = positions(rows, mixture, seed)
-    last = uses.groupBy("source").agg(F.max("epoch").alias("last"))
-    key = F.struct(F.shiftrightunsigned(_order(F.col("epoch"), seed, F.col("doc_id"), F.col("n_tokens")), 1).alias("o"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.col("n_tokens").alias("n"))
-    ends = uses.groupBy("source", "epoch").agg(F.max(key).alias("end"))
-    ends = ends.join(last.withColumnRenamed("source", "of"), ends["source"].eqNullSafe(F.col("of")) & (ends["epoch"] == F.col("last")))
-    ends = materialise(ends.select(F.col("source").alias("_of"), "last", "end"), "mixing-ends")
+    at = F.shiftrightunsigned(_order(F.col("epoch"), seed, F.col("doc_id"), F.col("n_tokens")), 1)
+    # of each source the last epoch, and in that the greatest row in its order
+    key = F.struct(F.col("epoch").alias("last"), at.alias("o"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.col("n_tokens").alias("n"))
+    ends = uses.groupBy("source").agg(F.max(key).alias("k")).select(F.col("source").alias("_of"), "k.last", F.struct("k.o", "k.d", "k.n").alias("end"))
+    ends = materialise(ends, "mixing-ends")
     source, text = docs[source_col].cast("string"), F.coalesce(docs[text_col], F.lit(""))
     record = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
     all_rows = docs.select(source.alias("_source"), docs[id_col].cast("long").alias("doc_id"), F.regexp_count(text, F.lit(TOKEN)).cast("long").alias("n_tokens"), record.alias("record"))
