@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shotlake.llm.common import SEED, size_hint
+from shotlake.llm.common import SEED, input_size
+from shotlake.llm.expressions import let
 
 SHARDS = 40
-#: Stored bytes of input that one bucket is meant to hold: what a task has in memory at once.
-BUCKET_BYTES = 4 << 20
+#: Stored bytes and rows of input that one bucket is meant to hold: what a task has in memory at once.
+BUCKET_BYTES, BUCKET_ROWS = 4 << 20, 2048
 
 
 def shard_of(key: Column, shards: int, seed: int = SEED) -> Column:
@@ -19,28 +20,55 @@ def shard_of(key: Column, shards: int, seed: int = SEED) -> Column:
     return F.array_max(scores)["s"]
 
 
-def shuffle_shards(docs: DataFrame, id_col: str = "doc_id", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def fisher_yates(n: Column, *seeds: Column) -> Column:
+    """A permutation of 0 to n - 1: from the last place down, each is swapped with one at or before it that a hash of
+    the seeds and the place draws."""
+
+    def swap(a: Column, i: Column) -> Column:
+        def at(j: Column) -> Column:
+            far, near = F.array(F.get(a, i)), F.array(F.get(a, j))
+            return F.when(i == j, a).otherwise(F.concat(F.slice(a, F.lit(1), j), far, F.slice(a, j + 2, i - j - 1), near, F.slice(a, i + 2, F.size(a))))
+
+        return let(F.pmod(F.xxhash64(*seeds, i), (i + 1).cast("long")).cast("int"), at)
+
+    start = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    places = F.when(n > 1, F.sequence(n - 1, F.lit(1), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(places, start, swap)
+
+
+def buckets_for(docs: DataFrame, shards: int, bucket_bytes: int = BUCKET_BYTES, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Buckets of a shard, from the input's size and the rows counted."""
+    return max(1, -(-input_size(docs) // (shards * bucket_bytes)), -(-docs.count() // (shards * bucket_rows)))
+
+
+def bucketed(docs: DataFrame, id_col: str, shards: int, seed: int, parts: int) -> DataFrame:
+    """Pass 1: (shard, part, hash, record) of every row."""
+    key = F.coalesce(docs[id_col].cast("string"), F.lit("null"))
+    content = F.xxhash64(F.lit(seed + 1), key, *_hashable(docs))
+    record = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
+    return docs.select(shard_of(key, shards, seed).alias("shard"), F.pmod(content, F.lit(parts)).alias("part"), F.xxhash64(F.lit(seed + 2), key, content).alias("hash"), record.alias("record"))
+
+
+def shuffle_shards(docs: DataFrame, id_col: str = "doc_id", shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(shard, slot, record): every row of docs as the struct record, in a seeded random order within its shard.
 
-    Pass 1 scatters rows by seeded hashes of the id into buckets of about bucket_bytes, several to a shard. Pass
-    2 gathers a bucket in memory, sorts it and applies Spark's seeded Fisher-Yates shuffle. slot counts from 0
-    without gaps in each shard: the sizes of the buckets before it, known from a scan of the ids alone, plus the
-    place within the bucket. The rows' columns keep their names inside record, so none can clash. Nulls are
-    kept; repeated rows are kept as often as they occur; an empty table gives none.
+    Pass 1 scatters rows into the buckets of their shard: the shard by seeded hashes of the id, the bucket by one of
+    the whole row, so that rows of one id, or of none, spread over the buckets of its shard. Pass 2 gathers a bucket
+    in memory, sorts it by hash and permutes it by a Fisher-Yates shuffle that the seed and the bucket decide: the
+    slots are the same however the input is partitioned. slot counts from 0 without gaps in each shard: the sizes of
+    the buckets before it plus the place within the bucket. The rows' columns keep their names inside record, so none
+    can clash. Nulls are kept; rows that are equal in every column share a bucket and are kept as often as they occur;
+    an empty table gives none.
     """
-    parts = max(1, -(-size_hint(docs) // (shards * bucket_bytes)))
-    key = F.coalesce(docs[id_col].cast("string"), F.lit("null"))
-    shard = shard_of(key, shards, seed).alias("shard")
-    part = F.pmod(F.xxhash64(F.lit(seed + 1), key), F.lit(parts)).alias("part")
-    sizes = docs.select(shard, part).groupBy("shard", "part").count()
+    parts = buckets_for(docs, shards, bucket_bytes, bucket_rows)
+    rows = bucketed(docs, id_col, shards, seed, parts)
+    sizes = rows.groupBy("shard", "part").count()
     before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sizes = sizes.select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base"))
-    record = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
-    buckets = docs.select(shard, part, F.struct(key.alias("key"), F.xxhash64(*_hashable(docs)).alias("hash"), record.alias("record")).alias("row"))
-    buckets = buckets.groupBy("shard", "part").agg(F.collect_list("row").alias("rows"))
-    by_key = lambda a, b: F.when(F.struct(a["key"], a["hash"]) < F.struct(b["key"], b["hash"]), -1).when(F.struct(a["key"], a["hash"]) > F.struct(b["key"], b["hash"]), 1).otherwise(0)
-    mixed = buckets.select("shard", "part", F.shuffle(F.array_sort("rows", by_key), seed).alias("rows"))
-    placed = mixed.join(sizes, ["shard", "part"]).select("shard", "base", F.posexplode("rows").alias("place", "row"))
+    buckets = rows.groupBy("shard", "part").agg(F.collect_list(F.struct("hash", "record")).alias("rows"))
+    by_hash = lambda a, b: F.when(a["hash"] < b["hash"], -1).when(a["hash"] > b["hash"], 1).otherwise(0)
+    mixed = let(F.array_sort("rows", by_hash), lambda r: F.transform(fisher_yates(F.size(r), F.lit(seed), F.col("shard"), F.col("part")), lambda k: F.get(r, k)))
+    placed = buckets.select("shard", "part", mixed.alias("rows")).join(sizes, ["shard", "part"]).select("shard", "base", F.posexplode("rows").alias("place", "row"))
     return placed.select("shard", (F.col("base") + F.col("place")).alias("slot"), F.col("row.record").alias("record"))
 
 
@@ -49,9 +77,15 @@ def _hashable(docs: DataFrame) -> list[Column]:
     return [docs[f"`{f.name}`"] for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
 
 
-def write_shards(docs: DataFrame, path: str, **options) -> None:
-    """Write shuffle_shards as Parquet: a folder for each shard, whose files are read in the order of slots. A
-    column of docs named shard or slot is written as record_shard or record_slot."""
+def write_shards(docs: DataFrame, path: str, files: int = 8, **options) -> None:
+    """Write shuffle_shards as Parquet: a folder for each shard with up to `files` files, each written by a task of its
+    own; in the order of their names they are read in the order of slots. A column of docs named shard or slot is
+    written as record_shard or record_slot."""
     own = {c: f"record_{c}" if c.lower() in ("shard", "slot") else c for c in docs.columns}
+    shards = options.get("shards", SHARDS)
     out = shuffle_shards(docs, **options).select("shard", "slot", *[F.col(f"record.`{c}`").alias(n) for c, n in own.items()])
-    out.repartition("shard").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
+    # as many slots in each file, counted for the mean shard
+    each = max(1, -(-docs.count() // (shards * files)))
+    file = F.least(F.floor(F.col("slot") / each), F.lit(files - 1)).cast("int")
+    dealt = out.repartitionById(shards * files, F.col("shard") * files + file)
+    dealt.sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
