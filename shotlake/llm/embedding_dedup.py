@@ -10,13 +10,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shotlake.llm.common import SEED, materialise
+from shotlake.llm.common import SEED, materialise, partitions_for
 from shotlake.llm.components import components
 
 #: Cosine of a link; lists that a vector searches.
 COSINE, PROBES = 0.95, 6
-#: Vectors that the index is fitted on at most; lists at most; members of a list compared in one task.
-TRAIN, MOST_LISTS, PART = 32_768, 1024, 4096
+#: Vectors that an index is fitted on at most; lists at most; members of a list, and queries to it, that meet in a task.
+TRAIN, MOST_LISTS, PART, ASKING = 32_768, 4096, 4096, 16_384
+#: Stored bytes for each partition of a search.
+SEARCH_BYTES = 4 << 20
 #: Subspaces and codewords of each.
 SUBSPACES, WORDS = 8, 256
 
@@ -155,9 +157,9 @@ def _indexed(index: Index, probes: int, reach: float):
     return run
 
 
-def _search(index: Index, cosine: float):
-    """Rows sorted by (list, part, query) to (a, b, n): a's n links found (b null), or a link that joins what was
-    apart among these rows (n 0)."""
+def _search(index: Index | None, cosine: float):
+    """Rows sorted by (list, part, asking, query) to (a, b, n): a's n links found (b null), or a link that joins what
+    was apart among these rows (n 0). Without an index every member is a candidate."""
     reach = np.sqrt(2 - 2 * cosine)
 
     class Part:
@@ -167,7 +169,7 @@ def _search(index: Index, cosine: float):
             t = pa.Table.from_batches(batches)
             self.at, self.ids, self.copies = t["list"][0].as_py(), t["class"].to_numpy(), t["copies"].to_numpy()
             self.x = np.frombuffer(b"".join(t["unit"].to_pylist())).reshape(len(self.ids), -1)
-            self.codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
+            self.codes = None if index is None else np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
             self.limit = (reach + t["miss"].to_numpy() + 1e-9) ** 2
             self.probes = [set(p) for p in t["probes"].to_pylist()]
             self.place = {c: i for i, c in enumerate(self.ids.tolist())}
@@ -181,7 +183,7 @@ def _search(index: Index, cosine: float):
             return self.back[home]
 
         def linked(self, x: np.ndarray) -> np.ndarray:
-            near = index.distances(x, self.at, self.codes) <= self.limit
+            near = np.ones((len(x), len(self.ids)), bool) if index is None else index.distances(x, self.at, self.codes) <= self.limit
             rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
             if len(rows):
                 exact = x[rows] @ self.x[columns].T
@@ -221,13 +223,14 @@ def _search(index: Index, cosine: float):
         held: list[pa.RecordBatch] = []
         key = part = None
         for batch in batches:
-            lists, parts, query = batch.column("list").to_numpy(), batch.column("part").to_numpy(), batch.column("query").to_numpy(zero_copy_only=False).astype(np.int8)
-            cuts = [0, *(np.flatnonzero(np.diff(lists) | np.diff(parts) | np.diff(query)) + 1).tolist(), batch.num_rows]
+            lists, parts, asking = (batch.column(c).to_numpy() for c in ("list", "part", "asking"))
+            query = batch.column("query").to_numpy(zero_copy_only=False).astype(np.int8)
+            cuts = [0, *(np.flatnonzero(np.diff(lists) | np.diff(parts) | np.diff(asking) | np.diff(query)) + 1).tolist(), batch.num_rows]
             for s, e in zip(cuts, cuts[1:]):
                 if s == e:
                     continue
-                if key != (lists[s], parts[s]):
-                    key, held, part = (lists[s], parts[s]), [], None
+                if key != (lists[s], parts[s], asking[s]):
+                    key, held, part = (lists[s], parts[s], asking[s]), [], None
                 if not query[s]:
                     held.append(batch.slice(s, e - s))
                     continue
@@ -240,48 +243,68 @@ def _search(index: Index, cosine: float):
     return run
 
 
-def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, probes: int = PROBES, train: int = TRAIN, part: int = PART) -> DataFrame:
+_INDEXED = "class long, copies long, unit binary, list int, probes array<int>, codes binary, miss double"
+
+
+def _met(indexed: DataFrame, index: Index | None, cosine: float, part: int, asking: int) -> DataFrame:
+    """(a, b, n) as _search gives them, of all rows of indexed. A list's members are cut into parts and the queries to
+    it likewise; each pair of parts meets in a task, so that none holds more than `part` members, and a hot list is
+    many tasks."""
+    parts = indexed.groupBy("list").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
+    asked = indexed.select(F.explode("probes").alias("list")).groupBy("list").agg(F.ceil(F.count("*") / asking).cast("int").alias("askings"))
+    # as many rows as there are lists
+    plan = F.broadcast(parts.join(asked, "list"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    own = lambda n: F.pmod(F.xxhash64("class"), n).cast("int")
+    members = indexed.join(plan, "list").select("list", own("parts").alias("part"), each("askings").alias("asking"), F.lit(False).alias("query"), "class", "copies", "unit", F.col("list").alias("home"), "probes", "codes", "miss")
+    queries = indexed.withColumnRenamed("list", "home").withColumn("list", F.explode("probes")).join(plan, "list")
+    queries = queries.select("list", each("parts").alias("part"), own("askings").alias("asking"), F.lit(True).alias("query"), "class", "copies", "unit", "home", F.lit(None).cast("array<int>").alias("probes"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("miss"))
+    met = members.unionByName(queries).repartition(partitions_for(indexed, SEARCH_BYTES), "list", "part", "asking").sortWithinPartitions("list", "part", "asking", "query")
+    return materialise(met.mapInArrow(_search(index, cosine), "a long, b long, n long"), "links")
+
+
+def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, probes: int = PROBES, train: int = TRAIN, part: int = PART, asking: int = ASKING) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
-    Vectors whose cosine in double precision is `cosine` or more are linked. Equal unit vectors are one class.
-    Every class is in the inverted list of its nearest centroid, as codes of its residual; it searches the
-    `probes` nearest lists, and of the others those that `searched` can't rule out for members close to their
-    centroid. Centroids within the link radius are one, so that a hot group is one list. A member is a candidate while its asymmetric distance, less what its codes miss, can
-    still reach the cosine, so that within the lists searched none is lost; candidates are verified exactly. A pair is a link
-    if either finds the other. Only the index is fitted on at most `train` classes; lists of more than `part`
-    members are cut and each query meets all parts.
+    Vectors whose cosine in double precision is `cosine` or more are linked; those of different lengths never are.
+    Equal unit vectors are one class. Each length has an index of its own, but for those of at most `part` classes
+    beside the commonest, which are compared exactly. Every class is in the inverted list of its nearest centroid, as codes of its
+    residual; it searches the `probes` nearest lists, and of the others those that `searched` can't rule out for
+    members close to their centroid. Centroids within the link radius are one, so that a hot group is one list. A
+    member is a candidate while its asymmetric distance, less what its codes miss, can still reach the cosine, so
+    that within the lists searched none is lost; candidates are verified exactly. A pair is a link if either finds
+    the other. Only an index is fitted on a sample, of at most `train` classes. n_links counts every link, so the work
+    in a group of near copies is the square of its size; it is cut into tasks of `part` members and `asking` queries.
 
     component_id is the least vec_id reachable, kept says that it is the row's own. Vectors that are null, zero
-    or hold null or non-finite components, or are of another length than most, link with nothing. A null id links with
-    nothing and has a null component; rows of one id are one node; an empty table gives none.
+    or hold null or non-finite components link with nothing. A null id links with nothing and has a null component;
+    rows of one id are one node; an empty table gives none.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(vectors[id_col].cast("long").alias("vec_id"), vectors[vector_col].cast("array<double>").alias("v"))
     rows = materialise(rows.mapInArrow(_unit_rows, "vec_id long, digest binary, dim int, unit binary"), "vectors")
-    usual = rows.where("dim > 0").groupBy("dim").count().orderBy(F.desc("count"), "dim").first()
-    alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if usual is None:
-        return alone
-    usable = rows.where((F.col("dim") == usual["dim"]) & F.col("vec_id").isNotNull())
-    classes = materialise(usable.groupBy("digest").agg(F.min("vec_id").alias("class"), F.count("*").alias("copies"), F.any_value("unit").alias("unit")), "classes")
-    total = classes.count()
-    if not total:
-        return alone
-    share = F.xxhash64(F.lit(SEED), "class").bitwiseAND(F.lit((1 << 40) - 1)) < F.lit(int(min(1.0, train / total) * (1 << 40)))
-    sample = np.stack([np.frombuffer(r["unit"]) for r in classes.where(share).select("class", "unit").orderBy("class").limit(train).collect()] or [np.frombuffer(classes.first()["unit"])])
+    usable = rows.where("dim > 0 and vec_id is not null")
+    classes = materialise(usable.groupBy("digest", "dim").agg(F.min("vec_id").alias("class"), F.count("*").alias("copies"), F.any_value("unit").alias("unit")), "classes")
+    # a number for each length of vectors
+    totals = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
     reach = float(np.sqrt(2 - 2 * cosine))
-    index = Index(sample, max(1, min(MOST_LISTS, len(sample), int(2 * total**0.5))), reach=reach)
-    indexed = materialise(classes.select("class", "copies", "unit").mapInArrow(_indexed(index, probes, reach), "class long, copies long, unit binary, list int, probes array<int>, codes binary, miss double"), "indexed")
-    parts = indexed.groupBy("list").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"))
-    members = indexed.join(F.broadcast(parts), "list").select("list", F.pmod(F.xxhash64("class"), "parts").cast("int").alias("part"), F.lit(False).alias("query"), "class", "copies", "unit", F.col("list").alias("home"), "probes", "codes", "miss")
-    queries = indexed.withColumnRenamed("list", "home").withColumn("list", F.explode("probes")).join(F.broadcast(parts), "list")
-    queries = queries.select("list", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("query"), "class", "copies", "unit", "home", F.lit(None).cast("array<int>").alias("probes"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("miss"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    met = members.unionByName(queries).repartition(n, "list", "part").sortWithinPartitions("list", "part", "query")
-    found = materialise(met.mapInArrow(_search(index, cosine), "a long, b long, n long"), "links")
+    usual = max(totals, key=lambda d: (totals[d], -d), default=None)
+    rare = [d for d, n in totals.items() if n <= part and d != usual]
+    exactly = classes.where(F.col("dim").isin(rare))
+    alone = exactly.select("class", "copies", "unit", F.col("dim").alias("list"), F.array("dim").alias("probes"), F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("miss"))
+    found = _met(materialise(alone, "rare"), None, cosine, part, asking)
+    for dim, total in sorted(totals.items()):
+        if dim in rare:
+            continue
+        mine = classes.where(F.col("dim") == dim)
+        mixed = F.xxhash64(F.lit(SEED), "class").bitwiseAND(F.lit((1 << 40) - 1))
+        chosen = mine.where(mixed < F.lit(int(min(1.0, train / total) * (1 << 40)))).orderBy(mixed, "digest").limit(train).select("unit").collect()
+        sample = np.stack([np.frombuffer(r["unit"]) for r in chosen or [mine.first()]])
+        index = Index(sample, max(1, min(MOST_LISTS, len(sample), int(2 * total**0.5))), reach=reach)
+        indexed = materialise(mine.select("class", "copies", "unit").mapInArrow(_indexed(index, probes, reach), _INDEXED), "indexed")
+        found = found.unionByName(_met(indexed, index, cosine, part, asking))
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("others"))
     groups = components(found.where("b is not null").select("a", "b"))
-    named = classes.select("digest", "class", "copies").join(counts, F.col("class") == F.col("a"), "left").join(groups, F.col("class") == F.col("node"), "left")
-    named = named.select(F.col("digest").alias("of"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "class").alias("c"), F.lit(usual["dim"]).alias("d"))
+    named = classes.select("digest", "dim", "class", "copies").join(counts, F.col("class") == F.col("a"), "left").join(groups, F.col("class") == F.col("node"), "left")
+    named = named.select(F.col("digest").alias("of"), (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n"), F.coalesce("component", "class").alias("c"), F.col("dim").alias("d"))
     joined = rows.select("vec_id", "digest", "dim").join(named, (F.col("digest") == F.col("of")) & (F.col("dim") == F.col("d")) & F.col("vec_id").isNotNull(), "left")
     return joined.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"), F.coalesce(F.coalesce("c", "vec_id") == F.col("vec_id"), F.lit(True)).alias("kept"))
