@@ -14,35 +14,53 @@ K, W = 4, 5
 UNIT = r"[\x21-\x7E\u00A1-\u0DFF]{1,24}|[^\x20\x09-\x0D]"
 #: Stored bytes of text that a range of neighbours holds.
 RANGE_BYTES = 8 << 20
-MOST_RANGES = 8192
+#: Ranges at most: what their bounds need on the driver.
+MOST_RANGES = 1 << 17
+#: The rolling hash: a polynomial of this base over the units' hashes, modulo this prime.
+BASE, PRIME = 0x2C1B3C6D, (1 << 31) - 1
+
+
+def rolled(units: Column, k: int) -> Column:
+    """The rolling hashes of all grams of k of the units' hashes: the sum of hash times BASE to the power of the units
+    that follow in the gram, modulo PRIME. A gram of a + b units is one of a, moved on by b units, plus one of b, so
+    each length is made of the half as long ones that neighbours share: log k steps a gram, none of which hashes anew."""
+
+    def longer(x: Column, y: Column, nx: int, ny: int) -> Column:
+        return F.transform(upto(F.size(x) - ny), lambda i: (F.get(x, i) * F.lit(pow(BASE, ny, PRIME)) + F.get(y, i + nx)) % F.lit(PRIME))
+
+    if k == 1:
+        return units
+    half = k // 2
+    even = let(rolled(units, half), lambda g: longer(g, g, half, half))
+    return let(even, lambda g: longer(g, units, k - 1, 1)) if k % 2 else even
 
 
 def winnow(text: Column, k: int = K, w: int = W) -> Column:
     """Selected grams as array<struct<hash long, position long>>, by ascending position.
 
-    Each gram of k units has a 32-bit hash. Of every w grams in a row the smallest hash is selected, of equal
-    ones the rightmost. A text of fewer than k units is one gram; one without units (null, empty, white space)
+    Each gram of k units has a rolling hash of 31 bits. Of every w grams in a row the smallest hash is selected, of
+    equal ones the rightmost. A text of fewer than k units is one gram; one without units (null, empty, white space)
     has no fingerprint. Fewer than w grams make one window.
     """
     low = F.lit(0xFFFFFFFF)
 
     def grams(units: Column) -> Column:
-        many = let(
-            F.transform(units, lambda u: F.xxhash64(u)),
-            lambda h: F.transform(upto(F.size(h) - (k - 1)), lambda i: F.xxhash64(*[h[i + j] for j in range(k)])),
-        )
-        return F.when(F.size(units) == 0, F.array().cast("array<bigint>")).when(F.size(units) < k, F.array(F.xxhash64(units))).otherwise(many)
+        def of(h: Column) -> Column:
+            one = F.aggregate(h, F.lit(0).cast("long"), lambda a, x: (a * F.lit(BASE) + x) % F.lit(PRIME))
+            return F.when(F.size(h) == 0, F.array().cast("array<bigint>")).when(F.size(h) < k, F.array(one)).otherwise(rolled(h, k))
+
+        return let(F.transform(units, lambda u: F.pmod(F.xxhash64(u), F.lit(PRIME))), of)
 
     def placed(hashes: Column) -> Column:
         # the hash above, the position's complement below: the least is the smallest hash's rightmost place
-        return F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(-(1 << 32))).bitwiseOR(low - i))
+        return F.transform(hashes, lambda h, i: F.shiftleft(h, 32).bitwiseOR(low - i))
 
     def least(values: Column) -> Column:
         windows = F.transform(upto(F.size(values) - (w - 1)), lambda i: F.least(*[values[i + j] for j in range(w)]))
         return F.when(F.size(values) == 0, values).when(F.size(values) < w, F.array(F.array_min(values))).otherwise(F.array_distinct(windows))
 
     units = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(UNIT), F.lit(0))
-    selected = let(units, lambda u: let(grams(u), lambda g: let(placed(g), least)))
+    selected = let(grams(units), lambda g: let(placed(g), least))
     return F.transform(selected, lambda x: F.struct(F.shiftrightunsigned(x, 32).alias("hash"), (low - x.bitwiseAND(low)).alias("position")))
 
 
@@ -91,7 +109,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     rows = rows.withColumn("order", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))))
     n = min(MOST_RANGES, partitions_for(docs, RANGE_BYTES))
-    cuts = rows.select(F.percentile_approx("order", [i / n for i in range(1, n)], 100 * n)).first()[0] if n > 1 else []
+    accuracy = min(100 * n, max(10 * n, 1_000_000))
+    shares = f"from_json('{[i / n for i in range(1, n)]}', 'array<double>')"  # one literal, however many there are
+    cuts = rows.select(F.expr(f"percentile_approx(`order`, {shares}, {accuracy})")).first()[0] if n > 1 else []
     cuts = sorted(set(cuts or []))
     rows = rows.withColumn("range", _search(F.col("order"), cuts))
     first = sorted(((r["range"], r["top"]) for r in rows.groupBy("range").agg(F.max("order").alias("top")).collect()), reverse=True)
