@@ -133,7 +133,8 @@ _LIST_WHERE = "NOT (po = 3 AND n % 13 = 5)"
 
 def entries(spark, sf_dir) -> DataFrame:
     """Listing entries as the service gives them: names in the producer's id or the title, polygons as text."""
-    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"))
+    # one small file would be one task, and a key becomes a whole entry
+    rows = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = rows.selectExpr("k", *[f"{e} AS {c}" for c, e in _LIST.items()]).where(_LIST_WHERE).withColumn("name", F.expr(_LIST_NAME))
     corner = "concat_ws(' ', n % 80, -(n % 170), n % 80, -(n % 170) + 1.5, n % 80 + 0.5, -(n % 170) + 1.5, n % 80 + 0.5, -(n % 170), n % 80, -(n % 170))"
     link = lambda href, title: F.struct(href.alias("href"), title.alias("title"))
@@ -284,7 +285,8 @@ _SQL_BUILT = f"""built AS (SELECT s.*, {_SQL_TILE} AS tile_id, {_SQL_YEAR} AS ye
 
 def find_crossovers(spark, sf_dir):
     """Pairs of good shots at most 40 m apart in the area of interest."""
-    out = crossovers(shots(spark, sf_dir), aoi(spark), 40.0, "quality_flag = 1", ["agbd"], guard=True)
+    pruned = spatial.with_tile_pruning(_read(spark, sf_dir), aoi(spark))
+    out = crossovers(pruned, aoi(spark), 40.0, "quality_flag = 1", ["agbd"], guard=True)
     return out.select("t1_shot_number", "t2_shot_number", F.round("distance_m", 2).alias("distance_m"), "t1_agbd", "t2_agbd")
 
 
