@@ -18,7 +18,7 @@ from shotlake.operators import build, catalog, maintain, spatial
 from shotlake.operators.crossovers import crossovers
 from shotlake.plans.tile_plan import open_tiles, plan_tiles
 from shotlake.sources import lake
-from shotlake.sources.listings import parse_entries
+from shotlake.sources.listings import parse_entries, read_pages
 from shotlake.sources.scratch import new_path
 from shotlake.streaming.intake import build_tiles, merge_plans
 
@@ -170,6 +170,16 @@ def granule_listing(spark, sf_dir):
     return rows.select("granule_name", "granule_url", "granule_size", corner["x"].alias("corner_x"), corner["y"].alias("corner_y"), granule_key(F.col("granule_name")).alias("granule_key"), F.date_format(start_time(F.col("granule_name")), "yyyy-MM-dd HH:mm:ss").alias("started"), parse_name(F.col("granule_name"), strict=True)["ground_track"].alias("ground_track"))
 
 
+def listing_pages(spark, sf_dir):
+    """Entries of one product after they were landed as pages of JSON: name, URL of the browser's link, size."""
+    path = new_path(spark, "pages")
+    rows = entries(spark, sf_dir).where("product = 'level2B'").drop("product", "product_order")
+    # pages of up to 2,000 entries, as the service gives them
+    pages = rows.withColumn("page", F.floor(F.monotonically_increasing_id() / 2000)).groupBy("page").agg(F.collect_list(F.struct(*rows.columns)).alias("entry"))
+    pages.select(F.to_json(F.struct(F.struct("entry").alias("feed"))).alias("value")).write.text(path)
+    return parse_entries(read_pages(spark, path, lines=True), cloud=False).select("granule_name", "granule_url", "granule_size")
+
+
 def granule_catalog(spark, sf_dir):
     """Granules of two years with all required products: sizes, names, URLs, hashes."""
     rolled = catalog.roll_up(listing(spark, sf_dir), catalog.product_tokens("level2A, Level2B,level4a,level2a"), start_year=2019, end_year=2020)
@@ -560,6 +570,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         box_and_dates,
         tiles_and_years,
         granule_listing,
+        listing_pages,
         granule_catalog,
         tile_cover,
         cover_union,
@@ -615,6 +626,7 @@ ORACLE_SQL: dict[str, str] = {
     "box_and_dates": f"WITH {_SQL_SHOTS} SELECT shot_number, strftime(DATE '2018-01-01' + CAST(day AS INT) + 1, '%Y-%m-%d') AS next_day FROM shots WHERE lon_lowestmode > -63.0 AND lon_lowestmode < -62.5 AND lat_lowestmode > -4.2 AND lat_lowestmode < -3.8",
     "tiles_and_years": f"WITH {_SQL_SHOTS} SELECT {_SQL_TILE} AS tile_id, {_SQL_YEAR} AS year, count(*) AS n, count(DISTINCT granule_key) AS granules FROM shots GROUP BY 1, 2",
     "granule_listing": f"WITH {_SQL_LIST} SELECT granule_name, concat('s3://bucket/', granule_name, '.h5') AS granule_url, CAST(granule_size AS DOUBLE) AS granule_size, CAST(-(n % 170) + 1.5 AS DOUBLE) AS corner_x, CAST(n % 80 + 0.5 AS DOUBLE) AS corner_y, {_KEYED} AS granule_key, strftime(make_date(CAST(2018 + n % 4 AS BIGINT), 1, 1) + CAST(n % 365 AS INT), '%Y-%m-%d 05:32:58') AS started, 'T02132' AS ground_track FROM listing",
+    "listing_pages": f"WITH {_SQL_LIST} SELECT granule_name, concat('https://x/', granule_name) AS granule_url, CAST(granule_size AS DOUBLE) AS granule_size FROM listing WHERE po = 1",
     "granule_catalog": f"WITH {_SQL_LIST}, {_SQL_ROLLED} SELECT granule_key, CAST(granule_size AS DOUBLE) AS granule_size, array_to_string(names, '|') AS granule_names, concat('s3://bucket/', names[1], '.h5') AS level2A_url, CASE WHEN has_4c THEN concat('s3://bucket/', names[4], '.h5') END AS level4C_url, granule_hash FROM hashed WHERE 2018 + n % 4 BETWEEN 2019 AND 2020",
     "tile_cover": f"WITH {_SQL_REGIONS} SELECT m.region_id, {_SQL_CELL} AS tile_id, minx > x AND minx + 1 < x + w AND miny > y AND miny + 1 < y + h AS inside FROM met m JOIN regions r ON m.region_id = r.region_id",
     "cover_union": f"WITH {_SQL_REGIONS} SELECT DISTINCT {_SQL_CELL} AS tile_id FROM met",

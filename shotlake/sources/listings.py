@@ -13,9 +13,9 @@ ENTRY = (
 )
 
 
-def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Entries of landed listing pages (feed.entry[])."""
-    pages = spark.read.schema(f"feed struct<entry:array<struct<{', '.join(':'.join(x.split(' ', 1)) for x in _split(ENTRY))}>>>").option("multiLine", True).json(path)
+def read_pages(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Entries of landed listing pages (feed.entry[]): a file is one page, or with `lines` each of its lines is."""
+    pages = spark.read.schema(f"feed struct<entry:array<struct<{', '.join(':'.join(x.split(' ', 1)) for x in _split(ENTRY))}>>>").option("multiLine", not lines).json(path)
     return pages.select(F.explode("feed.entry").alias("e")).select("e.*")
 
 
