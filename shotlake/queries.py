@@ -19,7 +19,7 @@ from shotlake.operators.crossovers import crossovers
 from shotlake.plans.tile_plan import open_tiles, plan_tiles
 from shotlake.sources import lake
 from shotlake.sources.listings import parse_entries, read_pages
-from shotlake.sources.scratch import new_path
+from shotlake.sources.scratch import exists, new_path
 from shotlake.streaming.intake import build_tiles, merge_plans
 
 #: Columns of shots in SQL that engines share; k is the order's key, day the days since 2018 began.
@@ -259,7 +259,8 @@ def metadata_drift(spark, sf_dir):
 
 def products(spark, sf_dir) -> dict[str, DataFrame]:
     """Product tables from shots: a NaN elevation now and then, shots that a product lacks, short profiles."""
-    base = shots(spark, sf_dir)
+    # one small file would be one task, and a row becomes profiles of a hundred bins
+    base = shots(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     key = ["granule_key", "beam_name", "shot_number", "lat_lowestmode", "lon_lowestmode"]
     profile = lambda n, c: F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: (F.col(c) * (i + 1) / n).cast("float"))
     l2a = base.select(*key, F.when(F.col("k") % 97 == 0, F.lit(float("nan"))).otherwise(F.col("elev_lowestmode")).cast("float").alias("elev_lowestmode"), "delta_time", "sensitivity", "sensitivity_a2", F.col("degrade_flag").cast("int"), F.col("quality_flag").cast("int"), F.col("surface_flag").cast("int"), profile(101, "rh_98").alias("rh"))
@@ -324,7 +325,7 @@ def _shots_by_year(spark, sf_dir) -> DataFrame:
 def stored_lake(spark: SparkSession, sf_dir: str) -> str:
     """Where shots are stored by tile and year."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored:
+    if key not in _stored or not exists(spark, _stored[key]):
         root = new_path(spark, "lake")
         lake.write_lake(_shots_by_year(spark, sf_dir), root)
         _stored[key] = root

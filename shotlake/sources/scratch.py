@@ -8,8 +8,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: Folders of our own by application, where the session names none.
+#: By application: a folder of our own, where the session names none, and the paths given out.
 _own: dict[str, str] = {}
+_given: dict[str, list[str]] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,7 +27,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has been written to."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove what this application has written to the paths given out: results that are made of it must have been
+    written by then."""
+    for path in _given.pop(spark.sparkContext.applicationId, []):
+        remove(spark, path)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
