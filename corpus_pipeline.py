@@ -20,10 +20,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of linked ones; documents without an id stay."""
-    found = jaccard_join.join_components(docs)
-    gone = materialise(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    """The document with the least doc_id of each group of linked ones; of rows with one id that are linked by it, one
+    of each text. Documents without an id stay, and so do those without words but for repeated rows of one id."""
+    found = materialise(jaccard_join.join_components(docs), "groups")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    again = materialise(again, "again")
+    if again.isEmpty():
+        return kept
+    # only rows whose id is repeated are compared as a whole
+    single = kept.join(again, kept["doc_id"] == again["_again"], "left_anti")
+    return single.unionByName(kept.join(again, kept["doc_id"] == again["_again"], "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
