@@ -81,7 +81,9 @@ def weights(rows: DataFrame, target_entropy: float | None = None, max_repetition
 
 
 def _order(epoch: Column, seed: int, *key: Column) -> Column:
-    return F.xxhash64(F.lit(seed), epoch, *key)
+    """A seeded hash of 60 bits that other engines can give as well: the first digits of an MD5."""
+    parts = [F.coalesce(c.cast("string"), F.lit("null")) for c in (F.lit(seed), epoch, *key)]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *parts).cast("binary")), 1, 15), 16, 10).cast("long")
 
 
 def positions(rows: DataFrame, mixture: DataFrame, seed: int = SEED, block: int = BLOCK) -> DataFrame:
@@ -100,8 +102,8 @@ def positions(rows: DataFrame, mixture: DataFrame, seed: int = SEED, block: int
     last = F.col("epochs") + F.when(F.col("rest") > 0, 0).otherwise(-1)
     used = rows.join(F.broadcast(plan) if _few(plan) else plan, rows["source"].eqNullSafe(plan["of"])).where(last >= 0)
     used = used.select("doc_id", "source", "n_tokens", "blocks", "budget", "epochs", "rest", F.explode(F.sequence(F.lit(0), last)).alias("epoch"))
-    mixed = F.shiftrightunsigned(_order(F.col("epoch"), seed, F.col("doc_id"), F.col("n_tokens")), 1)
-    used = used.withColumn("order", mixed).withColumn("block", F.floor(F.col("order") / F.lit(2.0**63) * F.col("blocks")).cast("int"))
+    mixed = _order(F.col("epoch"), seed, F.col("doc_id"), F.col("n_tokens"))
+    used = used.withColumn("order", mixed).withColumn("block", F.floor(F.col("order") / F.lit(2.0**60) * F.col("blocks")).cast("int"))
     sums = used.groupBy("source", "epoch", "block").agg(F.sum("n_tokens").alias("sum"))
     before = Window.partitionBy("source", "epoch").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("s"), F.col("epoch").alias("e"), F.col("block").alias("b"), F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("base"))
@@ -143,7 +145,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     rows = counted(docs, id_col, source_col, text_col)
     mixture = weights(rows, target_entropy, max_repetition, budget)
     uses = positions(rows, mixture, seed)
-    at = F.shiftrightunsigned(_order(F.col("epoch"), seed, F.col("doc_id"), F.col("n_tokens")), 1)
+    at = _order(F.col("epoch"), seed, F.col("doc_id"), F.col("n_tokens"))
     # of each source the last epoch, and in that the greatest row in its order
     key = F.struct(F.col("epoch").alias("last"), at.alias("o"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.col("n_tokens").alias("n"))
     ends = uses.groupBy("source").agg(F.max(key).alias("k")).select(F.col("source").alias("_of"), "k.last", F.struct("k.o", "k.d", "k.n").alias("end"))
@@ -152,6 +154,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     record = F.struct(*[docs[f"`{c}`"] for c in docs.columns])
     all_rows = docs.select(source.alias("_source"), docs[id_col].cast("long").alias("doc_id"), F.regexp_count(text, F.lit(TOKEN)).cast("long").alias("n_tokens"), record.alias("record"))
     joined = all_rows.join(F.broadcast(ends) if _few(ends) else ends, all_rows["_source"].eqNullSafe(ends["_of"]))
-    mine = F.struct(F.shiftrightunsigned(_order(F.col("last"), seed, F.col("doc_id"), F.col("n_tokens")), 1).alias("o"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.col("n_tokens").alias("n"))
+    mine = F.struct(_order(F.col("last"), seed, F.col("doc_id"), F.col("n_tokens")).alias("o"), F.coalesce("doc_id", F.lit(-(1 << 63))).alias("d"), F.col("n_tokens").alias("n"))
     times = F.col("last") + F.when(mine <= F.col("end"), 1).otherwise(0)
     return joined.select("record", F.explode(F.array_repeat(F.lit(0), times.cast("int"))).alias("_")).select("record.*")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shotlake.llm import embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, secret_scan, sharding, tokens, toxicity
-from shotlake.llm.common import documents
+from shotlake.llm.common import SEED, documents
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
     rows = toxicity.score(docs, toxicity.train(docs, labels))
-    return rows.select(F.col("record.doc_id").alias("doc_id"), "p_insult", "p_contempt", "p_toxic", "toxic")
+    return rows.select(F.col("record.doc_id").alias("doc_id"), *[f"p_{c}" for c in toxicity.NAMES], "toxic")
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,4 +107,47 @@ reach(doc_id, least) AS (SELECT DISTINCT x, x FROM e UNION SELECT e.y, reach.lea
 c AS (SELECT doc_id, min(least) AS component_id FROM reach GROUP BY 1)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id"""
 
-ORACLE_SQL: dict[str, str] = {"op2_jaccard_join": _SQL_JACCARD}
+
+def _sql_secrets() -> str:
+    """Matches by what lies between them, entropy by counting each window's characters."""
+    letters = lambda word: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+    words = "|".join(letters(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    patterns = {"assign": f"""(?:{words})["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)""", "access": "AKIA[A-Z0-9]+", "hex": "[0-9a-f]+"}
+    found, kinds = [], secret_scan.KINDS
+    for kind, _, value, least in secret_scan.BASE:
+        found.append(f"SELECT doc_id, {kinds.index(kind)} AS rank, {least} AS least, string_split_regex(t, '{patterns[kind]}') AS gaps, regexp_extract_all(t, '{patterns[kind]}') AS found, regexp_extract_all(t, '{patterns[kind]}', {value}) AS told FROM d")
+    for kind, pattern, *_ in secret_scan.CLASSES:
+        found.append(f"SELECT doc_id, {kinds.index(kind)}, 0, string_split_regex(t, '{pattern}'), regexp_extract_all(t, '{pattern}'), regexp_extract_all(t, '{pattern}') FROM d")
+    n, hexes, others = secret_scan.WINDOW, *[kinds.index(k) for k, *_ in secret_scan.CLASSES]
+    bits = {kinds.index(k): b for k, _, _, _, b in secret_scan.CLASSES}
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), m AS ({' UNION ALL '.join(found)}),
+o AS (SELECT doc_id, rank, least, found, told, [length(x) for x in gaps] AS g, [length(x) for x in found] AS f, unnest(range(1, len(found) + 1)) AS i FROM m WHERE len(found) > 0),
+p AS (SELECT doc_id, rank, found[i] AS x, CAST(list_sum(g[1:i]) + coalesce(list_sum(f[1:i - 1]), 0) AS BIGINT) AS a, CAST(list_sum(g[1:i]) + list_sum(f[1:i]) AS BIGINT) AS b FROM o WHERE length(told[i]) >= least),
+base AS (SELECT doc_id, rank, a, b FROM p WHERE rank < {len(secret_scan.BASE)}),
+rest AS (SELECT doc_id, rank, x, a, CASE WHEN regexp_matches(x, '{secret_scan.PLACEHOLDER}') THEN array_to_string([CASE WHEN regexp_matches(y, '{secret_scan.PLACEHOLDER}') THEN repeat('-', length(y)) ELSE y END for y in regexp_extract_all(x, '[^/=]*[/=]|[^/=]+')], '') ELSE x END AS r FROM p WHERE rank >= {len(secret_scan.BASE)}),
+tried AS (SELECT doc_id, rank, a, CASE rank WHEN {hexes} THEN lower(r) ELSE r END AS r FROM rest WHERE {' AND '.join(f"NOT regexp_matches(r, '{w}')" for w in secret_scan.ALLOWED[:-1])} AND NOT (rank = {others} AND regexp_matches(x, '^[0-9A-Fa-f]*$'))),
+w AS (SELECT doc_id, rank, a, r, unnest(range(0, length(r) - {n - 1})) AS k FROM tried),
+c AS (SELECT doc_id, rank, a, k, y, count(*) AS n FROM (SELECT doc_id, rank, a, k, unnest(string_split(substr(r, CAST(k AS INT) + 1, {n}), '')) AS y FROM w) GROUP BY ALL),
+h AS (SELECT doc_id, rank, a, k, log2({n}) - sum(n * log2(n)) / {n} AS bits FROM c GROUP BY ALL),
+e AS (SELECT doc_id, rank, a + min(k) AS a, a + max(k) + {n} AS b FROM h WHERE bits >= CASE rank WHEN {hexes} THEN {bits[hexes]} ELSE {bits[others]} END GROUP BY doc_id, rank, h.a),
+every AS (SELECT doc_id, rank, a, b FROM base UNION ALL SELECT doc_id, rank, a, b FROM e WHERE NOT EXISTS (SELECT 1 FROM base x WHERE x.doc_id = e.doc_id AND x.a <= e.a AND x.b >= e.b)),
+s AS (SELECT doc_id, rank, a, concat([{', '.join(f"'{k}'" for k in kinds)}][rank + 1], ':', a, ':', b) AS s FROM every),
+g AS (SELECT doc_id, {', '.join(f'count(*) FILTER (WHERE rank = {i}) AS n_{k}' for i, (k, *_) in enumerate(secret_scan.BASE))}, string_agg(s, ',' ORDER BY a, rank) FILTER (WHERE rank < {len(secret_scan.BASE)}) AS base, string_agg(s, ',' ORDER BY a, rank) AS spans FROM s GROUP BY 1)
+SELECT d.doc_id, {', '.join(f'coalesce(n_{k}, 0) AS n_{k}' for k, *_ in secret_scan.BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g ON g.doc_id = d.doc_id"""
+
+
+#: The exponent by sixty halvings, the order of each epoch by the same hashes, places by window sums.
+_SQL_MIXING = f"""WITH RECURSIVE r AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.TOKEN}')) AS BIGINT) AS n_tokens FROM documents),
+shares AS (SELECT source, CAST(sum(n_tokens) AS BIGINT) AS tokens FROM r GROUP BY 1 HAVING sum(n_tokens) > 0),
+x AS (SELECT CAST(min(tokens) AS DOUBLE) AS least, CAST(max(tokens) AS DOUBLE) AS most, CAST(sum(tokens) AS DOUBLE) AS total FROM shares),
+half(i, lo, hi) AS (SELECT 0, CAST(0 AS DOUBLE), CAST(1 AS DOUBLE) UNION ALL SELECT i + 1, CASE WHEN met THEN lo ELSE mid END, CASE WHEN met THEN mid ELSE hi END FROM (SELECT i, lo, hi, (lo + hi) / 2 AS mid, pow(most / least, 1 - (lo + hi) / 2) <= {mixing.MAX_REPETITION} AS met FROM half, x) WHERE i < 60),
+e AS (SELECT CASE WHEN most / least <= {mixing.MAX_REPETITION} THEN 0 ELSE hi END AS e FROM x, half WHERE i = 60),
+b AS (SELECT source, tokens, CAST(round(pow(tokens / total, e) * (total * pow(most / total, 1 - e))) AS BIGINT) AS budget FROM shares, x, e),
+p AS (SELECT s.source, s.blocks, budget, CAST(coalesce(budget // tokens, 1) AS INT) AS epochs, coalesce(budget % tokens, 0) AS rest FROM (SELECT source, greatest(1, CAST(ceil(count(*) / {mixing.BLOCK}.0) AS INT)) AS blocks FROM r GROUP BY 1) s LEFT JOIN b ON s.source IS NOT DISTINCT FROM b.source),
+u AS (SELECT r.doc_id, r.source, n_tokens, blocks, budget, epochs, rest, CAST(unnest(range(0, epochs + CASE WHEN rest > 0 THEN 1 ELSE 0 END)) AS INT) AS epoch FROM r JOIN p ON r.source IS NOT DISTINCT FROM p.source),
+o AS (SELECT *, CAST(concat('0x', substr(md5(concat_ws(':', {SEED}, epoch, coalesce(CAST(doc_id AS VARCHAR), 'null'), n_tokens)), 1, 15)) AS BIGINT) AS o FROM u),
+k AS (SELECT *, CAST(floor(CAST(o AS DOUBLE) / 1152921504606846976.0 * blocks) AS INT) AS block FROM o),
+t AS (SELECT *, CAST(row_number() OVER (PARTITION BY source, epoch, block ORDER BY o, doc_id NULLS FIRST, n_tokens) - 1 AS INT) AS slot, CAST(coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY block, o, doc_id NULLS FIRST, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS inside FROM k)
+SELECT doc_id, source, n_tokens, epoch, block, slot, inside + epoch * coalesce((budget - rest) // greatest(epochs, 1), 0) AS start, CASE WHEN budget IS NULL THEN 0 ELSE inside + epoch * ((budget - rest) // greatest(epochs, 1)) END / CAST(coalesce(budget, 1) AS DOUBLE) AS position FROM t WHERE epoch < epochs OR inside < rest"""
+
+ORACLE_SQL: dict[str, str] = {"op8_mixing": _SQL_MIXING, "op9_secrets": _sql_secrets(), "op2_jaccard_join": _SQL_JACCARD}
