@@ -47,21 +47,49 @@ def test_cached_words_equal_the_library(library):
         assert np.frombuffer(words.ids(text.encode()), "<u4").tolist() == want and words.count(text.encode()) == len(want)
 
 
-@pytest.mark.parametrize(("chunk", "overlap"), [(50, 4), (64, 16), (300, 40)])
+@pytest.mark.parametrize(("chunk", "overlap"), [(1, 1), (50, 4), (64, 16), (300, 40)])
 def test_chunks_resynchronise(library, chunk, overlap):
-    rng = random.Random(chunk)
+    rng, words = random.Random(chunk), tokens.Words()
+
+    def encode(piece):
+        text = piece.decode()
+        starts = [len(text[:a].encode()) for a, _ in library(text).offsets]
+        return np.array(starts, np.int64), np.ones(len(starts), np.int64)
+
     for _ in range(12):
         text = "".join(rng.choice(["the ", "thing", "É", "  ", "\n", "<|endoftext|>", "x" * 90, "!?", "12", "'s "]) for _ in range(rng.randint(1, 150)))
-        encode = lambda t: library(t).offsets
-        assert tokens.count_by_chunks(text, encode, chunk, overlap) == len(library(text))
+        want = len(library(text))
+        assert tokens.count_by_chunks(text.encode(), encode, chunk, overlap) == want
+        assert tokens.count_by_chunks(text.encode(), words.encode, chunk, overlap) == want == words.count(text.encode(), chunk, overlap)
+
+
+def test_other_vocabularies_go_to_their_library_whole():
+    import public_tokenizers
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    text = "a hello world  é " * 50
+    plain = tokens.Words("byte_bpe_50k.json")
+    assert not plain.by_words and plain.count(text.encode(), 20, 4) == len(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids)
+    assert tokens.Words("piece_bpe_32k.model").count(text.encode()) == len(SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")).encode(text))
 
 
 def test_token_counts(spark, library):
-    rows = tokens.token_counts(documents(spark, *ODD), chunk=1000).collect()
-    assert sorted(map(tuple, rows), key=str) == sorted(((i, len((t or "").encode()), len(library(t)), len(library(t)) > 2048) for i, t in ODD), key=str)
+    for chunk in (1000, 7):
+        rows = tokens.token_counts(documents(spark, *ODD), chunk=chunk, overlap=5).collect()
+        assert sorted(map(tuple, rows), key=str) == sorted(((i, len((t or "").encode()), len(library(t)), len(library(t)) > 2048) for i, t in ODD), key=str)
     assert tokens.token_counts(documents(spark)).count() == 0
 
 
+def test_token_counts_query_against_the_library(spark, library):
+    from shotlake.llm.queries import op3_token_counts
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    assert sum(len((r.text or "").encode()) > tokens.CHUNK for r in docs) > 5
+    want = {(r.doc_id, len((r.text or "").encode()), n := len(library(r.text)), n > 2048) for r in docs}
+    assert set(map(tuple, op3_token_counts(spark, SF).collect())) == want
+
+
 # --- packing
 
 def test_pieces_cover_documents_and_fill_sequences():
@@ -107,6 +135,25 @@ def test_pack(spark, library):
     assert max(Counter(r.sequence_id for r in rows for _ in range(r.length)).values()) <= 2048
 
 
+def test_packing_query_against_the_library(spark, library):
+    from shotlake.llm.queries import op5_packing
+
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    ids = {i: np.array([*library(t).ids, 1], "<u4") for i, t in texts.items()}
+    by_doc, by_seq = defaultdict(list), defaultdict(list)
+    for r in op5_packing(spark, SF).collect():
+        assert r.doc_tokens == len(ids[r.doc_id]) and r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        by_doc[r.doc_id].append((r.start, r.length))
+        by_seq[r.sequence_id].append((r.offset, r.length))
+    for spans, whole in [*((by_doc[i], len(x)) for i, x in ids.items()), *((v, None) for v in by_seq.values())]:
+        at = 0
+        for a, n in sorted(spans):
+            assert a == at and n > 0
+            at += n
+        assert at == whole if whole is not None else at <= 2048
+    assert sum(map(len, ids.values())) > 0.95 * 2048 * len(by_seq)
+
+
 # --- fingerprints
 
 def units_of(text):
@@ -118,21 +165,16 @@ def test_winnowing_against_brute_force(spark):
     texts = [" ".join(rng.choice("a b c dd e") for _ in range(n)) for n in (0, 1, 3, 4, 5, 8, 9, 40, 200)] + ["日本語のテキスト", "x" * 60]
     df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
     units = F.regexp_extract_all("text", F.lit(fingerprints.UNIT), F.lit(0))
-    rows = df.select("text", units.alias("u"), F.transform(units, lambda u: F.xxhash64(u)).alias("h"), fingerprints.winnow(F.col("text")).alias("f")).collect()
-    k, w = fingerprints.K, fingerprints.W
-    grams = {tuple(r.h[i : i + k]) for r in rows for i in range(len(r.h) - k + 1)}
-    hashed = spark.createDataFrame([(*g,) for g in grams], "a long, b long, c long, d long")
-    gram = {tuple(r)[:4]: r.g for r in hashed.select("a", "b", "c", "d", F.xxhash64("a", "b", "c", "d").alias("g")).collect()}
-    for r in rows:
-        assert r.u == units_of(r.text)
-        if len(r.u) < k:
-            assert len(r.f) == (1 if r.u else 0)
-            continue
-        # signed order of 64 bits is that of the upper 32
-        g = [gram[tuple(r.h[i : i + k])] >> 32 for i in range(len(r.h) - k + 1)]
-        n = max(1, len(g) - w + 1)
-        want = sorted({max(range(i, min(i + w, len(g))), key=lambda j: (-g[j], j)) for i in range(n)})
-        assert [(f.position, f.hash) for f in r.f] == [(p, g[p] & 0xFFFFFFFF) for p in want]
+    for k, w in ((fingerprints.K, fingerprints.W), (1, 3), (5, 4)):
+        rows = df.select("text", units.alias("u"), F.transform(units, lambda u: F.xxhash64(u)).alias("h"), fingerprints.winnow(F.col("text"), k, w).alias("f")).collect()
+        for r in rows:
+            assert r.u == units_of(r.text)
+            h = [x % fingerprints.PRIME for x in r.h]
+            gram = lambda part: sum(x * pow(fingerprints.BASE, len(part) - 1 - j, fingerprints.PRIME) for j, x in enumerate(part)) % fingerprints.PRIME
+            g = [gram(h[i : i + k]) for i in range(len(h) - k + 1)] if len(h) >= k else [gram(h)] if h else []
+            n = max(1, len(g) - w + 1) if g else 0
+            want = sorted({max(range(i, min(i + w, len(g))), key=lambda j: (-g[j], j)) for i in range(n)})
+            assert [(f.position, f.hash) for f in r.f] == [(p, g[p]) for p in want]
 
 
 def test_neighbours_and_edits(spark, monkeypatch):
@@ -145,6 +187,12 @@ def test_neighbours_and_edits(spark, monkeypatch):
         m = len(d.text) // 3
         edited = d.text[: len(d.text) - m] + following.text[:m]
         assert rows[d.doc_id].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest() and rows[d.doc_id].n_chars == len(d.text)
+    marks = lambda text: {x.split("@")[0] for x in text.split()}
+    alike = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for d, following in zip(docs, docs[1:] + docs[:1]):
+        r, own = rows[d.doc_id], marks(rows[d.doc_id].fingerprint)
+        assert abs(r.near_edited - alike(own, marks(r.edited_fingerprint))) < 1e-12
+        assert abs(r.near_next - alike(own, marks(rows[following.doc_id].fingerprint))) < 1e-12
     near = [r.near_edited > r.near_next for r in rows.values()]
     assert sum(near) / len(near) > 0.95
 
@@ -182,7 +230,7 @@ def jaccard_components(rows, percent=80):
     return {(i, len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("part", [1024, 3])
+@pytest.mark.parametrize("part", [128, 3])
 def test_jaccard_join_against_brute_force(spark, part, monkeypatch):
     rng = random.Random(part)
     rows, base = [], []
@@ -202,6 +250,48 @@ def test_jaccard_join_against_brute_force(spark, part, monkeypatch):
     assert len({c for _, _, c in got}) < len(got) - 40
 
 
+def test_groups_of_several_parts(spark, monkeypatch):
+    # near copies that form one component, others apart from them that hold the same passage, and some in between
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(60)]
+    rows = [(i, " ".join(passage + [f"v{rng.randint(0, 3)}"] * (i % 3))) for i in range(40)]
+    rows += [(100 + i, " ".join(passage + [f"t{i % 7}x{k}" for k in range(18 + i % 2)])) for i in range(30)]
+    rows += [(200 + i, " ".join(passage[: 52 + i % 8] + [f"q{i % 4}"] * (i % 5))) for i in range(20)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(jaccard_join.class_links, "__defaults__", (80, 4))
+    monkeypatch.setattr(jaccard_join, "BLOCK_DOCS", 9)
+    got = {tuple(r) for r in jaccard_join.join_components(documents(spark, *rows)).collect()}
+    want = jaccard_components(rows)
+    assert got == want and 3 < len({c for _, _, c in want}) < 60
+
+
+def test_groups_of_unlike_texts_lengthen_their_prefixes(spark, monkeypatch):
+    # every two of six passages, three times with small changes: many hold each passage, few are alike
+    rng = random.Random(5)
+    passages = [[f"p{k}x{i}" for i in range(14)] for k in range(6)]
+    rows = [(100 * a + 10 * b + c, " ".join(passages[a] + passages[b] + ["end", "word"][: c % 3])) for a in range(6) for b in range(6) if a != b for c in range(3)]
+    rows += [(1000 + i, " ".join(passages[i % 6] + [f"q{i}", f"r{i}"])) for i in range(30)]
+    rng.shuffle(rows)
+    written = Counter()
+    plain = jaccard_join.materialise
+    monkeypatch.setattr(jaccard_join, "materialise", lambda df, name: written.update([name]) or plain(df, name))
+    monkeypatch.setattr(jaccard_join.class_links, "__defaults__", (80, 4))
+    got = {tuple(r) for r in jaccard_join.join_components(documents(spark, *rows)).collect()}
+    assert got == jaccard_components(rows) and len({c for _, _, c in got}) > 20
+    assert written["chosen"] == 1 and written["members"] == 2
+
+
+def test_jaccard_query_against_sql(spark):
+    import duckdb
+
+    from shotlake.llm.queries import ORACLE_SQL, op2_jaccard_join
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    want = {tuple(r) for r in con.execute(f"SELECT doc_id, n_shingles, component_id FROM ({ORACLE_SQL['op2_jaccard_join']})").fetchall()}
+    assert {tuple(r) for r in op2_jaccard_join(spark, SF).collect()} == want
+
+
 @pytest.mark.parametrize("order", ["descending", "shuffled"])
 def test_jaccard_join_of_copies_in_one_block(spark, order):
     words = [f"w{i}" for i in range(60)]
@@ -267,12 +357,69 @@ def test_later_models_see_out_of_fold_probabilities():
     assert len(chain.models[1]) == len(chain.models[0]) + 1
 
 
+def test_models_do_not_depend_on_partitions(spark):
+    docs, labels = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet"), spark.read.parquet(f"{SF.replace('0.001', '0.01')}/labels.parquet")
+    found = []
+    for n in (3, 5):
+        chain = toxicity.train(docs.repartition(n), labels.repartition(n), rows=100)
+        found.append([chain.place, *chain.models, quality.train(*quality.weak_labels(docs.repartition(n)), rows=100)])
+    assert all(np.array_equal(a, b) if isinstance(a, np.ndarray) else a == b for a, b in zip(*found))
+
+
+def test_toxicity_query_against_plain_scoring(spark):
+    from shotlake.llm.queries import op4_toxicity
+
+    sf = SF.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    chain, rows = toxicity.train(docs, labels), {r.doc_id: r for r in op4_toxicity(spark, sf).collect()}
+    assert len(rows) == docs.count()
+    for d in docs.select("doc_id", "text").collect():
+        at = {chain.place[h] for w in toxicity.words_of(d.text or "") for h in toxicity.hashed(w) if h in chain.place}
+        p = []
+        for w in chain.models:
+            z = w[-1] + sum(w[i] for i in at) + sum(x * y for x, y in zip(w[len(chain.place) :], p))
+            p.append(1 / (1 + math.exp(-z)))
+        r = rows[d.doc_id]
+        assert max(abs(x - y) for x, y in zip(p, (r.p_kind_1, r.p_kind_2, r.p_toxic))) < 1e-9 and r.toxic == (r.p_toxic >= toxicity.THRESHOLD)
+    truth = labels.collect()
+    assert sum(rows[r.doc_id].toxic == (r.toxic == 1) for r in truth if r.doc_id in rows) > 0.93 * len(truth)
+
+
+def test_quality_query_against_plain_scoring(spark):
+    from shotlake.llm.queries import op7_quality
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    measured, posterior = quality.weak_labels(docs)
+    weights, rows, features = quality.train(measured, posterior), {r.doc_id: r for r in op7_quality(spark, SF).collect()}, quality.Features()
+    for d in docs.select("doc_id", "text").collect():
+        values, words = quality.measures((d.text or "").encode())
+        columns, shares = features.of(values, words)
+        z = sum(weights[c] * x for c, x in zip(columns, shares)) + weights[-1]
+        r = rows[d.doc_id]
+        assert r.votes == quality.votes(values) and r.posterior == posterior[r.votes] and abs(r.score - 1 / (1 + math.exp(-z))) < 1e-9 and r.keep == (r.score >= quality.KEEP)
+
+
+def test_kinds_are_clusters_of_toxic_rows():
+    rng = np.random.default_rng(3)
+    features, toxic, truth = [], [], []
+    for i in range(400):
+        kind = i % 4  # 0 and 1 are toxic, each with columns of its own
+        own = {0: [1000, 1001, 1002], 1: [2000, 2001, 2002]}.get(kind, [])
+        features.append(np.unique([*rng.integers(0, 200, 20), *rng.choice(own, 2, replace=False)] if own else rng.integers(0, 200, 20)))
+        toxic.append(float(kind < 2))
+        truth.append(kind)
+    found, truth = toxicity.kinds_of(features, np.array(toxic)), np.array(truth)
+    assert found.sum(1).tolist() == toxic
+    assert {tuple(found[truth == k].mean(0).round(2)) for k in (0, 1)} == {(1.0, 0.0), (0.0, 1.0)}
+    assert not toxicity.kinds_of(features, np.zeros(400)).any()
+
+
 def test_toxicity_of_odd_rows(spark):
     docs = documents(spark, *ODD)
     none = spark.createDataFrame([(None, 1), (99, 1), (1, None)], "doc_id long, toxic int")
     assert toxicity.train(docs, none) is None
     rows = toxicity.score(docs, None)
-    assert rows.count() == len(ODD) and rows.where("toxic").count() == 0 and rows.columns == ["record", "p_insult", "p_contempt", "p_toxic", "toxic"]
+    assert rows.count() == len(ODD) and rows.where("toxic").count() == 0 and rows.columns == ["record", "p_kind_1", "p_kind_2", "p_toxic", "toxic"]
     labels = spark.createDataFrame([(4, 1), (5, 0), (6, 0)], "doc_id long, toxic int")
     assert toxicity.score(docs, toxicity.train(docs, labels)).count() == len(ODD)
     assert toxicity.score(documents(spark), toxicity.train(docs, labels)).count() == 0
@@ -302,6 +449,39 @@ def test_near_duplicates_against_brute_force(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_vector_query_against_brute_force(spark):
+    from shotlake.llm.queries import op6_embedding_dedup
+
+    sf = SF.replace("0.001", "0.01")
+    vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()}
+    usable = [i for i, v in sorted(vectors.items()) if v is not None and None not in v and np.isfinite(v).all() and np.any(v)]
+    got = {r.vec_id: r for r in op6_embedding_dedup(spark, sf).collect()}
+    assert set(got) == set(vectors) and len({len(vectors[i]) for i in usable}) == 1
+    x = np.array([vectors[i] for i in usable], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    links = np.array([got[i].n_links for i in usable])
+    assert (links <= near.sum(1)).all() and links.sum() >= 0.99 * near.sum() > 0
+    assert all(r.kept == (r.component_id == i) and r.component_id <= i for i, r in got.items())
+
+
+def test_vectors_of_other_lengths_link_among_themselves(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(300)] + [(1000 + i, [1.0, 0.0, 0.01 * i]) for i in range(40)] + [(2000, [2.0]), (2001, [3.0]), (2002, [-1.0])]
+    rows += [(3000 + i, (np.eye(5)[i % 2] + 0.01 * rng.normal(size=5)).tolist()) for i in range(90)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embedding_dedup.near_duplicates(df, part=60, asking=50).collect()}
+    for low, high in ((1000, 2000), (2000, 3000), (3000, 4000)):
+        ids = [i for i, _ in rows if low <= i < high]
+        u = np.array([v for i, v in rows if low <= i < high])
+        near = (u / np.linalg.norm(u, axis=1, keepdims=True)) @ (u / np.linalg.norm(u, axis=1, keepdims=True)).T >= 0.95
+        np.fill_diagonal(near, False)
+        assert [got[i].n_links for i in ids] == near.sum(1).tolist()
+        reach = np.linalg.matrix_power(near.astype(float) + np.eye(len(ids)), len(ids)) > 0
+        assert [got[i].component_id for i in ids] == [ids[np.flatnonzero(r)[0]] for r in reach]
+
+
 @pytest.mark.parametrize(("size", "noise"), [(1500, 0.02), (6000, 0.02), (6000, 0.026)])
 def test_recall_with_a_third_of_the_vectors_in_one_group(spark, size, noise):
     rng = np.random.default_rng(size)
@@ -398,6 +578,31 @@ def test_entropy_target(spark):
     assert {r.exponent for r in plan} == {1.0} and sum(r.budget for r in plan) == 60 and sum(u.n_tokens for u in uses) <= 66
 
 
+def test_exponent_with_a_budget_and_many_sources(spark):
+    rows = [(i, "w " * (1 + i % 9), f"s{i % 200}") for i in range(900)]
+    tokens_of = Counter()
+    for _, t, s in rows:
+        tokens_of[s] += len(t.split())
+    total = sum(tokens_of.values())
+    plan, _ = mixed(spark, rows, budget=total, max_repetition=1.2)
+    weight = lambda a: {s: (t / total) ** a / sum((x / total) ** a for x in tokens_of.values()) for s, t in tokens_of.items()}
+    most = lambda a: max(weight(a)[s] * total / t for s, t in tokens_of.items())
+    (a,) = {r.exponent for r in plan}
+    assert 0 < a < 1 and most(a) <= 1.2 + 1e-9 < most(a - 1e-6)
+    assert all(abs(r.weight - weight(a)[r.source]) < 1e-12 for r in plan) and len(plan) == 200
+
+
+def test_mixing_of_odd_rows(spark):
+    from shotlake.llm.common import materialise
+
+    rows = mixing.counted(documents(spark, *ODD))
+    uses = materialise(mixing.positions(rows, mixing.weights(rows)), "uses").collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in uses) == Counter((i, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for i, t in ODD)
+    assert all(r.source == "s" and r.epoch == 0 for r in uses)
+    none = mixing.counted(documents(spark))
+    assert mixing.weights(none).count() == 0 and mixing.positions(none, mixing.weights(none)).count() == 0
+
+
 def test_mix_repeats_rows_like_positions(spark):
     rows = [(i, "w " * (1 + i % 5), f"s{i % 3 if i < 30 else 0}") for i in range(60)] + [(None, "a b", None), (70, None, "none")]
     docs = documents(spark, *rows)
@@ -459,19 +664,40 @@ def base_spans(text):
     return sorted((m.start(), k, n, m.end()) for k, (n, p, g, least) in enumerate(PATTERNS) for m in p.finditer(text) if len(m.group(g)) >= least)
 
 
-def test_secrets_query_against_python(spark):
+def sql_rows(name, sf):
+    import duckdb
+
+    from shotlake.llm.queries import ORACLE_SQL
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    return con.execute(ORACLE_SQL[name]).df()
+
+
+def test_secrets_query_against_sql_and_python(spark):
     from shotlake.llm.queries import op9_secrets
 
-    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
-    rows = op9_secrets(spark, SF).collect()
-    assert len(rows) == len(texts) and sum(r.n_assign + r.n_access + r.n_hex for r in rows) > 3
+    sf = SF.replace("0.001", "0.01")
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    rows = op9_secrets(spark, sf).collect()
+    want = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256, r.spans) for r in sql_rows("op9_secrets", sf).itertuples()}
+    assert {r.doc_id: tuple(r)[1:] for r in rows} == want and set(want) == set(texts) and sum(r.n_assign + r.n_access + r.n_hex for r in rows) > 3
     for r in rows:
         base = base_spans(texts[r.doc_id])
         written = [f"{n}:{a}:{b}" for a, _, n, b in base]
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(n == k for _, _, n, _ in base) for k in ("assign", "access", "hex")]
         assert r.base_sha256 == hashlib.sha256(",".join(written).encode()).hexdigest()
-        spans = r.spans.split(",") if r.spans else []
-        assert [x for x in spans if not x.startswith("entropy")] == written and len(spans) == len(set(spans))
+
+
+def test_mixing_query_against_sql(spark):
+    from shotlake.llm.queries import op8_mixing
+
+    rows = op8_mixing(spark, SF).toPandas()
+    want = sql_rows("op8_mixing", SF)
+    columns = sorted(want.columns)
+    assert sorted(rows.columns) == columns and len(rows) == len(want) > 100
+    key = ["source", "start", "doc_id", "epoch"]
+    assert (rows.sort_values(key)[columns].reset_index(drop=True) == want.sort_values(key)[columns].reset_index(drop=True)).all().all()
 
 
 def test_secrets_of_long_texts_and_odd_rows(spark):
@@ -483,7 +709,7 @@ def test_secrets_of_long_texts_and_odd_rows(spark):
     assert Counter(r.text for r in got) == Counter(t for _, t in rows)
     for r in got:
         assert [(s.start, s.rank, s.kind, s.end) for s in r.s] == base_spans(r.text or "")
-    assert max(r.n for r in got) > 15_000 and sum(r.n for r in got if r.text and r.text.endswith("AAAA") and "+" in r.text) > 2_000
+    assert max(r.n for r in got) > 15_000 and sum(r.n for r in got if r.text and r.text.endswith("AAAA") and "+" in r.text) > 1_000
     for r in secret_scan.redact(docs).where("text like '%SECRET%'").collect():
         assert r.n_chars == len(r.text) and not base_spans(r.text)
     assert secret_scan.scan(documents(spark)).count() == 0
@@ -510,10 +736,39 @@ def test_shards_hold_all_rows_without_gaps(spark):
     assert all(sorted(s for s, _ in v) == list(range(len(v))) for v in slots.values()) and len(slots) == 8
     assert any([d for _, d in sorted(v)] != sorted(d for _, d in v if d is not None) for v in slots.values())
     again = sharding.shuffle_shards(docs.repartition(7), shards=8, bucket_bytes=200).collect()
-    assert {(r.record.doc_id, r.record.text): r.shard for r in out} == {(r.record.doc_id, r.record.text): r.shard for r in again}
+    assert Counter((r.shard, r.slot, r.record.doc_id, r.record.text) for r in out) == Counter((r.shard, r.slot, r.record.doc_id, r.record.text) for r in again)
     assert sharding.shuffle_shards(docs.limit(0)).count() == 0
 
 
+def test_fisher_yates_is_uniform_and_a_permutation(spark):
+    df = spark.range(6000).select(sharding.fisher_yates(F.lit(3), F.lit(1), "id").alias("p"), sharding.fisher_yates(F.col("id").cast("int") % 40, F.lit(2), "id").alias("q"), "id")
+    rows = df.collect()
+    assert all(sorted(r.q) == list(range(r.id % 40)) for r in rows)
+    assert all(850 < n < 1150 for n in Counter(tuple(r.p) for r in rows).values()) and len({tuple(r.p) for r in rows}) == 6
+
+
+def test_rows_without_ids_spread_over_buckets(spark):
+    docs = documents(spark, *[(None if i % 3 else 5, f"text {i}") for i in range(600)])
+    parts = sharding.buckets_for(docs, 4, bucket_rows=10)
+    assert parts == 15
+    sizes = sharding.bucketed(docs, "doc_id", 4, 1, parts).groupBy("shard", "part").count().collect()
+    assert max(r["count"] for r in sizes) < 60 and sum(r["count"] for r in sizes) == 600
+    out = sharding.shuffle_shards(docs, shards=4, bucket_rows=10).collect()
+    assert len({r.record.text for r in out}) == 600 and len({(r.shard, r.slot) for r in out}) == 600
+
+
+def test_sharding_query_against_python(spark):
+    from shotlake.llm.queries import op10_sharding
+
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    rows = op10_sharding(spark, SF).collect()
+    assert {r.doc_id for r in rows} == set(texts) and len(rows) == len(texts)
+    for r in rows:
+        assert (r["size"], r.text_crc32, r.law) == (len(texts[r.doc_id]) + 16, zlib.crc32(texts[r.doc_id]), "key")
+        assert 0 <= r.shard < 40 and r.grown_shard in (r.shard, 40)
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows))) for s in range(40))
+
+
 def test_one_more_shard_takes_rows_only_into_itself(spark):
     df = spark.range(2000).select(sharding.shard_of(F.col("id"), 10).alias("a"), sharding.shard_of(F.col("id"), 11).alias("b"))
     moved = df.where("a <> b").collect()
@@ -521,6 +776,15 @@ def test_one_more_shard_takes_rows_only_into_itself(spark):
 
 
 def test_written_shards(spark, tmp_path):
-    sharding.write_shards(documents(spark, *[(i, "x") for i in range(50)]), str(tmp_path / "out"), shards=4)
+    docs = documents(spark, *[(i, f"x{i}") for i in range(300)])
+    sharding.write_shards(docs, str(tmp_path / "out"), files=3, shards=4, bucket_rows=20)
     back = spark.read.parquet(str(tmp_path / "out"))
-    assert back.count() == 50 and {r[0] for r in back.select("shard").distinct().collect()} <= set(range(4))
+    assert back.count() == 300 and {r[0] for r in back.select("shard").distinct().collect()} == set(range(4)) and "record_shard" in back.columns
+    want = defaultdict(list)
+    for r in sorted(sharding.shuffle_shards(docs, shards=4, bucket_rows=20).collect(), key=lambda r: (r.shard, r.slot)):
+        want[r.shard].append(r.record.doc_id)
+    import pyarrow.parquet as pq
+
+    for k in range(4):
+        files = sorted((tmp_path / "out" / f"shard={k}").glob("*.parquet"))
+        assert len(files) > 1 and [i for f in files for i in pq.ParquetFile(f).read(["doc_id"])["doc_id"].to_pylist()] == want[k]
