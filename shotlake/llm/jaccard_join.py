@@ -12,7 +12,8 @@ reaches, and the intersection of two documents is that of their shared shingles.
    those that hold it. A group is cut into parts, each of which meets by itself and with a few pivots of the group;
    multi-match prefixes give candidates, which are verified exactly.
 5. Where a group of several parts isn't connected yet, the parts of its largest connected set meet the rest, and the
-   rest's parts each other: a group of near copies costs what it has members, not their square.
+   rest's parts each other: a group of near copies costs what it has members, not their square. Or, by estimated cost,
+   its prefixes are lengthened, and two shared tokens are asked for.
 6. All links go to connected components.
 """
 
@@ -392,17 +393,14 @@ def class_links(rows: DataFrame, percent: int = PERCENT, part: int = PART) -> Da
     A pair of classes that is similar shares a prefix token, and so meets in the group of that token's least class,
     the hub. A group of more than `part` classes is cut into parts. First, each part meets by itself, together with a
     few pivots that all parts of the group have: copies of one text, in whatever parts, connect through a pivot among
-    them. Then the parts of the largest connected set meet those of the rest, and these each other, so that every
-    pair that isn't connected yet meets.
+    them. Where a group isn't connected by that, the links of all groups are put together, and it is dealt once more.
+    A group that still isn't connected costs its rest (all but its largest connected set) times the whole group,
+    if its parts meet each other. Or its prefixes are lengthened by a token: a similar pair has two of these in common,
+    of which one isn't the group's commonest, and so meets among the holders of another one. That is done where the
+    estimated cost, the squares of these holders, is less.
     """
     classes = _classes(rows, F.any_value("n_shingles").alias("n_shingles"), F.max("reach").alias("reach"), F.max_by("shared", "reach").alias("shared"))
     classes = materialise(classes.where("reach > 0").drop("digest"), "classes")
-    posts = classes.select("class", F.explode(F.slice("shared", F.lit(1), F.col("reach"))).alias("token"))
-    hubs = posts.groupBy("token").agg(F.min("class").alias("hub"), F.count("*").alias("holders")).where("holders > 1").drop("holders")
-    members = materialise(posts.join(hubs, "token").select("hub", "class").distinct(), "members")
-    drawn = [F.min(F.struct(F.xxhash64(F.lit(k), "class").alias("h"), "class"))["class"] for k in range(PIVOTS - 1)]
-    groups = members.groupBy("hub").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"), F.array(*drawn).alias("pivots"))
-    groups = materialise(groups.withColumn("pivots", F.array_union(F.array("hub"), "pivots")), "groups")
     n = partitions_for(rows, RANGE_BYTES)
 
     def met(pieces: DataFrame) -> DataFrame:
@@ -410,29 +408,78 @@ def class_links(rows: DataFrame, percent: int = PERCENT, part: int = PART) -> Da
         full = pieces.join(classes, "class").repartition(n, "hub", "i", "j").sortWithinPartitions("hub", "i", "j")
         return materialise(full.mapInArrow(_verify(percent), "a long, b long, hub long"), "links")
 
-    def slot(count: str) -> Column:
-        return F.pmod(F.xxhash64("class"), count).cast("int")
-
-    own = members.join(groups, "hub").withColumn("large", F.col("parts") > 1).withColumn("pivot", F.col("large") & F.array_contains("pivots", F.col("class")))
-    everywhere = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(slot("parts")))
-    own = own.select("hub", "class", F.explode(everywhere).alias("part"), "pivot", "large")
-    found = met(own.select("*", F.col("part").alias("i"), F.col("part").alias("j"), F.col("class").alias("known")))
-
-    held = found.where("hub is not null").groupBy("hub", F.col("a").alias("class")).agg(F.min("b").alias("known"))
-    top = held.groupBy("hub", "known").agg(F.count("*").alias("n")).groupBy("hub").agg(F.max_by("known", F.struct("n", "known")).alias("main"), F.max("n").alias("n"), F.sum("n").alias("all"))
-    top = top.where(F.col("n") < F.col("all")).select("hub", "main", F.ceil(F.col("n") / part).cast("int").alias("of_main"), F.ceil((F.col("all") - F.col("n")) / part).cast("int").alias("of_rest"))
-    top = materialise(top, "apart")
-    if top.isEmpty():
-        return found.select("a", "b")
-    held = held.join(top, "hub").withColumns({"pivot": F.lit(False), "large": F.lit(False)})
-    rest = F.sequence(F.col("of_main"), F.col("of_main") + F.col("of_rest") - 1)
-    columns = ["hub", "class", "known", "pivot", "large", "part"]
-    first = held.where("known = main").withColumn("part", slot("of_main")).select(*columns, F.col("part").alias("i"), F.explode(rest).alias("j"))
-    last = held.where("known <> main").withColumn("part", F.col("of_main") + slot("of_rest"))
-    others = F.sequence(F.lit(0), F.col("of_main") + F.col("of_rest") - 1)
-    last = last.select(*columns, F.explode(others).alias("other"))
-    last = last.select(*columns, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
-    return found.unionByName(met(first.unionByName(last))).select("a", "b")
+    def slot(count: str, deal: int = 0) -> Column:
+        return F.pmod(F.xxhash64(F.lit(deal), "class"), count).cast("int")
+
+    def sets(held: DataFrame) -> DataFrame:
+        """Of groups (hub, class, known) that aren't connected: the largest set (main), its size n and the group's (all)."""
+        sizes = held.groupBy("hub", "known").agg(F.count("*").alias("n")).groupBy("hub").agg(F.max_by("known", F.struct("n", "known")).alias("main"), F.max("n").alias("n"), F.sum("n").alias("all"))
+        return materialise(sizes.where(F.col("n") < F.col("all")), "apart")
+
+    def by_parts(members: DataFrame, deal: int = 0) -> tuple[DataFrame, DataFrame]:
+        """Of groups (hub, class, known), dealt into parts in one of many ways: links, and the classes of those with
+        several parts, with what they were found to be connected to."""
+        drawn = [F.min(F.struct(F.xxhash64(F.lit(deal * PIVOTS + k), "class").alias("h"), "class"))["class"] for k in range(PIVOTS - 1)]
+        groups = members.groupBy("hub").agg(F.ceil(F.count("*") / part).cast("int").alias("parts"), F.array_distinct(F.array(F.min("class"), *drawn)).alias("pivots"))
+        own = members.join(materialise(groups, "groups"), "hub").withColumn("large", F.col("parts") > 1).withColumn("pivot", F.col("large") & F.array_contains("pivots", F.col("class")))
+        everywhere = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(slot("parts", deal)))
+        own = own.select("hub", "class", "known", F.explode(everywhere).alias("part"), "pivot", "large")
+        found = met(own.select("*", F.col("part").alias("i"), F.col("part").alias("j")))
+        held = found.where("hub is not null").groupBy("hub", F.col("a").alias("class")).agg(F.min("b").alias("known"))
+        return found.select("a", "b"), held
+
+    def elsewhere(found: DataFrame, held: DataFrame, apart: DataFrame) -> DataFrame:
+        """The classes of groups that aren't connected, with the component that all links so far, those of other groups
+        too, make them part of."""
+        mine = held.join(apart.select("hub"), "hub", "left_semi").select("hub", "class")
+        both = mine.join(components(found), F.col("class") == F.col("node"), "left")
+        return materialise(both.select("hub", "class", F.coalesce("component", "class").alias("known")), "held")
+
+    def parts_with_parts(held: DataFrame, apart: DataFrame) -> DataFrame:
+        """Links between the main set's parts and the rest's, and among the rest's."""
+        sizes = apart.select("hub", "main", F.ceil(F.col("n") / part).cast("int").alias("of_main"), F.ceil((F.col("all") - F.col("n")) / part).cast("int").alias("of_rest"))
+        both = held.join(sizes, "hub").withColumns({"pivot": F.lit(False), "large": F.lit(False)})
+        rest = F.sequence(F.col("of_main"), F.col("of_main") + F.col("of_rest") - 1)
+        others = F.sequence(F.lit(0), F.col("of_main") + F.col("of_rest") - 1)
+        columns = ["hub", "class", "known", "pivot", "large", "part"]
+        first = both.where("known = main").withColumn("part", slot("of_main")).select(*columns, F.col("part").alias("i"), F.explode(rest).alias("j"))
+        last = both.where("known <> main").withColumn("part", F.col("of_main") + slot("of_rest")).select(*columns, F.explode(others).alias("other"))
+        last = last.select(*columns, F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"))
+        return met(first.unionByName(last)).select("a", "b")
+
+    posts = classes.select("class", F.explode(F.slice("shared", F.lit(1), F.col("reach"))).alias("token"))
+    hubs = posts.groupBy("token").agg(F.min("class").alias("hub"), F.count("*").alias("holders")).where("holders > 1").drop("holders")
+    members = materialise(posts.join(hubs, "token").select("hub", "class").distinct(), "members")
+    found, held = by_parts(members.withColumn("known", F.col("class")))
+    apart = sets(held)
+    for again in (True, False):
+        if apart.isEmpty():
+            return found
+        held = elsewhere(found, held, apart)
+        apart = sets(held)
+        if again and not apart.isEmpty():
+            # dealt anew, most of what is connected through several others comes to meet
+            found = found.unionByName(by_parts(held.join(apart.select("hub"), "hub", "left_semi"), 1)[0])
+    if apart.isEmpty():
+        return found
+
+    longer = held.join(apart, "hub").join(classes.select("class", F.slice("shared", F.lit(1), F.col("reach") + 1).alias("tokens")), "class")
+    longer = materialise(longer.select("hub", "class", "known", F.explode("tokens").alias("token")), "longer")
+    holders = longer.groupBy("hub", "token").agg(F.count("*").alias("c"))
+    costs = holders.groupBy("hub").agg(F.max_by("token", F.struct("c", "token")).alias("usual"), (F.sum(F.col("c") * F.col("c")) - F.max(F.col("c") * F.col("c"))).alias("cost"))
+    chosen = apart.join(costs, "hub").withColumn("lengthen", F.col("cost") < (F.col("all") - F.col("n")) * F.col("all"))
+    chosen = materialise(chosen, "chosen")
+    plain, lengthened = chosen.where("not lengthen"), chosen.where("lengthen")
+    if not plain.isEmpty():
+        found = found.unionByName(parts_with_parts(held, plain))
+    if not lengthened.isEmpty():
+        again = longer.join(lengthened.select("hub", "usual"), "hub").where("token <> usual").join(holders.where("c > 1"), ["hub", "token"])
+        again = materialise(again.select(F.xxhash64("hub", "token").alias("hub"), "class", "known").distinct(), "members")
+        more, held = by_parts(again)
+        found, apart = found.unionByName(more), sets(held)
+        if not apart.isEmpty():
+            found = found.unionByName(parts_with_parts(held, apart))
+    return found
 
 
 def join_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
