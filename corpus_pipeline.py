@@ -23,7 +23,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document with the least doc_id of each group of linked ones; of rows with one id that are linked by it, one
     of each text. Documents without an id stay, and so do those without words but for repeated rows of one id."""
     found = materialise(jaccard_join.join_components(docs), "groups")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone"))
+    # written, so that its size is known: few ids are broadcast, and the texts stay where they are
+    gone = materialise(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")), "gone")
     kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
     again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
     again = materialise(again, "again")
