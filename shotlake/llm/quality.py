@@ -117,38 +117,39 @@ class Features:
         return np.concatenate([columns, np.array(steps, np.int64)]), np.concatenate([counts / max(1, len(words)), np.ones(len(steps))])
 
 
-def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([votes(measures(t.as_py())[0]) for t in b.column(1).cast(pa.binary())])], ["doc_id", "votes"])
+_MEASURED = "doc_id long, order long, votes string, columns array<long>, shares array<double>"
 
 
-def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     features = Features()
     for b in batches:
-        found = [(measures(t.as_py())) for t in b.column(1).cast(pa.binary())]
+        found = [measures(t.as_py()) for t in b.column(1).cast(pa.binary())]
         pairs = [features.of(*f) for f in found]
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([votes(f[0]) for f in found]), pa.array([p[0] for p in pairs], pa.list_(pa.int64())), pa.array([p[1] for p in pairs], pa.list_(pa.float64()))], ["doc_id", "votes", "columns", "shares"])
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array([votes(f[0]) for f in found], pa.string()), pa.array([p[0] for p in pairs], pa.list_(pa.int64())), pa.array([p[1] for p in pairs], pa.list_(pa.float64()))], ["doc_id", "order", "votes", "columns", "shares"])
 
 
 def weak_labels(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[str, float]]:
-    """(doc_id, votes) of every row, written once, and the posterior of good of each pattern of votes. Patterns are
-    counted over all rows; there are at most 3 ** len(LABELLERS) of them."""
-    voted = materialise(id_and_text(docs, id_col, text_col).mapInArrow(_vote, "doc_id long, votes string"), "votes")
-    counts = {r["votes"]: r["count"] for r in voted.groupBy("votes").count().collect()}
+    """(doc_id, order, votes, columns, shares) of every row, written once, and the posterior of good of each pattern of
+    votes. Texts are read here only: what the scorer needs of them is a few hashed columns. Patterns are counted over
+    all rows; there are at most 3 ** len(LABELLERS) of them."""
+    mixed = F.xxhash64(F.lit(SEED), "doc_id", F.octet_length("text")).bitwiseAND(F.lit((1 << 40) - 1))
+    rows = id_and_text(docs, id_col, text_col).select("doc_id", "text", mixed.alias("order"))
+    measured = materialise(rows.mapInArrow(_measured, _MEASURED), "votes")
+    counts = {r["votes"]: r["count"] for r in measured.groupBy("votes").count().collect()}
     patterns = sorted(counts)
     if not patterns:
-        return voted, {}
-    return voted, dict(zip(patterns, accuracies(patterns, np.array([counts[p] for p in patterns], float))[2].tolist()))
+        return measured, {}
+    return measured, dict(zip(patterns, accuracies(patterns, np.array([counts[p] for p in patterns], float))[2].tolist()))
 
 
-def train(docs: DataFrame, posterior: dict[str, float], id_col: str = "doc_id", text_col: str = "text", rows: int = TRAIN, total: int | None = None) -> np.ndarray | None:
-    """The scorer's weights, fitted to the posteriors of at most `rows` documents chosen by a hash of id and text."""
-    total = docs.count() if total is None else total
+def train(measured: DataFrame, posterior: dict[str, float], rows: int = TRAIN) -> np.ndarray | None:
+    """The scorer's weights, fitted to the posteriors of at most `rows` rows of measured, chosen and ordered by a hash of
+    id and length, so that no partitioning changes them."""
+    total = measured.count()
     if not total:
         return None
     share = int(min(1.0, rows / total) * (1 << 40))
-    chosen = id_and_text(docs, id_col, text_col).where(F.xxhash64(F.lit(SEED), "doc_id", F.octet_length("text")).bitwiseAND(F.lit((1 << 40) - 1)) < F.lit(share)).limit(rows)
-    found = chosen.mapInArrow(_sampled, "doc_id long, votes string, columns array<long>, shares array<double>").toArrow()
+    found = measured.where(F.col("order") < F.lit(share)).orderBy("order", "doc_id", "votes", "columns", "shares").limit(rows).toArrow()
     if not found.num_rows:
         return None
     x = Sparse([np.asarray(v.values) for v in found["columns"]], [np.asarray(v.values) for v in found["shares"]], 1 << BITS)
@@ -163,20 +164,19 @@ def classify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
     document is kept while its score reaches `keep`. A null or empty text is a text without words. Null ids stay
     null; repeated rows repeat; an empty table gives none; other columns are dropped.
     """
-    voted, posterior = weak_labels(docs, id_col, text_col)
-    weights = train(docs, posterior, id_col, text_col, rows, voted.count())
+    measured, posterior = weak_labels(docs, id_col, text_col)
+    weights = train(measured, posterior, rows)
     schema = "doc_id long, votes string, posterior double, score double, keep boolean"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features = Features()
         for b in batches:
-            seen, scores = [], []
-            for t in b.column(1).cast(pa.binary()):
-                values, words = measures(t.as_py())
-                columns, shares = features.of(values, words)
-                seen.append(votes(values))
-                z = float(weights[columns] @ shares + weights[-1]) if weights is not None else 0.0
-                scores.append(1 / (1 + math.exp(-max(-40.0, min(40.0, z)))))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seen, pa.string()), pa.array([posterior.get(v, 0.5) for v in seen], pa.float64()), pa.array(scores, pa.float64()), pa.array([s >= keep for s in scores], pa.bool_())], ["doc_id", "votes", "posterior", "score", "keep"])
-
-    return id_and_text(docs, id_col, text_col).mapInArrow(run, schema)
+            columns, shares = b.column("columns"), b.column("shares")
+            row = np.repeat(np.arange(b.num_rows), np.diff(columns.offsets.to_numpy()))
+            z = np.zeros(b.num_rows)
+            if weights is not None:
+                z = np.bincount(row, weights[columns.flatten().to_numpy()] * shares.flatten().to_numpy(), b.num_rows) + weights[-1]
+            score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            cast = b.column("votes").to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("votes"), pa.array([posterior.get(v, 0.5) for v in cast], pa.float64()), pa.array(score), pa.array(score >= keep)], ["doc_id", "votes", "posterior", "score", "keep"])
+
+    return measured.mapInArrow(run, schema)
