@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.llm import embedding_dedup, fingerprints, jaccard_join, mixing, packing, quality, secret_scan, sharding, tokens, toxicity
+from shotlake.llm import divergence, embedding_dedup, fingerprints, hard_negatives, jaccard_join, mixing, packing, quality, secret_scan, sharding, tokens, toxicity
 from shotlake.llm.common import SEED, documents
 
 
@@ -83,6 +83,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir)).select("lang", "source", "part", "item", "value", F.col("rank").cast("int").alias("rank"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_fingerprints": op1_fingerprints,
     "op2_jaccard_join": op2_jaccard_join,
@@ -94,6 +102,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_secrets": op9_secrets,
     "op10_sharding": op10_sharding,
+    "op12_divergence": op12_divergence,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: Shingles joined with themselves, links by the size of the intersection, components by reachability.
@@ -150,4 +160,28 @@ k AS (SELECT *, CAST(floor(CAST(o AS DOUBLE) / 1152921504606846976.0 * blocks) A
 t AS (SELECT *, CAST(row_number() OVER (PARTITION BY source, epoch, block ORDER BY o, doc_id NULLS FIRST, n_tokens) - 1 AS INT) AS slot, CAST(coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY block, o, doc_id NULLS FIRST, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS inside FROM k)
 SELECT doc_id, source, n_tokens, epoch, block, slot, inside + epoch * coalesce((budget - rest) // greatest(epochs, 1), 0) AS start, CASE WHEN budget IS NULL THEN 0 ELSE inside + epoch * ((budget - rest) // greatest(epochs, 1)) END / CAST(coalesce(budget, 1) AS DOUBLE) AS position FROM t WHERE epoch < epochs OR inside < rest"""
 
-ORACLE_SQL: dict[str, str] = {"op8_mixing": _SQL_MIXING, "op9_secrets": _sql_secrets(), "op2_jaccard_join": _SQL_JACCARD}
+#: Every kept term priced for every group and language, absent or not; every pair of groups joined on all terms.
+_SQL_DIVERGENCE = f"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term FROM w GROUP BY 1, 2 HAVING count(DISTINCT r) >= {divergence.LEAST_DOCS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL),
+a AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+l AS (SELECT lang, term, sum(n)::BIGINT AS n FROM a GROUP BY 1, 2),
+p AS (SELECT lang, source, term, n, (1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g))::BIGINT AS p FROM a WINDOW g AS (PARTITION BY lang, source)),
+q AS (SELECT lang, term, (1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER g + 5 * count(*) OVER g))::BIGINT AS q FROM l WINDOW g AS (PARTITION BY lang)),
+s AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p))::BIGINT AS value FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+u AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s.value, 0) AS value FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source LEFT JOIN s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+UNION ALL SELECT p.lang, p.source, 'term', p.term, p - q FROM p JOIN q ON p.lang = q.lang AND p.term = q.term WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM u)
+SELECT lang, source, part, item, value, CAST(rank AS INT) AS rank FROM o WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+#: Every product of an anchor and a row, ranked.
+_SQL_HARD_NEGATIVES = """WITH e AS (SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS HUGEINT) for x in embedding] AS v FROM embeddings
+WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.r AS a, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same, coalesce(list_sum([p[1] * p[2] for p in list_zip(a.v, b.v)]), 0) AS score FROM e a JOIN e b ON a.r <> b.r AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+p AS (SELECT a, anchor_id, r AS p, vec_id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id, r) <= 5),
+n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score, row_number() OVER (PARTITION BY a, p ORDER BY score DESC, vec_id, r) AS rank FROM p JOIN s USING (a, anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, CAST(positive_score AS BIGINT) AS positive_score, CAST(negative_score AS BIGINT) AS negative_score FROM n WHERE rank <= 5"""
+
+ORACLE_SQL: dict[str, str] = {"op12_divergence": _SQL_DIVERGENCE, "op13_hard_negatives": _SQL_HARD_NEGATIVES, "op8_mixing": _SQL_MIXING, "op9_secrets": _sql_secrets(), "op2_jaccard_join": _SQL_JACCARD}
