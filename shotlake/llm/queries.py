@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shotlake.llm import divergence, embedding_dedup, fingerprints, hard_negatives, jaccard_join, mixing, packing, quality, secret_scan, sharding, tokens, toxicity
+from shotlake.llm import divergence, embedding_dedup, fingerprints, hard_negatives, jaccard_join, mixing, packing, quality, secret_scan, sharding, tokens, toxicity, warc
 from shotlake.llm.common import SEED, documents
+from shotlake.sources.scratch import new_path
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "warc")
+    warc.write(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return warc.read(spark, path, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(documents(spark, sf_dir)).select("lang", "source", "part", "item", "value", F.col("rank").cast("int").alias("rank"))
 
@@ -102,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_secrets": op9_secrets,
     "op10_sharding": op10_sharding,
+    "op11_warc": op11_warc,
     "op12_divergence": op12_divergence,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -160,6 +168,12 @@ k AS (SELECT *, CAST(floor(CAST(o AS DOUBLE) / 1152921504606846976.0 * blocks) A
 t AS (SELECT *, CAST(row_number() OVER (PARTITION BY source, epoch, block ORDER BY o, doc_id NULLS FIRST, n_tokens) - 1 AS INT) AS slot, CAST(coalesce(sum(n_tokens) OVER (PARTITION BY source, epoch ORDER BY block, o, doc_id NULLS FIRST, n_tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS inside FROM k)
 SELECT doc_id, source, n_tokens, epoch, block, slot, inside + epoch * coalesce((budget - rest) // greatest(epochs, 1), 0) AS start, CASE WHEN budget IS NULL THEN 0 ELSE inside + epoch * ((budget - rest) // greatest(epochs, 1)) END / CAST(coalesce(budget, 1) AS DOUBLE) AS position FROM t WHERE epoch < epochs OR inside < rest"""
 
+#: Five hexadecimal digits are four of base 32; of equal pages the first is the response.
+_SQL_WARC = f"""WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, sha1(coalesce(html, '')) AS x FROM pages),
+r AS (SELECT *, row_number() OVER (PARTITION BY h ORDER BY page_id NULLS LAST, url NULLS FIRST) AS n, first_value(page_id) OVER (PARTITION BY h ORDER BY page_id NULLS LAST, url NULLS FIRST) AS first FROM p)
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, array_to_string([substr('{warc.BASE32}', CAST((CAST('0x' || substr(x, CAST(5 * (i // 4) + 1 AS INT), 5) AS INT) >> CAST(15 - i % 4 * 5 AS INT)) % 32 AS INT) + 1, 1) for i in range(32)], '') AS payload_digest,
+CASE WHEN n = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN n > 1 THEN first END AS refers_to FROM r"""
+
 #: Every kept term priced for every group and language, absent or not; every pair of groups joined on all terms.
 _SQL_DIVERGENCE = f"""WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 w AS (SELECT r, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
@@ -184,4 +198,4 @@ p AS (SELECT a, anchor_id, r AS p, vec_id AS positive_id, score AS positive_scor
 n AS (SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score, row_number() OVER (PARTITION BY a, p ORDER BY score DESC, vec_id, r) AS rank FROM p JOIN s USING (a, anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
 SELECT anchor_id, positive_id, CAST(rank AS INT) AS rank, negative_id, CAST(positive_score AS BIGINT) AS positive_score, CAST(negative_score AS BIGINT) AS negative_score FROM n WHERE rank <= 5"""
 
-ORACLE_SQL: dict[str, str] = {"op12_divergence": _SQL_DIVERGENCE, "op13_hard_negatives": _SQL_HARD_NEGATIVES, "op8_mixing": _SQL_MIXING, "op9_secrets": _sql_secrets(), "op2_jaccard_join": _SQL_JACCARD}
+ORACLE_SQL: dict[str, str] = {"op11_warc": _SQL_WARC, "op12_divergence": _SQL_DIVERGENCE, "op13_hard_negatives": _SQL_HARD_NEGATIVES, "op8_mixing": _SQL_MIXING, "op9_secrets": _sql_secrets(), "op2_jaccard_join": _SQL_JACCARD}
