@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField
+from pyspark.sql.types import ArrayType
 
 from shotlake.functions.tiles import tile_of
 from shotlake.schema import ANCILLARY, PRODUCTS, product_fields, unrolled
@@ -36,25 +36,6 @@ def absolute_time(delta: Column) -> Column:
     return F.timestamp_micros((F.lit(EPOCH_US) + F.round(delta * 1_000_000)).cast("long"))
 
 
-def unroll(df: DataFrame, fields: list[StructField]) -> DataFrame:
-    """df with each profile column as one column a bin."""
-    profiles = {f.name: f.metadata["bins"] for f in fields if isinstance(f.dataType, ArrayType)}
-    columns = []
-    for c in df.columns:
-        columns += [F.get(F.col(c), F.lit(i)).alias(f"{c}_{i}") for i in range(profiles[c])] if c in profiles else [F.col(c)]
-    return df.select(*columns)
-
-
-def spread_ancillary(df: DataFrame, names: list[str]) -> DataFrame:
-    """Each granule's ancillary values on all its rows: those of its last beam by name. Beams without rows in the
-    tile count too, so this comes before any clipping."""
-    if not names:
-        return df
-    last = df.groupBy("granule_key").agg(*[F.max_by(n, "beam_name").alias(f"_{n}") for n in names])
-    out = df.join(last, "granule_key")
-    return out.withColumns({n: F.col(f"_{n}") for n in names}).drop(*[f"_{n}" for n in names])
-
-
 def whole(df: DataFrame, names: list[str]) -> Column:
     """Whether no column, and no bin of a profile, is null or NaN."""
     tests = []
@@ -67,39 +48,119 @@ def whole(df: DataFrame, names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, tests)
 
 
-def product_in_tiles(df: DataFrame, product: str, plan: DataFrame) -> DataFrame:
-    """A product's whole rows in the tiles that the plan gives their granule, if it gives a URL of the product:
-    key (granule_key, tile_id, shot_number), place, beam, unrolled variables."""
-    fields = [f for f in product_fields(product) if f.name in df.columns]
-    df = spread_ancillary(df, [n for n in ANCILLARY if n in df.columns])
-    df = df.withColumn("tile_id", tile_of(F.col("lon_lowestmode"), F.col("lat_lowestmode"))).where(whole(df, df.columns))
-    wanted = plan.where(F.col(f"{product}_url").isNotNull()).select("tile_id", "granule_key").distinct()
-    return unroll(df.join(wanted, ["tile_id", "granule_key"], "left_semi"), fields)
+#: Tasks that one granule in one tile can be dealt to.
+SPLITS = 8
+#: Rows of a plan, of some 100 bytes each, that are sent to every task.
+MOST_SENT = 1_000_000
+KEY = ["tile_id", "granule_key", "shot_number"]
+PLACE = ["beam_name", "lat_lowestmode", "lon_lowestmode"]
+
+
+def with_tile(df: DataFrame) -> DataFrame:
+    """df with the tile of its coordinates, unless it has one."""
+    return df if "tile_id" in df.columns else df.withColumn("tile_id", tile_of(F.col("lon_lowestmode"), F.col("lat_lowestmode")))
+
+
+def whole_rows(df: DataFrame, product: str) -> Column:
+    """Whether a row of a product has all that it needs, ancillary values aside, as these are the granule's."""
+    names = [f.name for f in product_fields(product) if f.name in df.columns and f.name not in ANCILLARY]
+    return whole(df, [*KEY, *PLACE, *names])
+
+
+def _tagged(df: DataFrame, product: str) -> DataFrame:
+    """A product's whole rows: key, and place and variables as a struct named after it."""
+    df = with_tile(df)
+    names = [f.name for f in product_fields(product) if f.name in df.columns and f.name not in ANCILLARY]
+    return df.where(whole_rows(df, product)).select(*KEY, F.struct(*PLACE, *names).alias(product))
+
+
+def _due(ancillary: dict[str, DataFrame], plan: DataFrame) -> DataFrame:
+    """Per tile and granule: <product>.due, and the granule's ancillary values as <product>.<name>."""
+    due = plan.select("tile_id", "granule_key", *[F.col(f"{p}_url").isNotNull().alias(f"{p}.due") for p in ancillary]).dropDuplicates(["tile_id", "granule_key"])
+    for p, df in ancillary.items():
+        names = [f.name for f in product_fields(p) if f.name in ANCILLARY and f.name in df.columns]
+        if names:
+            last = df.join(plan.select("granule_key").distinct(), "granule_key", "left_semi").groupBy("granule_key").agg(*[F.max_by(n, "beam_name").alias(f"{p}.{n}") for n in names])
+            due = due.join(last, "granule_key", "left")
+    return due
+
+
+def _usable(product: str, due: DataFrame) -> Column:
+    """Whether the plan's row lets the product's rows count: it is due, and its granule has its ancillary values."""
+    own = [f"`{c}`" for c in due.columns if c.startswith(f"{product}.") and not c.endswith(".due")]
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(c) for c in own], F.col(f"`{product}.due`"))
 
 
 def assemble(products: dict[str, DataFrame], plan: DataFrame) -> DataFrame:
     """One row per shot that all of its granule's available products have in the same tile.
 
     products: name to table of product_fields (some or all). plan: tile_id, granule_key, a <product>_url each. A
-    product without a URL for the granule and tile isn't read; its columns are typed NULLs. A granule without any
-    gives no rows. Place and beam are the first available product's. Each product is shuffled once, by the same key.
+    product without a URL for the granule and tile isn't used; its columns are typed NULLs. A granule without any
+    gives no rows. Place and beam are the first available product's; a shot that a product holds twice counts once, with
+    the greater of its rows. An ancillary value is that of the granule's last beam by name, whether or not that has rows
+    in the tile; without one the granule's rows of the product aren't whole.
+
+    The products' rows, profiles still as arrays, are put together as one table with a struct for each product, which is
+    dealt once, by tile, granule and a part of its shots, joined with the plan, and grouped by shot.
+    """
+    parts = {p: _tagged(df, p) for p, df in products.items()}
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts.values())
+    meet = ["tile_id", "granule_key", "part"]
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("shot_number"), F.lit(SPLITS)).cast("int")).repartition(*meet)
+    due = _due(products, plan)
+    told = [c for c in due.columns if "." in c]
+    rows = rows.join(due.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SPLITS - 1)))), meet)
+    rows = rows.where(reduce(lambda a, b: a & b, [F.col(p).isNull() | _usable(p, due) for p in products]))
+    shots = rows.groupBy(*meet, "shot_number").agg(*[F.max(p).alias(p) for p in products], *[F.max(f"`{c}`").alias(c) for c in told])
+    return _finished(shots, parts)
+
+
+def assemble_stored(products: dict[str, DataFrame], plan: DataFrame, ancillary: dict[str, DataFrame] | None = None) -> DataFrame:
+    """What assemble gives, of tables that sources.products has stored: bucketed by the same key, each shot once.
+
+    A shot needs every product that is due, so it is in the first of these. From that, the others are left joins, which
+    leave the rows where their buckets are; a plan of which some granules lack the first product is one such chain for
+    each product that comes first somewhere. ancillary: the tables as a whole, where products are narrowed to tiles. A
+    plan of at most MOST_SENT rows is sent to every task; a larger one makes the first product's rows move to it.
     """
-    key = ["granule_key", "tile_id", "shot_number"]
-    place = ["beam_name", "lat_lowestmode", "lon_lowestmode"]
-    joined = None
-    for p, df in products.items():
-        part = product_in_tiles(df, p, plan)
-        part = part.withColumnsRenamed({c: f"{p}.{c}" for c in place}).withColumn(f"{p}.there", F.lit(True))
-        joined = part if joined is None else joined.join(part, key, "full_outer")
-    urls = plan.select("tile_id", "granule_key", *[F.col(f"{p}_url").isNotNull().alias(f"{p}.due") for p in products]).dropDuplicates(["tile_id", "granule_key"])
-    joined = joined.join(urls, ["tile_id", "granule_key"])
-    complete = reduce(lambda a, b: a & b, [F.coalesce(F.col(f"`{p}.there`"), F.lit(False)) == F.col(f"`{p}.due`") for p in products])
-    joined = joined.where(complete)
-    first = {c: F.coalesce(*[F.col(f"`{p}.{c}`") for p in products]) for c in place}
-    missing = {f.name: F.lit(None).cast(f.dataType) for p in PRODUCTS for f in unrolled(product_fields(p)) if f.name not in joined.columns}
-    out = joined.withColumns({**first, **missing}).drop(*[c for c in joined.columns if "." in c])
-    out = out.withColumn("granule", F.col("granule_key")).withColumn("absolute_time", absolute_time(F.col("delta_time")))
-    return out.withColumn("year", F.year("absolute_time")).drop("granule_key")
+    parts = {p: _tagged(df, p) for p, df in products.items()}
+    due = _due(ancillary or products, plan)
+    first = F.coalesce(*[F.when(F.col(f"`{p}.due`"), F.lit(p)) for p in products])
+    asked = due.agg(F.count("*"), F.collect_set(first)).first()  # of the four products
+    leading = set(asked[1])
+    if asked[0] <= MOST_SENT:
+        due = F.broadcast(due)
+    names, chains = list(products), []
+    for i, p in enumerate(names):
+        if p in leading or i + 1 == len(names) and not chains:
+            rows = parts[p].join(due.where(first == p), ["tile_id", "granule_key"]).where(_usable(p, due))
+            for q in names[i + 1 :]:
+                rows = rows.join(parts[q], KEY, "left").withColumn(q, F.when(_usable(q, due), F.col(q)))
+            chains.append(rows.withColumns({q: F.lit(None).cast(parts[q].schema[q].dataType) for q in names[:i]}))
+    return _finished(reduce(lambda a, b: a.unionByName(b), chains), parts)
+
+
+def _finished(shots: DataFrame, parts: dict[str, DataFrame]) -> DataFrame:
+    """Shots that have all products that are due, with these unrolled, absent ones filled, time and year derived."""
+    shots = shots.where(reduce(lambda a, b: a & b, [F.col(p).isNotNull() == F.col(f"`{p}.due`") for p in parts]))
+    columns = [F.col("shot_number"), F.col("tile_id"), *[F.coalesce(*[F.col(p)[c] for p in parts]).alias(c) for c in PLACE]]
+    known = set()
+    for p, part in parts.items():
+        held = part.schema[p].dataType.names
+        for f in product_fields(p):
+            if f.name in held:
+                source = F.col(p)[f.name]
+            elif f"{p}.{f.name}" in shots.columns:
+                source = F.when(F.col(p).isNotNull(), F.col(f"`{p}.{f.name}`"))
+            else:
+                continue
+            for i, out in enumerate(unrolled([f])):
+                columns.append((F.get(source, F.lit(i)) if isinstance(f.dataType, ArrayType) else source).alias(out.name))
+                known.add(out.name)
+    missing = [F.lit(None).cast(f.dataType).alias(f.name) for p in PRODUCTS for f in unrolled(product_fields(p)) if f.name not in known]
+    out = shots.select(*columns, *missing, F.col("granule_key").alias("granule"))
+    out = out.withColumn("absolute_time", absolute_time(F.col("delta_time")))
+    return out.withColumn("year", F.year("absolute_time"))
 
 
 def filtered_tiles(plan: DataFrame, products: list[str]) -> DataFrame:
@@ -110,5 +171,6 @@ def filtered_tiles(plan: DataFrame, products: list[str]) -> DataFrame:
 
 def quality_filter(shots: DataFrame, plan: DataFrame, products: list[str]) -> DataFrame:
     """Shots that pass the quality filter, and all shots of tiles that aren't filtered."""
-    tiles = filtered_tiles(plan, products)
+    # of 64,800 tiles on the globe
+    tiles = F.broadcast(filtered_tiles(plan, products))
     return shots.join(tiles, "tile_id").where(~F.col("filtered") | quality(shots)).drop("filtered")

@@ -19,6 +19,7 @@ from shotlake.operators.crossovers import crossovers
 from shotlake.plans.tile_plan import open_tiles, plan_tiles
 from shotlake.sources import lake
 from shotlake.sources.listings import parse_entries, read_pages
+from shotlake.sources.products import read_product, write_product
 from shotlake.sources.scratch import exists, new_path
 from shotlake.streaming.intake import build_tiles, merge_plans
 
@@ -279,7 +280,10 @@ def build_plan(spark, sf_dir) -> DataFrame:
 
 def product_assembly(spark, sf_dir):
     """Shots that all due products have, nulls for absent ones, time and year derived."""
-    out = build.assemble(products(spark, sf_dir), build_plan(spark, sf_dir))
+    return _assembled(build.assemble(products(spark, sf_dir), build_plan(spark, sf_dir)))
+
+
+def _assembled(out: DataFrame) -> DataFrame:
     return out.select("shot_number", "tile_id", "granule", "beam_name", "year", F.round("agbd", 6).alias("agbd"), F.round(F.col("wsci").cast("double"), 3).alias("wsci"), F.round(F.col("dz").cast("double"), 1).alias("dz"), F.round(F.col("rh_50").cast("double"), 3).alias("rh_50"), F.round(F.col("pai_z_29").cast("double"), 3).alias("pai_z_29"), F.unix_seconds("absolute_time").alias("epoch_s"))
 
 
@@ -529,17 +533,35 @@ def plan_stream(spark, sf_dir):
 
 
 def build_stream(spark, sf_dir):
-    """The lake as it is built while files of one product arrive, a few years at a time."""
+    """The lake as it is built while files of all products arrive: every granule in two halves that share its tiles and
+    years, one product in a third batch of its own."""
     incoming, root, seen = (new_path(spark, n) for n in ("incoming", "lake", "seen"))
     tables, plan = products(spark, sf_dir), build_plan(spark, sf_dir)
-    years = shots(spark, sf_dir).select("shot_number", F.year("absolute_time").alias("_year"))
-    for some in ("_year < 1998", "_year >= 1998"):
-        rows = tables["level4A"].join(years.where(some), "shot_number", "left_semi")
-        rows.write.mode("append").parquet(incoming)
-        build_tiles(spark, incoming, rows.schema, seen, "level4A", tables, plan, root).awaitTermination()
+    schemas = {p: df.schema for p, df in tables.items()}
+    half = lambda p, n: tables[p].where(f"shot_number % 2 = {n}")
+    for arriving in ({p: half(p, 0) for p in tables if p != "level4A"}, {p: half(p, 1) for p in tables}, {"level4A": half("level4A", 0)}):
+        for p, rows in arriving.items():
+            rows.write.mode("append").parquet(f"{incoming}/{p}")
+        build_tiles(spark, incoming, schemas, seen, plan, root).awaitTermination()
     return _by_part(spark.read.parquet(root)).withColumn("year", F.col("year").cast("int"))
 
 
+def stored_assembly(spark, sf_dir):
+    """Assembled shots of two tiles, from product tables that are stored in buckets."""
+    tiles = ["S03_W063", "S04_W064"]
+    names = {p: f"{p}_{new_path(spark, 't').rpartition('-')[2]}" for p in products(spark, sf_dir)}
+    try:
+        for p, df in products(spark, sf_dir).items():
+            write_product(df, p, names[p], new_path(spark, p), buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+        whole = {p: spark.table(t) for p, t in names.items()}
+        narrowed = {p: read_product(spark, t, tiles) for p, t in names.items()}
+    finally:
+        for t in names.values():
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
+    plan = build_plan(spark, sf_dir).where(F.col("tile_id").isin(tiles))
+    return _assembled(build.assemble_stored(narrowed, plan, whole))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -564,6 +586,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         region_cover,
         plan_stream,
         build_stream,
+        stored_assembly,
         tile_of_shots,
         quality_shots,
         month_profile,
@@ -598,6 +621,8 @@ _SQL_PART = "tile_id, year, count(*) AS n, min(shot_number) AS first_shot, round
 _SQL_EXTENT = "least(min(ax), min(bx)) AS minx, least(min(ay), min(by_)) AS miny, greatest(max(ax), max(bx)) AS maxx, greatest(max(ay), max(by_)) AS maxy"
 _SQL_MERGED = "SELECT tile_id, granule_key, granule_hash, strftime(cmr_access_time, '%Y-%m-%d') AS accessed FROM (SELECT *, row_number() OVER (PARTITION BY granule_key, tile_id ORDER BY cmr_access_time DESC, granule_hash DESC) AS rn FROM u) WHERE rn = 1"
 
+_SQL_ASSEMBLY = f"WITH {_SQL_SHOTS}, {_SQL_BUILT}, last AS (SELECT granule_key AS g, max_by(CAST(k % 8 AS DOUBLE), beam_name) AS dz FROM shots WHERE k % 13 <> 1 GROUP BY 1) SELECT shot_number, tile_id, granule_key AS granule, beam_name, year, round(agbd, 6) AS agbd, CASE WHEN granule_key <> 'O13171_03' THEN round(CAST(CAST(k % 50 / CAST(5 AS DOUBLE) AS REAL) AS DOUBLE), 3) END AS wsci, dz, round(CAST(CAST(rh_98 * 51 / 101 AS REAL) AS DOUBLE), 3) AS rh_50, round(CAST(CAST(rh_98 * 30 / 30 AS REAL) AS DOUBLE), 3) AS pai_z_29, CAST(1514764800 + day * 86400 AS BIGINT) AS epoch_s FROM built JOIN last ON granule_key = g"
+
 ORACLE_SQL: dict[str, str] = {
     "lake_write": f"WITH {_SQL_LAKE} SELECT {_SQL_PART} FROM stored GROUP BY tile_id, year",
     "lake_scan": f"WITH {_SQL_LAKE} SELECT shot_number, tile_id, year, rh_98 FROM stored WHERE tile_id IN ('S03_W063', 'S04_W064') AND year IN (1996, 1998, 2000)",
@@ -638,7 +663,8 @@ ORACLE_SQL: dict[str, str] = {
     "metadata_duplicates": f"WITH {_SQL_SHOTS}, {_sql_metadata(1)}, {_sql_metadata(2)}, u AS (SELECT * FROM md1 UNION ALL SELECT * FROM md2) SELECT tile_id, granule_key, count(*) AS n FROM u GROUP BY 1, 2 HAVING count(*) > 1",
     "metadata_missing": f"WITH {_SQL_SHOTS}, {_sql_metadata(1)}, {_sql_metadata(2)} SELECT c.tile_id, c.granule_key FROM md2 c LEFT JOIN md1 e USING (tile_id, granule_key) WHERE e.granule_hash IS NULL",
     "metadata_drift": f"WITH {_SQL_SHOTS}, {_sql_metadata(1)}, {_sql_metadata(2)} SELECT tile_id, granule_key, e.granule_hash AS hash_existing, c.granule_hash AS hash_current FROM md2 c JOIN md1 e USING (tile_id, granule_key) WHERE e.granule_hash <> c.granule_hash",
-    "product_assembly": f"WITH {_SQL_SHOTS}, {_SQL_BUILT}, last AS (SELECT granule_key AS g, max_by(CAST(k % 8 AS DOUBLE), beam_name) AS dz FROM shots WHERE k % 13 <> 1 GROUP BY 1) SELECT shot_number, tile_id, granule_key AS granule, beam_name, year, round(agbd, 6) AS agbd, CASE WHEN granule_key <> 'O13171_03' THEN round(CAST(CAST(k % 50 / CAST(5 AS DOUBLE) AS REAL) AS DOUBLE), 3) END AS wsci, dz, round(CAST(CAST(rh_98 * 51 / 101 AS REAL) AS DOUBLE), 3) AS rh_50, round(CAST(CAST(rh_98 * 30 / 30 AS REAL) AS DOUBLE), 3) AS pai_z_29, CAST(1514764800 + day * 86400 AS BIGINT) AS epoch_s FROM built JOIN last ON granule_key = g",
+    "product_assembly": _SQL_ASSEMBLY,
+    "stored_assembly": f"SELECT * FROM ({_SQL_ASSEMBLY}) WHERE tile_id IN ('S03_W063', 'S04_W064')",
     "built_tiles": f"WITH {_SQL_SHOTS}, {_SQL_BUILT}, off AS (SELECT DISTINCT {_SQL_TILE} AS tile_id FROM shots WHERE granule_key = 'O13171_03') SELECT tile_id, year, count(*) AS n, min(shot_number) AS first_shot, round(sum(agbd), 3) AS sum_agbd FROM built WHERE ({_SQL_GOOD}) OR tile_id IN (SELECT tile_id FROM off) GROUP BY 1, 2",
     "find_crossovers": _sql_crossovers(),
 }

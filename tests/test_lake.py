@@ -296,11 +296,6 @@ def test_quality_switch_is_tile_wide(spark):
     assert sorted(r.shot_number for r in got.collect()) == [1, 3]
 
 
-def test_ancillary_is_the_last_beams(spark):
-    df = spark.createDataFrame([("g", "BEAM1", 1.0), ("g", "BEAM2", 2.0), ("h", "BEAM1", 5.0)], "granule_key string, beam_name string, dz double")
-    assert sorted((r.granule_key, r.dz) for r in build.spread_ancillary(df, ["dz"]).collect()) == [("g", 2.0), ("g", 2.0), ("h", 5.0)]
-
-
 PLAN = "tile_id string, granule_key string, granule_hash string, cmr_access_time timestamp"
 
 
