@@ -70,7 +70,8 @@ class Words:
 
     @staticmethod
     def split(data: bytes) -> list[bytes]:
-        if b"<|" in data or b"\xcc" in data:
+        # the two bytes that begin U+0300 to U+036F
+        if b"<|" in data or b"\xcc" in data or b"\xcd" in data:
             return data.split()
         return data.lower().split()
 
