@@ -140,26 +140,32 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _indexed(index: Index, probes: int, reach: float):
+def _indexed(indexes: dict[int, Index], probes: int, reach: float):
+    """Rows sorted by length: a list's number holds its length in the upper half."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x = np.frombuffer(b"".join(b.column(2).to_pylist())).reshape(b.num_rows, -1)
-            lists = searched(x, index.coarse, probes, reach)
-            home = np.array([p[0] for p in lists])
-            codes, miss = index.encode(x, home)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(home, pa.int32()), pa.array(lists, pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(miss, pa.float64())],
-                ["class", "copies", "unit", "list", "probes", "codes", "miss"],
-            )
+        for whole in batches:
+            dims = whole.column(3).to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(dims)) + 1).tolist(), whole.num_rows]
+            for s, e in zip(cuts, cuts[1:]):
+                if s == e:
+                    continue
+                b, index, base = whole.slice(s, e - s), indexes[int(dims[s])], int(dims[s]) << 32
+                x = np.frombuffer(b"".join(b.column(2).to_pylist())).reshape(b.num_rows, -1)
+                lists = searched(x, index.coarse, probes, reach)
+                home = np.array([p[0] for p in lists])
+                codes, miss = index.encode(x, home)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), b.column(2), pa.array(home + base, pa.int64()), pa.array([[k + base for k in p] for p in lists], pa.list_(pa.int64())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(miss, pa.float64())],
+                    ["class", "copies", "unit", "list", "probes", "codes", "miss"],
+                )
 
     return run
 
 
-def _search(index: Index | None, cosine: float):
+def _search(indexes: dict[int, Index], cosine: float):
     """Rows sorted by (list, part, asking, query) to (a, b, n): a's n links found (b null), or a link that joins what
-    was apart among these rows (n 0). Without an index every member is a candidate."""
+    was apart among these rows (n 0)."""
     reach = np.sqrt(2 - 2 * cosine)
 
     class Part:
@@ -167,9 +173,10 @@ def _search(index: Index | None, cosine: float):
 
         def __init__(self, batches: list[pa.RecordBatch]):
             t = pa.Table.from_batches(batches)
-            self.at, self.ids, self.copies = t["list"][0].as_py(), t["class"].to_numpy(), t["copies"].to_numpy()
+            self.list, self.ids, self.copies = t["list"][0].as_py(), t["class"].to_numpy(), t["copies"].to_numpy()
+            self.index, self.at = indexes[self.list >> 32], self.list & 0xFFFFFFFF
             self.x = np.frombuffer(b"".join(t["unit"].to_pylist())).reshape(len(self.ids), -1)
-            self.codes = None if index is None else np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
+            self.codes = np.frombuffer(b"".join(t["codes"].to_pylist()), np.uint8).reshape(len(self.ids), -1)
             self.limit = (reach + t["miss"].to_numpy() + 1e-9) ** 2
             self.probes = [set(p) for p in t["probes"].to_pylist()]
             self.place = {c: i for i, c in enumerate(self.ids.tolist())}
@@ -183,7 +190,7 @@ def _search(index: Index | None, cosine: float):
             return self.back[home]
 
         def linked(self, x: np.ndarray) -> np.ndarray:
-            near = np.ones((len(x), len(self.ids)), bool) if index is None else index.distances(x, self.at, self.codes) <= self.limit
+            near = self.index.distances(x, self.at, self.codes) <= self.limit
             rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
             if len(rows):
                 exact = x[rows] @ self.x[columns].T
@@ -243,10 +250,10 @@ def _search(index: Index | None, cosine: float):
     return run
 
 
-_INDEXED = "class long, copies long, unit binary, list int, probes array<int>, codes binary, miss double"
+_INDEXED = "class long, copies long, unit binary, list long, probes array<long>, codes binary, miss double"
 
 
-def _met(indexed: DataFrame, index: Index | None, cosine: float, part: int, asking: int) -> DataFrame:
+def _met(indexed: DataFrame, indexes: dict[int, Index], cosine: float, part: int, asking: int) -> DataFrame:
     """(a, b, n) as _search gives them, of all rows of indexed. A list's members are cut into parts and the queries to
     it likewise; each pair of parts meets in a task, so that none holds more than `part` members, and a hot list is
     many tasks."""
@@ -258,22 +265,21 @@ def _met(indexed: DataFrame, index: Index | None, cosine: float, part: int, aski
     own = lambda n: F.pmod(F.xxhash64("class"), n).cast("int")
     members = indexed.join(plan, "list").select("list", own("parts").alias("part"), each("askings").alias("asking"), F.lit(False).alias("query"), "class", "copies", "unit", F.col("list").alias("home"), "probes", "codes", "miss")
     queries = indexed.withColumnRenamed("list", "home").withColumn("list", F.explode("probes")).join(plan, "list")
-    queries = queries.select("list", each("parts").alias("part"), own("askings").alias("asking"), F.lit(True).alias("query"), "class", "copies", "unit", "home", F.lit(None).cast("array<int>").alias("probes"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("miss"))
+    queries = queries.select("list", each("parts").alias("part"), own("askings").alias("asking"), F.lit(True).alias("query"), "class", "copies", "unit", "home", F.lit(None).cast("array<long>").alias("probes"), F.lit(None).cast("binary").alias("codes"), F.lit(None).cast("double").alias("miss"))
     met = members.unionByName(queries).repartition(partitions_for(indexed, SEARCH_BYTES), "list", "part", "asking").sortWithinPartitions("list", "part", "asking", "query")
-    return materialise(met.mapInArrow(_search(index, cosine), "a long, b long, n long"), "links")
+    return materialise(met.mapInArrow(_search(indexes, cosine), "a long, b long, n long"), "links")
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = COSINE, probes: int = PROBES, train: int = TRAIN, part: int = PART, asking: int = ASKING) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
     Vectors whose cosine in double precision is `cosine` or more are linked; those of different lengths never are.
-    Equal unit vectors are one class. Each length has an index of its own, but for those of at most `part` classes
-    beside the commonest, which are compared exactly. Every class is in the inverted list of its nearest centroid, as codes of its
-    residual; it searches the `probes` nearest lists, and of the others those that `searched` can't rule out for
+    Equal unit vectors are one class. Each length has lists and codewords of its own, of which all tasks have all. Every
+    class is in the inverted list of its nearest centroid, as codes of its residual; it searches the `probes` nearest lists, and of the others those that `searched` can't rule out for
     members close to their centroid. Centroids within the link radius are one, so that a hot group is one list. A
     member is a candidate while its asymmetric distance, less what its codes miss, can still reach the cosine, so
     that within the lists searched none is lost; candidates are verified exactly. A pair is a link if either finds
-    the other. Only an index is fitted on a sample, of at most `train` classes. n_links counts every link, so the work
+    the other. Only an index is fitted on a sample, of about `train` classes chosen by a hash and one of each length. n_links counts every link, so the work
     in a group of near copies is the square of its size; it is cut into tasks of `part` members and `asking` queries.
 
     component_id is the least vec_id reachable, kept says that it is the row's own. Vectors that are null, zero
@@ -286,22 +292,18 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     classes = materialise(usable.groupBy("digest", "dim").agg(F.min("vec_id").alias("class"), F.count("*").alias("copies"), F.any_value("unit").alias("unit")), "classes")
     # a number for each length of vectors
     totals = {r["dim"]: r["count"] for r in classes.groupBy("dim").count().collect()}
-    reach = float(np.sqrt(2 - 2 * cosine))
-    usual = max(totals, key=lambda d: (totals[d], -d), default=None)
-    rare = [d for d, n in totals.items() if n <= part and d != usual]
-    exactly = classes.where(F.col("dim").isin(rare))
-    alone = exactly.select("class", "copies", "unit", F.col("dim").alias("list"), F.array("dim").alias("probes"), F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("miss"))
-    found = _met(materialise(alone, "rare"), None, cosine, part, asking)
-    for dim, total in sorted(totals.items()):
-        if dim in rare:
-            continue
-        mine = classes.where(F.col("dim") == dim)
-        mixed = F.xxhash64(F.lit(SEED), "class").bitwiseAND(F.lit((1 << 40) - 1))
-        chosen = mine.where(mixed < F.lit(int(min(1.0, train / total) * (1 << 40)))).orderBy(mixed, "digest").limit(train).select("unit").collect()
-        sample = np.stack([np.frombuffer(r["unit"]) for r in chosen or [mine.first()]])
-        index = Index(sample, max(1, min(MOST_LISTS, len(sample), int(2 * total**0.5))), reach=reach)
-        indexed = materialise(mine.select("class", "copies", "unit").mapInArrow(_indexed(index, probes, reach), _INDEXED), "indexed")
-        found = found.unionByName(_met(indexed, index, cosine, part, asking))
+    reach, every = float(np.sqrt(2 - 2 * cosine)), max(1, sum(totals.values()))
+    mixed = F.xxhash64(F.lit(SEED), "class").bitwiseAND(F.lit((1 << 40) - 1))
+    # each length's share of about `train` rows, and its first row in any case
+    some = classes.select("dim", mixed.alias("mixed"), "digest", "unit").where(F.col("mixed") < F.lit(int(min(1.0, train / every) * (1 << 40))))
+    first = classes.groupBy("dim").agg(F.min_by(F.struct(mixed.alias("mixed"), "digest", "unit"), F.struct(mixed, "digest")).alias("r")).select("dim", "r.*")
+    chosen = {r["digest"]: r for r in some.unionByName(first).collect()}.values()
+    samples: dict[int, list] = {}
+    for r in sorted(chosen, key=lambda r: (r["dim"], r["mixed"], r["digest"])):
+        samples.setdefault(r["dim"], []).append(np.frombuffer(r["unit"]))
+    indexes = {d: Index(np.stack(x), max(1, min(MOST_LISTS, len(x), int(2 * totals[d] ** 0.5))), reach=reach) for d, x in samples.items()}
+    indexed = materialise(classes.select("class", "copies", "unit", "dim").mapInArrow(_indexed(indexes, probes, reach), _INDEXED), "indexed")
+    found = _met(indexed, indexes, cosine, part, asking)
     counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("others"))
     groups = components(found.where("b is not null").select("a", "b"))
     named = classes.select("digest", "dim", "class", "copies").join(counts, F.col("class") == F.col("a"), "left").join(groups, F.col("class") == F.col("node"), "left")

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -47,6 +48,13 @@ def test_cached_words_equal_the_library(library):
         assert np.frombuffer(words.ids(text.encode()), "<u4").tolist() == want and words.count(text.encode()) == len(want)
 
 
+def test_letters_before_every_combining_mark(library):
+    words = tokens.Words()
+    texts = [f"{letter}{chr(mark)}x abc" for mark in range(0x300, 0x370) for letter in "ATtYzJWwHhXé"] + [f"A{chr(m)}{chr(n)}" for m in (0x308, 0x344, 0x327) for n in range(0x300, 0x370)]
+    for text in texts:
+        assert np.frombuffer(words.ids(text.encode()), "<u4").tolist() == library(text).ids, text.encode()
+
+
 @pytest.mark.parametrize(("chunk", "overlap"), [(1, 1), (50, 4), (64, 16), (300, 40)])
 def test_chunks_resynchronise(library, chunk, overlap):
     rng, words = random.Random(chunk), tokens.Words()
@@ -449,10 +457,19 @@ def test_near_duplicates_against_brute_force(spark):
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
 
 
-def test_vector_query_against_brute_force(spark):
+@pytest.mark.parametrize("planted", [False, True])
+def test_vector_query_against_brute_force(spark, tmp_path, planted):
     from shotlake.llm.queries import op6_embedding_dedup
 
     sf = SF.replace("0.001", "0.01")
+    if planted:  # the given vectors hold no pair that is near enough: near copies of every third one
+        given, rng = spark.read.parquet(f"{sf}/embeddings.parquet").toPandas(), np.random.default_rng(5)
+        more = given[::3].copy()
+        more["vec_id"] += 1_000_000
+        more["embedding"] = [np.float32(v + rng.normal(size=len(v)) * rng.choice([0.01, 0.03, 0.05])) for v in more["embedding"]]
+        rows = [(i, np.asarray(v).tolist(), label) for frame in (given, more) for i, v, label in frame[["vec_id", "embedding", "label"]].itertuples(index=False, name=None)]
+        spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+        sf = str(tmp_path)
     vectors = {r.vec_id: r.embedding for r in spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "embedding").collect()}
     usable = [i for i, v in sorted(vectors.items()) if v is not None and None not in v and np.isfinite(v).all() and np.any(v)]
     got = {r.vec_id: r for r in op6_embedding_dedup(spark, sf).collect()}
@@ -462,7 +479,7 @@ def test_vector_query_against_brute_force(spark):
     near = x @ x.T >= 0.95
     np.fill_diagonal(near, False)
     links = np.array([got[i].n_links for i in usable])
-    assert (links <= near.sum(1)).all() and links.sum() >= 0.99 * near.sum() > 0
+    assert (links <= near.sum(1)).all() and links.sum() >= 0.99 * near.sum() and (near.sum() > 100) == planted
     assert all(r.kept == (r.component_id == i) and r.component_id <= i for i, r in got.items())
 
 
@@ -749,14 +766,32 @@ def test_fisher_yates_is_uniform_and_a_permutation(spark):
 
 def test_rows_without_ids_spread_over_buckets(spark):
     docs = documents(spark, *[(None if i % 3 else 5, f"text {i}") for i in range(600)])
-    parts = sharding.buckets_for(docs, 4, bucket_rows=10)
-    assert parts == 15
-    sizes = sharding.bucketed(docs, "doc_id", 4, 1, parts).groupBy("shard", "part").count().collect()
-    assert max(r["count"] for r in sizes) < 60 and sum(r["count"] for r in sizes) == 600
+    parts = sharding.planned(docs, "doc_id", 4, 1, bucket_rows=10)
+    assert parts == [20, 40, 1, 1]  # of the two shards that hold rows
+    sizes = sharding.spread(docs, "doc_id", 4, 1, parts).groupBy("shard", "part").count().collect()
+    assert max(r["count"] for r in sizes) < 30 and sum(r["count"] for r in sizes) == 600
     out = sharding.shuffle_shards(docs, shards=4, bucket_rows=10).collect()
     assert len({r.record.text for r in out}) == 600 and len({(r.shard, r.slot) for r in out}) == 600
 
 
+def test_rows_equal_in_every_column_spread_over_buckets(spark):
+    rows = spark.range(30_000).selectExpr("7L AS doc_id", "'the same text' AS text", "map('a', 1) AS m")
+    rows = rows.unionByName(spark.range(500).selectExpr("id + 100 AS doc_id", "'other' AS text", "map('a', CAST(id AS INT)) AS m"))
+    seen = []
+    for n in (3, 5):
+        began = time.time()
+        got = sharding.shuffle_shards(rows.repartition(n), shards=4, bucket_rows=256).select("shard", "slot", "record.doc_id", F.col("record.m")["a"].alias("a"))
+        seen.append(sorted(map(tuple, got.collect())))
+        assert time.time() - began < 60
+    assert seen[0] == seen[1] and len(seen[0]) == 30_500
+    for shard in {r[0] for r in seen[0]}:
+        assert [r[1] for r in seen[0] if r[0] == shard] == list(range(sum(r[0] == shard for r in seen[0])))
+    # every bucket of the shard is near its size
+    shards = sharding.planned(rows, "doc_id", 4, bucket_rows=256)
+    dealt = sharding.spread(rows, "doc_id", 4, sharding.SEED, shards, 256)
+    assert dealt.groupBy("shard", "part").count().agg(F.max("count")).first()[0] < 400
+
+
 def test_sharding_query_against_python(spark):
     from shotlake.llm.queries import op10_sharding
 
