@@ -15,7 +15,7 @@ from shotlake.functions.geometry import RINGS, box_rings, extent
 from shotlake.functions.granules import granule_key, hash_list, parse_name, start_time
 from shotlake.functions.tiles import tile_bounds, tile_of
 from shotlake.operators import build, catalog, maintain, spatial
-from shotlake.operators.crossovers import crossovers
+from shotlake.operators.crossovers import crossovers, pairs_within
 from shotlake.plans.tile_plan import open_tiles, plan_tiles
 from shotlake.sources import lake
 from shotlake.sources.listings import parse_entries, read_pages
@@ -306,14 +306,39 @@ def find_crossovers(spark, sf_dir):
 
 
 def _sql_crossovers() -> str:
+    return f"WITH {_SQL_SHOTS}, {_sql_nearby(f'SELECT * FROM shots WHERE {_SQL_AOI} AND quality_flag = 1', 'agbd')}"
+
+
+# --- shots of all orders moved to the ends of the globe: around both poles, and to either side of the 180th meridian
+
+_FAR = {
+    "lat_lowestmode": "CASE k % 3 WHEN 0 THEN 90 - (k * 7919 % 9973) * reach / 9973 WHEN 1 THEN -90 + (k * 104729 % 9967) * reach / 9967 ELSE (k * 31 % 9949) * reach / 9949 - reach / 2 END",
+    "lon_lowestmode": "CASE WHEN k % 3 < 2 THEN CAST(k * 131 % 7200 AS DOUBLE) / 20 - 180 WHEN k % 2 = 0 THEN 180 - (k * 17 % 9941) * reach / 9941 / 2 ELSE -180 + (k * 17 % 9941) * reach / 9941 / 2 END",
+}
+#: Degrees around them, so that about as many pairs are near each other whatever the number of orders.
+_REACH = "CAST(0.0002 AS DOUBLE) * sqrt(n)"
+
+
+def far_crossovers(spark, sf_dir):
+    """Pairs of shots at most 40 m apart around both poles and across the 180th meridian."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("k"))
+    reach = orders.agg(F.count("*").alias("n")).select(F.expr(_REACH).alias("reach"))
+    points = orders.crossJoin(F.broadcast(reach)).select(F.col("k").alias("shot_number"), *[F.expr(e).alias(c) for c, e in _FAR.items()])
+    return pairs_within(points).select("t1_shot_number", "t2_shot_number", F.round("distance_m", 2).alias("distance_m"))
+
+
+def _sql_nearby(points: str, names: str = "") -> str:
     """By the straight line between points of the ellipsoid in space, bent by the earth's mean radius: at 40 m the
-    difference to the way along the ellipsoid is far below a micrometre."""
+    difference to the way along the ellipsoid is far below a micrometre. Near points are in the same or neighbouring cubes of 50 m."""
     square = "CAST(0.0066943799901413165 AS DOUBLE)"
-    return f"""WITH {_SQL_SHOTS}, pts AS (SELECT *, radians(lat_lowestmode) AS f, radians(lon_lowestmode) AS l, CAST(6378137 AS DOUBLE) / sqrt(1 - {square} * sin(radians(lat_lowestmode)) ** 2) AS n FROM shots WHERE {_SQL_AOI} AND quality_flag = 1),
-xyz AS (SELECT *, n * cos(f) * cos(l) AS x, n * cos(f) * sin(l) AS y, n * (1 - {square}) * sin(f) AS z, CAST(floor(lat_lowestmode * 2000) AS INT) AS r, CAST(floor(lon_lowestmode * 2000) AS INT) AS c FROM pts),
-moved AS (SELECT *, r + i AS nr, c + j AS nc FROM xyz, range(-1, 2) t(i), range(-1, 2) u(j)),
-near AS (SELECT a.shot_number AS t1_shot_number, b.shot_number AS t2_shot_number, a.agbd AS t1_agbd, b.agbd AS t2_agbd, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS d FROM moved a JOIN xyz b ON a.nr = b.r AND a.nc = b.c AND a.shot_number < b.shot_number)
-SELECT t1_shot_number, t2_shot_number, round(d * (1 + d * d / (24 * 6371000.0 ** 2)), 2) AS distance_m, t1_agbd, t2_agbd FROM near WHERE d <= 40"""
+    more = "".join(f", a.{n} AS t1_{n}, b.{n} AS t2_{n}" for n in names.split())
+    told = "".join(f", t1_{n}, t2_{n}" for n in names.split())
+    return f"""pts AS (SELECT *, radians(lat_lowestmode) AS f, radians(lon_lowestmode) AS l, CAST(6378137 AS DOUBLE) / sqrt(1 - {square} * sin(radians(lat_lowestmode)) ** 2) AS n FROM ({points})),
+xyz AS (SELECT *, n * cos(f) * cos(l) AS x, n * cos(f) * sin(l) AS y, n * (1 - {square}) * sin(f) AS z FROM pts),
+cubes AS (SELECT *, CAST(floor(x / 50) AS INT) AS cx, CAST(floor(y / 50) AS INT) AS cy, CAST(floor(z / 50) AS INT) AS cz FROM xyz),
+moved AS (SELECT *, cx + i AS nx, cy + j AS ny, cz + h AS nz FROM cubes, range(-1, 2) t(i), range(-1, 2) u(j), range(-1, 2) v(h)),
+near AS (SELECT a.shot_number AS t1_shot_number, b.shot_number AS t2_shot_number{more}, sqrt((a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2) AS d FROM moved a JOIN cubes b ON a.nx = b.cx AND a.ny = b.cy AND a.nz = b.cz AND a.shot_number < b.shot_number)
+SELECT t1_shot_number, t2_shot_number, round(d * (1 + d * d / (24 * 6371000.0 ** 2)), 2) AS distance_m{told} FROM near WHERE d <= 40"""
 
 
 # --- the stored lake: written once for each session and folder of inputs, then read as a user of it would
@@ -608,6 +633,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         product_assembly,
         built_tiles,
         find_crossovers,
+        far_crossovers,
     )
 }
 
@@ -667,4 +693,5 @@ ORACLE_SQL: dict[str, str] = {
     "stored_assembly": f"SELECT * FROM ({_SQL_ASSEMBLY}) WHERE tile_id IN ('S03_W063', 'S04_W064')",
     "built_tiles": f"WITH {_SQL_SHOTS}, {_SQL_BUILT}, off AS (SELECT DISTINCT {_SQL_TILE} AS tile_id FROM shots WHERE granule_key = 'O13171_03') SELECT tile_id, year, count(*) AS n, min(shot_number) AS first_shot, round(sum(agbd), 3) AS sum_agbd FROM built WHERE ({_SQL_GOOD}) OR tile_id IN (SELECT tile_id FROM off) GROUP BY 1, 2",
     "find_crossovers": _sql_crossovers(),
+    "far_crossovers": f"WITH far AS (SELECT k AS shot_number, {', '.join(f'{e} AS {c}' for c, e in _FAR.items())} FROM (SELECT o_orderkey AS k FROM orders), (SELECT {_REACH} AS reach FROM (SELECT count(*) AS n FROM orders))), {_sql_nearby('SELECT * FROM far')}",
 }

@@ -351,6 +351,26 @@ def test_crossovers_against_brute_force(spark, lat, lon, d):
     assert max(abs(got[k] - want[k]) for k in want) < 1e-4
 
 
+@pytest.mark.parametrize(("pole", "d"), [(90.0, 40.0), (-90.0, 40.0), (90.0, 2500.0)])
+def test_crossovers_around_the_poles(spark, pole, d):
+    rng = random.Random(int(d))
+    points = [(0, pole, 0.0), (1, pole, 123.0)] + [(i, pole - math.copysign(rng.uniform(0, 4 * d / 111_000), pole), rng.uniform(-180, 180)) for i in range(2, 120)]
+    df = spark.createDataFrame(points, "shot_number long, lat_lowestmode double, lon_lowestmode double")
+    got = {(r.t1_shot_number, r.t2_shot_number): r.distance_m for r in pairs_within(df, d).collect()}
+    want = {(a[0], b[0]): metres(a[1:], b[1:]) for a in points for b in points if a[0] < b[0]}
+    assert set(got) == {k for k, v in want.items() if v <= d} and len(got) > 100
+    assert max(abs(got[k] - want[k]) for k in got) < 1e-3
+
+
+def test_a_point_looks_into_few_cells(spark):
+    from shotlake.operators.crossovers import CELL, near_cells
+    from shotlake.functions.geometry import earth_centred
+
+    df = spark.range(5000).selectExpr("degrees(asin(2 * rand(1) - 1)) AS lat", "360 * rand(2) - 180 AS lon")
+    n = df.select(F.size(near_cells(earth_centred(F.col("lat"), F.col("lon")), CELL * 40, 40.0)).alias("n")).agg(F.max("n"), F.avg("n")).first()
+    assert n[0] <= 8 and n[1] < 3.2
+
+
 def test_crossovers_filter_columns_and_guard(spark):
     df = spark.createDataFrame([(2, 0.5, 0.5, 1), (1, 0.5, 0.5001, 1), (3, 0.5, 0.5, 0), (4, 1.0, 0.5, 1)], "shot_number long, lat_lowestmode double, lon_lowestmode double, ok int")
     got = crossovers(df, regions(spark, box(0, 0, 1, 1)), 40.0, "ok = 1", ["ok", "shot_number"])
