@@ -54,8 +54,8 @@ def contains(edges_: Column, x: Column, y: Column) -> Column:
 LEVEL = 0.6180339887498949
 
 
-def contains_in_cell(near: Column, known: Column, east: Column, level: Column, x: Column, y: Column) -> Column:
-    """contains for a point of a cell, from the edges that meet the closed cell and the parity of (east, level) on its
+def parity_in_cell(near: Column, known: Column, east: Column, level: Column, x: Column, y: Column) -> Column:
+    """parity for a point of a cell, from the edges that meet the closed cell and the parity of (east, level) on its
     east side: the ray is followed to that side and along it to the known point, and leaves the cell nowhere. Where an
     edge crosses the side is asked once, so that ray and side agree on it."""
 
@@ -69,8 +69,22 @@ def contains_in_cell(near: Column, known: Column, east: Column, level: Column, x
         aside = straddles & (below != (level < at))
         return F.coalesce(along, F.lit(False)) != F.coalesce(aside, F.lit(False))
 
-    odd = (F.size(F.filter(near, crosses)) % 2 == 1) != known
-    return F.coalesce(odd & ~F.exists(near, lambda e: _touches(e, x, y)), F.lit(False))
+    return (F.size(F.filter(near, crosses)) % 2 == 1) != known
+
+
+def contains_in_cell(near: Column, known: Column, east: Column, level: Column, x: Column, y: Column) -> Column:
+    """contains for a point of a cell, by parity_in_cell."""
+    return F.coalesce(parity_in_cell(near, known, east, level, x, y) & ~F.exists(near, lambda e: _touches(e, x, y)), F.lit(False))
+
+
+def sides_of_180(rings: Column) -> Column:
+    """array of rings: a polygon with an edge of more than 180 degrees of longitude is taken to cross the 180th meridian the
+    short way, and given twice, as it lies beyond the east end of the map and beyond the west one; others once. Polygons that
+    hold a pole aren't known as such."""
+    steps = F.transform(rings, lambda r: F.transform(r, lambda p: p["x"]))
+    wide = F.exists(steps, lambda xs: F.exists(F.sequence(F.lit(1), F.greatest(F.size(xs) - 1, F.lit(1))), lambda i: F.abs(F.get(xs, i) - F.get(xs, i - 1)) > 180))
+    moved = lambda by: F.transform(rings, lambda r: F.transform(r, lambda p: F.struct((F.when(p["x"] < 0, p["x"] + 360).otherwise(p["x"]) + by).alias("x"), p["y"].alias("y"))))
+    return F.when(F.coalesce(wide, F.lit(False)), F.array(moved(0.0), moved(-360.0))).otherwise(F.array(rings.cast(RINGS)))
 
 
 def edge_meets_box(e: Column, minx: Column, miny: Column, maxx: Column, maxy: Column) -> Column:

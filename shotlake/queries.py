@@ -98,7 +98,7 @@ def quality_shots(spark, sf_dir):
 
 def month_profile(spark, sf_dir):
     """Months with their means, shot counts and years, in order."""
-    df = spatial.within_regions(shots(spark, sf_dir), aoi(spark)).where("quality_flag = 1")
+    df = spatial.within_regions(shots(spark, sf_dir), aoi(spark), detailed=False).where("quality_flag = 1")
     years = F.array_join(F.array_sort(F.collect_set(F.year("absolute_time"))), ",")
     out = df.groupBy(F.month("absolute_time").alias("month_num")).agg(F.round(F.avg("agbd"), 6).alias("avg_agbd"), F.round(F.avg("rh_98"), 6).alias("avg_rh_98"), years.alias("years"), F.count("shot_number").alias("num_shots"))
     return out.orderBy("month_num")
@@ -301,7 +301,7 @@ _SQL_BUILT = f"""built AS (SELECT s.*, {_SQL_TILE} AS tile_id, {_SQL_YEAR} AS ye
 def find_crossovers(spark, sf_dir):
     """Pairs of good shots at most 40 m apart in the area of interest."""
     pruned = spatial.with_tile_pruning(_read(spark, sf_dir), aoi(spark))
-    out = crossovers(pruned, aoi(spark), 40.0, "quality_flag = 1", ["agbd"], guard=True)
+    out = crossovers(pruned, aoi(spark), 40.0, "quality_flag = 1", ["agbd"], guard=True, detailed=False)
     return out.select("t1_shot_number", "t2_shot_number", F.round("distance_m", 2).alias("distance_m"), "t1_agbd", "t2_agbd")
 
 
@@ -371,7 +371,7 @@ def _by_part(df: DataFrame) -> DataFrame:
 
 def aoi_aggregate(spark, sf_dir):
     """Means over the area of interest: only the tiles that it meets are read."""
-    inside = spatial.within_regions(spatial.with_tile_pruning(_read(spark, sf_dir), aoi(spark)), aoi(spark))
+    inside = spatial.within_regions(spatial.with_tile_pruning(_read(spark, sf_dir), aoi(spark)), aoi(spark), detailed=False)
     return inside.where("quality_flag = 1").groupBy("region_id").agg(F.round(F.avg("agbd"), 6).alias("avg_agbd"), F.round(F.avg("rh_98"), 6).alias("avg_rh_98"), F.count("shot_number").alias("num_shots"))
 
 
