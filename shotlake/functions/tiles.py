@@ -27,3 +27,16 @@ def tile_bounds(tile: Column, strict: bool = False) -> dict[str, Column]:
     number = lambda sign, i, low: F.when(F.regexp_extract(tile, TILE, sign) == low, -1).otherwise(1) * F.regexp_extract(tile, TILE, i).try_cast("int")
     x, y = number(3, 4, "W"), number(1, 2, "S")
     return {"minx": x, "miny": y - 1, "maxx": x + 1, "maxy": y}
+
+
+def curve(lon: Column, lat: Column) -> Column:
+    """Place of a point on the Morton curve of its tile: sixteen bits of each coordinate's share of a degree, taken in
+    turn, so that points near each other on the curve are near each other on the ground."""
+
+    def apart(share: Column) -> Column:
+        v = F.least(F.floor(share * 65_536), F.lit(65_535).cast("long"))
+        for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+            v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask).cast("long"))
+        return v
+
+    return apart(lon - F.floor(lon)).bitwiseOR(F.shiftleft(apart(lat - F.floor(lat)), 1))

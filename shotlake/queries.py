@@ -414,11 +414,61 @@ def lake_set_aside(spark, sf_dir):
     return both[0].unionByName(both[1]).groupBy("tile_id", "place").agg(F.count("*").alias("n"))
 
 
+def _table_name(spark) -> str:
+    return "shots_" + new_path(spark, "t").rpartition("-")[2]
+
+
+def lake_registered(spark, sf_dir):
+    """The lake as a table that was registered in two runs, the years before 1998 first; each run's part of it."""
+    root, ledger, table = new_path(spark, "lake"), new_path(spark, "ledger"), _table_name(spark)
+    runs = []
+    for n, some in enumerate(("year < 1998", "year >= 1998")):
+        lake.write_lake(_read(spark, sf_dir).where(some), root)
+        runs.append(spark.createDataFrame([(*p, n) for p in lake.register(spark, table, root, ledger)], "tile_id string, year int, run int"))
+    return _by_part(spark.table(table)).join(runs[0].unionByName(runs[1]), ["tile_id", "year"])
+
+
+def table_update(spark, sf_dir):
+    """What lake_update gives, by partitions of a table that are pointed to what was built anew."""
+    root, updates, table = new_path(spark, "lake"), new_path(spark, "updates"), _table_name(spark)
+    lake.write_lake(_read(spark, sf_dir, tiles=["S03_W063", "S04_W063"]), root)
+    lake.register(spark, table, root, new_path(spark, "ledger"))
+    newer = _read(spark, sf_dir, tiles=["S03_W063"], years=[1997]).where("shot_number % 2 = 0").withColumn("agbd", F.col("agbd") + 1)
+    lake.write_lake(newer.unionByName(_read(spark, sf_dir, tiles=["S04_W064"], years=[1998])), updates)
+    lake.swap_updates(spark, table, updates)
+    return _by_part(spark.table(table))
+
+
+def table_set_aside(spark, sf_dir):
+    """What lake_set_aside gives, by tables that hand partitions on; the lake's files stay where they are."""
+    root, updates, table, archive = stored_lake(spark, sf_dir), new_path(spark, "updates"), _table_name(spark), _table_name(spark)
+    lake.register(spark, table, root, new_path(spark, "ledger"))
+    lake.create_table(spark, archive, new_path(spark, "archive"), spark.table(table).schema)
+    stale = metadata_drift(spark, sf_dir).select("tile_id").where("tile_id not in ('S03_W063', 'S04_W063', 'S03_W064')").unionByName(spark.range(1).select(F.lit("S03_W064").alias("tile_id")))
+    lake.set_aside_parts(spark, table, stale, archive)
+    lake.write_lake(_read(spark, sf_dir, tiles=["S03_W064"]).where("quality_flag = 1"), updates)
+    lake.swap_updates(spark, table, updates)
+    both = [spark.table(t).select("tile_id", F.lit(name).alias("place")) for name, t in (("lake", table), ("archive", archive))]
+    return both[0].unionByName(both[1]).groupBy("tile_id", "place").agg(F.count("*").alias("n"))
+
+
+def lake_box(spark, sf_dir):
+    """Shots of the stored lake strictly inside a box of coordinates, which its row groups know."""
+    inside = _read(spark, sf_dir).where("lon_lowestmode > -63.0 AND lon_lowestmode < -62.5 AND lat_lowestmode > -4.2 AND lat_lowestmode < -3.8")
+    return inside.select("shot_number", "agbd")
+
+
+def lake_footers(spark, sf_dir):
+    """Shots of each tile and their extremes, from the footers of the lake's files."""
+    return lake.from_footers(spark, stored_lake(spark, sf_dir), ["shot_number", "lat_lowestmode"], ["tile_id"], _shots_by_year(spark, sf_dir).schema)
+
+
 def lake_partitions(spark, sf_dir):
     """Partitions of the lake as a registered table, from the catalog alone."""
-    table = "shots_" + new_path(spark, "t").rpartition("-")[2]
+    table = _table_name(spark)
     try:
-        found = lake.register(spark, table, stored_lake(spark, sf_dir), _shots_by_year(spark, sf_dir).schema)
+        lake.register(spark, table, stored_lake(spark, sf_dir), new_path(spark, "ledger"), _shots_by_year(spark, sf_dir).schema)
+        found = lake.partitions(spark, table)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {table}")
     # a row for each tile and year: at most 64,800 tiles
@@ -596,6 +646,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         lake_parts,
         lake_update,
         lake_set_aside,
+        lake_registered,
+        table_update,
+        table_set_aside,
+        lake_box,
+        lake_footers,
         lake_partitions,
         lake_files,
         plan_store,
@@ -649,12 +704,20 @@ _SQL_MERGED = "SELECT tile_id, granule_key, granule_hash, strftime(cmr_access_ti
 
 _SQL_ASSEMBLY = f"WITH {_SQL_SHOTS}, {_SQL_BUILT}, last AS (SELECT granule_key AS g, max_by(CAST(k % 8 AS DOUBLE), beam_name) AS dz FROM shots WHERE k % 13 <> 1 GROUP BY 1) SELECT shot_number, tile_id, granule_key AS granule, beam_name, year, round(agbd, 6) AS agbd, CASE WHEN granule_key <> 'O13171_03' THEN round(CAST(CAST(k % 50 / CAST(5 AS DOUBLE) AS REAL) AS DOUBLE), 3) END AS wsci, dz, round(CAST(CAST(rh_98 * 51 / 101 AS REAL) AS DOUBLE), 3) AS rh_50, round(CAST(CAST(rh_98 * 30 / 30 AS REAL) AS DOUBLE), 3) AS pai_z_29, CAST(1514764800 + day * 86400 AS BIGINT) AS epoch_s FROM built JOIN last ON granule_key = g"
 
+_SQL_UPDATED = f"WITH {_SQL_LAKE}, after AS (SELECT tile_id, year, shot_number, agbd FROM stored WHERE tile_id IN ('S03_W063', 'S04_W063') AND NOT (tile_id = 'S03_W063' AND year = 1997) UNION ALL SELECT tile_id, year, shot_number, agbd + 1 FROM stored WHERE tile_id = 'S03_W063' AND year = 1997 AND shot_number % 2 = 0 UNION ALL SELECT tile_id, year, shot_number, agbd FROM stored WHERE tile_id = 'S04_W064' AND year = 1998) SELECT {_SQL_PART} FROM after GROUP BY tile_id, year"
+_SQL_ASIDE = f"WITH {_SQL_LAKE}, {_sql_metadata(1)}, {_sql_metadata(2)}, stale AS (SELECT c.tile_id AS t FROM md2 c JOIN md1 e USING (tile_id, granule_key) WHERE e.granule_hash <> c.granule_hash AND c.tile_id NOT IN ('S03_W063', 'S04_W063', 'S03_W064') UNION SELECT 'S03_W064') SELECT tile_id, 'archive' AS place, count(*) AS n FROM stored WHERE tile_id IN (SELECT t FROM stale) GROUP BY 1 UNION ALL SELECT tile_id, 'lake', count(*) FROM stored WHERE tile_id NOT IN (SELECT t FROM stale) OR (tile_id = 'S03_W064' AND quality_flag = 1) GROUP BY 1"
+
 ORACLE_SQL: dict[str, str] = {
     "lake_write": f"WITH {_SQL_LAKE} SELECT {_SQL_PART} FROM stored GROUP BY tile_id, year",
     "lake_scan": f"WITH {_SQL_LAKE} SELECT shot_number, tile_id, year, rh_98 FROM stored WHERE tile_id IN ('S03_W063', 'S04_W064') AND year IN (1996, 1998, 2000)",
     "lake_parts": f"WITH {_SQL_LAKE} SELECT shot_number, tile_id, year, agbd FROM stored WHERE (tile_id, year) IN (('S03_W063', 1997), ('S04_W063', 1999))",
-    "lake_update": f"WITH {_SQL_LAKE}, after AS (SELECT tile_id, year, shot_number, agbd FROM stored WHERE tile_id IN ('S03_W063', 'S04_W063') AND NOT (tile_id = 'S03_W063' AND year = 1997) UNION ALL SELECT tile_id, year, shot_number, agbd + 1 FROM stored WHERE tile_id = 'S03_W063' AND year = 1997 AND shot_number % 2 = 0 UNION ALL SELECT tile_id, year, shot_number, agbd FROM stored WHERE tile_id = 'S04_W064' AND year = 1998) SELECT {_SQL_PART} FROM after GROUP BY tile_id, year",
-    "lake_set_aside": f"WITH {_SQL_LAKE}, {_sql_metadata(1)}, {_sql_metadata(2)}, stale AS (SELECT c.tile_id AS t FROM md2 c JOIN md1 e USING (tile_id, granule_key) WHERE e.granule_hash <> c.granule_hash AND c.tile_id NOT IN ('S03_W063', 'S04_W063', 'S03_W064') UNION SELECT 'S03_W064') SELECT tile_id, 'archive' AS place, count(*) AS n FROM stored WHERE tile_id IN (SELECT t FROM stale) GROUP BY 1 UNION ALL SELECT tile_id, 'lake', count(*) FROM stored WHERE tile_id NOT IN (SELECT t FROM stale) OR (tile_id = 'S03_W064' AND quality_flag = 1) GROUP BY 1",
+    "lake_update": _SQL_UPDATED,
+    "table_update": _SQL_UPDATED,
+    "lake_set_aside": _SQL_ASIDE,
+    "table_set_aside": _SQL_ASIDE,
+    "lake_registered": f"WITH {_SQL_LAKE} SELECT {_SQL_PART}, CASE WHEN year < 1998 THEN 0 ELSE 1 END AS run FROM stored GROUP BY tile_id, year",
+    "lake_box": f"WITH {_SQL_SHOTS} SELECT shot_number, agbd FROM shots WHERE lon_lowestmode > -63.0 AND lon_lowestmode < -62.5 AND lat_lowestmode > -4.2 AND lat_lowestmode < -3.8",
+    "lake_footers": f"WITH {_SQL_LAKE} SELECT tile_id, count(*) AS n, min(shot_number) AS least_shot_number, max(shot_number) AS most_shot_number, min(lat_lowestmode) AS least_lat_lowestmode, max(lat_lowestmode) AS most_lat_lowestmode FROM stored GROUP BY tile_id",
     "lake_partitions": f"WITH {_SQL_LAKE} SELECT DISTINCT tile_id, year FROM stored",
     "lake_files": f"WITH {_SQL_LAKE} SELECT DISTINCT tile_id, year FROM stored WHERE year >= 1998",
     "plan_store": f"WITH {_SQL_SHOTS}, {_sql_metadata(2)} SELECT tile_id, granule_key, granule_hash, strftime(cmr_access_time, '%Y-%m-%d') AS accessed FROM md2 WHERE tile_id IN ('S03_W063', 'S04_W064', 'N00_E000')",

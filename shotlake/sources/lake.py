@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from urllib.parse import unquote
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StringType, StructField, StructType
 
 from shotlake.functions.geometry import RINGS
+from shotlake.functions.tiles import curve
 from shotlake.schema import lake_schema
-from shotlake.sources.scratch import remove
+from shotlake.sources.scratch import exists, remove
 
-#: Rows of a row group.
-GROUP_ROWS = 10_000
+#: Rows of a row group, and partitions that one statement adds to a table.
+GROUP_ROWS, BATCH = 10_000, 100
 
 
 def read_lake(spark: SparkSession, root: str, tiles: Iterable[str] | None = None, years: Iterable[int] | None = None, schema: StructType | None = None) -> DataFrame:
@@ -39,10 +41,17 @@ def read_plan(spark: SparkSession, root: str, tiles: Iterable[str] | None = None
     return df if tiles is None else df.where(F.col("tile_id").isin(list(tiles)))
 
 
-def write_lake(df: DataFrame, root: str, order: str = "shot_number") -> None:
+def write_lake(df: DataFrame, root: str, order: str | None = None) -> None:
     """Write footprints by tile and year, replacing just the partitions that df holds. Rows are rebalanced by tile and
-    year, so that light partitions share a task and a heavy one is several tasks and files, each of them in order."""
-    df = df.hint("rebalance", "tile_id", "year").sortWithinPartitions("tile_id", "year", order)
+    year, so that light partitions share a task and a heavy one is several tasks and files, each of them in order: along
+    a curve through the tile, where df has coordinates, so that the row groups of a file cover little ground each and a
+    box of coordinates skips most of them."""
+    df = df.hint("rebalance", "tile_id", "year")
+    if order is None and {"lon_lowestmode", "lat_lowestmode"} <= set(df.columns):
+        df = df.withColumn("_curve", curve(F.col("lon_lowestmode"), F.col("lat_lowestmode")))
+        df = df.sortWithinPartitions("tile_id", "year", "_curve", "shot_number").drop("_curve")
+    else:
+        df = df.sortWithinPartitions("tile_id", "year", order or "shot_number")
     _overwrite(df, root, "tile_id", "year")
 
 
@@ -81,13 +90,107 @@ def set_aside(spark: SparkSession, root: str, stale: DataFrame, archive: str) ->
     return spark.createDataFrame([(n,) for n in names], "tile_id string")
 
 
-def register(spark: SparkSession, table: str, root: str, schema: StructType | None = None) -> list[str]:
-    """Make root an external table, if it isn't yet, and add the partitions it lacks; returns the table's partitions."""
-    fields = (schema or lake_schema()).fields
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name != "geometry")
+def create_table(spark: SparkSession, table: str, root: str, schema: StructType) -> None:
+    """Make root an external table without partitions, unless there is one; a column `geometry` is left out."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != "geometry")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet PARTITIONED BY (tile_id, year) LOCATION '{root}'")
-    spark.sql(f"MSCK REPAIR TABLE {table}")
-    return partitions(spark, table)
+
+
+def _spec(tile: str, year: int | None) -> str:
+    name = tile.replace("\\", "\\\\").replace("'", "\\'")
+    return f"PARTITION (tile_id = '{name}', year = {'null' if year is None else int(year)})"
+
+
+def register(spark: SparkSession, table: str, root: str, ledger: str, schema: StructType | None = None, batch: int = BATCH) -> list[tuple[str, int | None]]:
+    """Register the data files under root that the ledger lacks, and return the partitions they lie in.
+
+    A table that doesn't exist is made, with the schema given or else the first file's; columns that only later files
+    have are ignored. New files are found by an anti-join of names with the ledger, a stored table of paths; their
+    partitions are added in batches, and after each its files are put on the ledger, so that a run that was broken off
+    goes on where it ended. Partitions that hold no new file aren't touched.
+    """
+    fresh = not spark.catalog.tableExists(table)
+    listed = data_files(spark, root)
+    if fresh:
+        if schema is None:
+            first = listed.where(F.col("path").contains("/year=")).agg(F.min("path")).first()[0]
+            schema = spark.read.option("basePath", root).parquet(first).schema
+            kinds = {"tile_id": StringType(), "year": IntegerType()}
+            schema = StructType([StructField(f.name, kinds.get(f.name, f.dataType)) for f in schema.fields])
+        create_table(spark, table, root, schema)
+    known = spark.read.schema("path string").parquet(ledger) if not fresh and exists(spark, ledger) else spark.createDataFrame([], "path string")
+    staged = f"{ledger}-new"
+    write_result(new_files(listed, known).select("path", "tile_id", "year"), staged)
+    new = spark.read.schema("path string, tile_id string, year int").parquet(staged)
+    if fresh:  # a ledger of an earlier table of this name says nothing of this one
+        write_result(known, ledger)
+    parts = [(r[0], r[1]) for r in new.select("tile_id", "year").distinct().orderBy("tile_id", "year").collect()]  # of 64,800 tiles, by years
+    for k in range(0, len(parts), batch):
+        some = parts[k : k + batch]
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(_spec(*p) for p in some)}")
+        asked = F.broadcast(spark.createDataFrame(some, "_tile string, _year int"))
+        new.join(asked, (F.col("tile_id") == F.col("_tile")) & F.col("year").eqNullSafe(F.col("_year")), "left_semi").select("path").write.mode("append").parquet(ledger)
+    spark.sql(f"REFRESH TABLE {table}")
+    return parts
+
+
+def _parts(spark: SparkSession, table: str) -> set[tuple[str, int | None]]:
+    found = (dict(x.split("=", 1) for x in p.split("/")) for p in partitions(spark, table))
+    return {(unquote(p["tile_id"]), int(p["year"]) if p["year"].isdigit() else None) for p in found}
+
+
+def _point(spark: SparkSession, table: str, part: tuple[str, int | None], location: str, known: set) -> None:
+    where = f"'{location}'"
+    spark.sql(f"ALTER TABLE {table} {_spec(*part)} SET LOCATION {where}" if part in known else f"ALTER TABLE {table} ADD {_spec(*part)} LOCATION {where}")
+
+
+def swap_updates(spark: SparkSession, table: str, updates: str) -> list[tuple[str, int | None]]:
+    """Let the table's partitions that updates holds anew lie there from now on, and add those it lacks; others stay. No
+    row is copied: each partition changes from old to new at once, and the old files stay for readers that have begun."""
+    files = data_files(spark, updates).where(F.col("path").contains("/year="))
+    folder = F.regexp_replace("path", "/[^/]*$", "")
+    held = [(r[0], r[1], r[2]) for r in files.groupBy("tile_id", "year").agg(F.min(folder)).orderBy("tile_id", "year").collect()]  # of 64,800 tiles, by years
+    known = _parts(spark, table)
+    for tile, year, location in held:
+        _point(spark, table, (tile, year), location, known)
+    spark.sql(f"REFRESH TABLE {table}")
+    return [(t, y) for t, y, _ in held]
+
+
+def set_aside_parts(spark: SparkSession, table: str, stale: DataFrame, archive: str) -> list[str]:
+    """Hand the tiles in stale (tile_id) from one table to another, archive, and return their names, to be built anew. The
+    files stay where they are: archive's partitions of a tile are replaced by the table's, all years of it leave the
+    table at once, and only then. A hand-over that was broken off can be repeated."""
+    names = {r[0] for r in stale.select("tile_id").distinct().collect()}
+    moved = sorted((p for p in _parts(spark, table) if p[0] in names), key=str)
+    for tile in sorted({t for t, _ in moved}):
+        places = {}
+        for part in (p for p in moved if p[0] == tile):
+            told = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {_spec(*part)}").where("col_name = 'Location'").first()
+            places[part] = told["data_type"]
+        kept = _parts(spark, archive)
+        for part in sorted((p for p in kept if p[0] == tile and p not in places), key=str):
+            spark.sql(f"ALTER TABLE {archive} DROP IF EXISTS {_spec(*part)}")
+        for part, location in places.items():
+            _point(spark, archive, part, location, kept)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(_spec(*p) for p in places)}")
+    for t in (table, archive):
+        spark.sql(f"REFRESH TABLE {t}")
+    return sorted({t for t, _ in moved})
+
+
+def from_footers(spark: SparkSession, root: str, columns: list[str], by: list[str] | None = None, schema: StructType | None = None) -> DataFrame:
+    """(by, n, least_<column>, most_<column>) of the footprints under root, by partition columns or over all, from the footers
+    of files alone: no row is read. For numeric columns without NaN. The result belongs to a session of its own, in
+    which parquet is read by the reader that can do this."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    df = session.read.schema(schema or lake_schema()).parquet(root)
+    ends = [(f, n, c) for c in columns for f, n in ((F.min, "least"), (F.max, "most"))]
+    # files answer by all of their partition columns or by none
+    parts = df.groupBy("tile_id", "year").agg(F.count("*").alias("n"), *[f(c).alias(f"{n}_{c}") for f, n, c in ends])
+    return parts.groupBy(*by or []).agg(F.sum("n").alias("n"), *[f(f"{n}_{c}").alias(f"{n}_{c}") for f, n, c in ends])
 
 
 def partitions(spark: SparkSession, table: str) -> list[str]:

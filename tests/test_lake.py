@@ -187,18 +187,9 @@ def test_write_replaces_only_its_partitions(spark, tmp_path):
     assert lake.set_aside(spark, root, stale, aside).count() == 0 and spark.read.parquet(aside).count() == 1
 
 
-def test_register_adds_partitions(spark, tmp_path):
-    df = spark.createDataFrame([(1, "N01_E000", 2019)], "shot_number long, tile_id string, year int")
-    root = str(tmp_path / "lake")
-    lake.write_lake(df, root)
-    spark.sql("DROP TABLE IF EXISTS shots_registered")
-    assert lake.register(spark, "shots_registered", root, df.schema) == ["tile_id=N01_E000/year=2019"]
-    lake.write_lake(df.withColumn("year", F.lit(2021)), root)
-    assert len(lake.register(spark, "shots_registered", root, df.schema)) == 2
-    assert spark.table("shots_registered").count() == 2
+def test_new_files(spark):
     listed = spark.createDataFrame([("a/year=2019/x.parquet",), ("a/year=2019/y.parquet",), ("a/year=2019/z.txt",)], "path string")
     assert [r.path for r in lake.new_files(listed, listed.limit(1)).collect()] == ["a/year=2019/y.parquet"]
-    spark.sql("DROP TABLE shots_registered")
 
 
 def test_local_frames_and_description(spark):

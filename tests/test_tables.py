@@ -1,0 +1,152 @@
+"""The lake as a table: registration by a ledger, partitions that are swapped, the order of rows, answers from footers."""
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from shotlake.functions.tiles import curve
+from shotlake.sources import lake
+
+SCHEMA = "shot_number long, v double, tile_id string, year int"
+
+
+@pytest.fixture
+def tables(spark):
+    names = ["shots_now", "shots_archive"]
+    yield names
+    for t in names:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+
+
+def rows(spark, *parts):
+    return spark.createDataFrame([(s, float(s), t, y) for s, t, y in parts], SCHEMA)
+
+
+def shots(df):
+    return sorted(r.shot_number for r in df.collect())
+
+
+def test_registration_takes_in_new_partitions_only(spark, tmp_path, tables, monkeypatch):
+    root, ledger, t = f"file://{tmp_path}/lake", f"file://{tmp_path}/ledger", tables[0]
+    lake.write_lake(rows(spark, (1, "A", 2019), (2, "A", 2020)).withColumn("geometry", F.lit("x")), root)
+    assert lake.register(spark, t, root, ledger) == [("A", 2019), ("A", 2020)]
+    assert spark.table(t).columns == ["shot_number", "v", "tile_id", "year"]
+    told = []
+    kept = spark.sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: (told.append(q), kept(q, *a, **k))[1])
+    assert lake.register(spark, t, root, ledger) == [] and not [q for q in told if "ALTER" in q]
+    lake.write_lake(rows(spark, (3, "B", 2019), (4, "B", None)).withColumn("later", F.lit(1)), root)
+    assert lake.register(spark, t, root, ledger, batch=1) == [("B", None), ("B", 2019)]
+    asked = [q for q in told if "ALTER" in q]
+    assert len(asked) == 2 and not any("'A'" in q for q in asked)
+    assert shots(spark.table(t)) == [1, 2, 3, 4] and "later" not in spark.table(t).columns
+    # a new file in a partition that is known
+    rows(spark, (5, "A", 2019)).write.mode("append").partitionBy("tile_id", "year").parquet(root)
+    assert lake.register(spark, t, root, ledger) == [("A", 2019)] and shots(spark.table(t)) == [1, 2, 3, 4, 5]
+    assert spark.read.parquet(ledger).count() == spark.read.parquet(ledger).distinct().count() == 5
+
+
+def test_registration_that_was_broken_off_goes_on(spark, tmp_path, tables, monkeypatch):
+    root, ledger, t = f"file://{tmp_path}/lake", f"file://{tmp_path}/ledger", tables[0]
+    lake.write_lake(rows(spark, *[(i, "A", 2000 + i) for i in range(5)]), root)
+    kept, n = spark.sql, []
+
+    def breaks(self, q, *a, **k):
+        if "ALTER" in q:
+            n.append(q)
+            if len(n) == 2:
+                raise RuntimeError("broken off")
+        return kept(q, *a, **k)
+
+    with monkeypatch.context() as m:
+        m.setattr(type(spark), "sql", breaks)
+        with pytest.raises(RuntimeError):
+            lake.register(spark, t, root, ledger, batch=2)
+    assert shots(spark.table(t)) == [0, 1]
+    assert lake.register(spark, t, root, ledger, batch=2) == [("A", 2002), ("A", 2003), ("A", 2004)]
+    assert shots(spark.table(t)) == [0, 1, 2, 3, 4]
+    # a table that is made anew takes in all files, whatever the ledger says
+    spark.sql(f"DROP TABLE {t}")
+    assert len(lake.register(spark, t, root, ledger)) == 5 and shots(spark.table(t)) == [0, 1, 2, 3, 4]
+
+
+def test_swapped_partitions_copy_nothing(spark, tmp_path, tables):
+    root, updates, t = f"file://{tmp_path}/lake", f"file://{tmp_path}/updates", tables[0]
+    lake.write_lake(rows(spark, (1, "A", 2019), (2, "A", 2020), (3, "B", 2019)), root)
+    lake.register(spark, t, root, f"file://{tmp_path}/ledger")
+    begun = spark.table(t).where("tile_id = 'A'")
+    lake.write_lake(rows(spark, (9, "A", 2020), (8, "C", None)), updates)
+    files = sorted(p for p in tmp_path.rglob("*.parquet"))
+    assert lake.swap_updates(spark, t, updates) == [("A", 2020), ("C", None)]
+    assert sorted(p for p in tmp_path.rglob("*.parquet") if "ledger" not in str(p)) == [p for p in files if "ledger" not in str(p)]
+    assert shots(spark.table(t)) == [1, 3, 8, 9] and shots(spark.table(t).where("year = 2020")) == [9]
+    assert shots(begun) in ([1, 2], [1, 9])
+    assert lake.swap_updates(spark, t, updates) == [("A", 2020), ("C", None)] and shots(spark.table(t)) == [1, 3, 8, 9]
+
+
+def test_tiles_set_aside_change_tables(spark, tmp_path, tables, monkeypatch):
+    root, (t, old) = f"file://{tmp_path}/lake", tables
+    lake.write_lake(rows(spark, (1, "A", 2019), (2, "A", 2020), (3, "B", 2019)), root)
+    lake.register(spark, t, root, f"file://{tmp_path}/ledger")
+    lake.create_table(spark, old, f"file://{tmp_path}/archive", spark.table(t).schema)
+    stale = spark.createDataFrame([("A",), ("Z",)], "tile_id string")
+    with monkeypatch.context() as m:
+        kept = spark.sql
+
+        def breaks(self, q, *a, **k):
+            if f"ALTER TABLE {t} DROP" in q:
+                raise RuntimeError("broken off")
+            return kept(q, *a, **k)
+
+        m.setattr(type(spark), "sql", breaks)
+        with pytest.raises(RuntimeError):
+            lake.set_aside_parts(spark, t, stale, old)
+    assert shots(spark.table(t)) == [1, 2, 3]  # nothing has left before all is in the archive
+    assert lake.set_aside_parts(spark, t, stale, old) == ["A"]
+    assert shots(spark.table(t)) == [3] and shots(spark.table(old)) == [1, 2]
+    # set aside again with fewer years: those of the earlier time don't stay
+    lake.write_lake(rows(spark, (7, "A", 2020)), f"file://{tmp_path}/again")
+    lake.swap_updates(spark, t, f"file://{tmp_path}/again")
+    assert shots(spark.table(t)) == [3, 7]
+    assert lake.set_aside_parts(spark, t, stale, old) == ["A"] and shots(spark.table(old)) == [7] and shots(spark.table(t)) == [3]
+    assert lake.set_aside_parts(spark, t, stale, old) == [] and shots(spark.table(old)) == [7]
+
+
+def groups_met(folder, box):
+    met = total = 0
+    for file in folder.rglob("*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        at = {meta.schema.column(i).name: i for i in range(len(meta.schema))}
+        for g in range(meta.num_row_groups):
+            lon, lat = (meta.row_group(g).column(at[c]).statistics for c in ("lon_lowestmode", "lat_lowestmode"))
+            total += 1
+            met += lon.min < box[2] and lon.max > box[0] and lat.min < box[3] and lat.max > box[1]
+    return met, total
+
+
+def test_rows_along_a_curve_let_boxes_skip_row_groups(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(lake, "GROUP_ROWS", 500)
+    df = spark.range(20_000).selectExpr("id AS shot_number", "10 + (id * 7919 % 19997) / 20000D AS lon_lowestmode", "20 + (id * 104729 % 19993) / 20000D AS lat_lowestmode", "'N21_E010' AS tile_id", "2020 AS year")
+    for name, order in (("before", "shot_number"), ("after", None)):
+        lake.write_lake(df, str(tmp_path / name), order)
+    box = (10.2, 20.2, 10.3, 20.3)
+    before, after = (groups_met(tmp_path / n, box) for n in ("before", "after"))
+    assert before[0] == before[1] >= 40 and after[1] >= 40 and after[0] <= 6
+    got = [lake.read_lake(spark, str(tmp_path / n), schema=df.schema).where("lon_lowestmode > 10.2 AND lon_lowestmode < 10.3 AND lat_lowestmode > 20.2 AND lat_lowestmode < 20.3") for n in ("before", "after")]
+    assert shots(got[0]) == shots(got[1]) and len(shots(got[0])) > 100
+
+
+def test_curve_takes_bits_in_turn(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 0), (0.5, 0.0, 1 << 30), (0.0, 0.5, 1 << 31), (-0.5, -0.5, 3 << 30), (1 / 65536, 3 / 65536, 0b1011)], "lon double, lat double, want long")
+    assert df.where(curve(F.col("lon"), F.col("lat")) != F.col("want")).count() == 0
+
+
+def test_footers_answer_without_reading_rows(spark, tmp_path):
+    df = rows(spark, (1, "A", 2019), (2, "A", 2020), (3, "B", 2019), (10, "B", None))
+    lake.write_lake(df, f"file://{tmp_path}/lake")
+    got = lake.from_footers(spark, f"file://{tmp_path}/lake", ["shot_number", "v"], ["tile_id"], df.schema)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)" in plan and "PushedGroupBy: [tile_id, year]" in plan
+    assert sorted(map(tuple, got.collect())) == [("A", 2, 1, 2, 1.0, 2.0), ("B", 2, 3, 10, 3.0, 10.0)]
+    whole = lake.from_footers(spark, f"file://{tmp_path}/lake", ["shot_number"], None, df.schema)
+    assert [tuple(r) for r in whole.collect()] == [(4, 1, 10)]
