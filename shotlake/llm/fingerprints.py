@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shotlake.llm.common import partitions_for
+from shotlake.llm.common import partitions_for, unit_hash
 from shotlake.llm.expressions import let, upto
 
 #: Units of a gram and grams of a window: texts that share K + W - 1 units in a row share a fingerprint.
@@ -16,6 +18,8 @@ UNIT = r"[\x21-\x7E\u00A1-\u0DFF]{1,24}|[^\x20\x09-\x0D]"
 RANGE_BYTES = 8 << 20
 #: Ranges at most: what their bounds need on the driver.
 MOST_RANGES = 1 << 17
+#: Keys that are sampled for each range.
+SAMPLED = 20
 #: The rolling hash: a polynomial of this base over the units' hashes, modulo this prime.
 BASE, PRIME = 0x2C1B3C6D, (1 << 31) - 1
 
@@ -82,12 +86,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(docs[id_col].cast("long").alias("doc_id"), text.alias("text"), winnow(docs[text_col], k, w).alias("fingerprint"))
 
 
-def _search(value: Column, ascending: list[int]) -> Column:
-    """How many of the ascending values are below or equal to value, by bisection."""
+_KEYS = "array<struct<o:bigint,h:bigint>>"
+
+
+def _search(value: Column, ascending: list[tuple[int, int]]) -> Column:
+    """How many of the ascending keys are below or equal to value, by bisection."""
     if not ascending:
         return F.lit(0)
     steps = len(ascending).bit_length() + 1
-    bounds = F.array(*[F.lit(x) for x in ascending]) if len(ascending) < 64 else F.from_json(F.lit(str(ascending)), "array<bigint>")
+    bounds = F.from_json(F.lit(json.dumps([{"o": o, "h": h} for o, h in ascending])), _KEYS)  # one literal, however many there are
 
     def halve(b: Column, s: Column) -> Column:
         mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
@@ -101,31 +108,34 @@ def _search(value: Column, ascending: list[int]) -> Column:
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, next_text): each row and the text of the row after it by descending doc_id, after the last
-    that of the first. Null ids come last; rows of one id follow each other by their texts' hashes.
+    that of the first. Null ids come last; rows of one id, or of none, follow each other by their texts' hashes.
 
-    Rows are dealt once, by ranges of ids of equal depth. The first row of each range also goes, as a guest, to
-    the range before it. Only the ranges' bounds and first ids, at most MOST_RANGES, reach the driver.
+    Rows are dealt once, by ranges of (id, hash), whose bounds come from a sample of SAMPLED keys a range; a frequent id
+    is several ranges, and only rows that are equal in both stay together. The first row of each range also goes, as a
+    guest, to the range before it. Only the sample, and the ranges' bounds and first keys, at most MOST_RANGES, reach the
+    driver; no result depends on the sample.
     """
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    rows = rows.withColumn("order", F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))))
+    rows = rows.withColumn("key", F.struct(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("o"), F.xxhash64("text").alias("h")))
     n = min(MOST_RANGES, partitions_for(docs, RANGE_BYTES))
-    accuracy = min(100 * n, max(10 * n, 1_000_000))
-    shares = f"from_json('{[i / n for i in range(1, n)]}', 'array<double>')"  # one literal, however many there are
-    cuts = rows.select(F.expr(f"percentile_approx(`order`, {shares}, {accuracy})")).first()[0] if n > 1 else []
-    cuts = sorted(set(cuts or []))
-    rows = rows.withColumn("range", _search(F.col("order"), cuts))
-    first = sorted(((r["range"], r["top"]) for r in rows.groupBy("range").agg(F.max("order").alias("top")).collect()), reverse=True)
+    # chosen by the key, before texts are read for more than their hash
+    share = min(1.0, SAMPLED * n / max(1, docs.count()))
+    some = rows.where(unit_hash(F.col("key.o"), F.col("key.h")) < F.lit(min(int(share * 2**63), 2**63 - 1))).select("key").distinct().collect() if n > 1 else []
+    keys = sorted((r["key"]["o"], r["key"]["h"]) for r in some)
+    cuts = sorted({keys[len(keys) * i // n] for i in range(1, n)}) if keys else []
+    rows = rows.withColumn("range", _search(F.col("key"), cuts))
+    first = sorted(((r["range"], (r["top"]["o"], r["top"]["h"])) for r in rows.groupBy("range").agg(F.max("key").alias("top")).collect()), reverse=True)
     if not first:
         return rows.select("doc_id", "text", F.col("text").alias("next_text"))
-    before = {r: first[i - 1][0] for i, (r, _) in enumerate(first)}
-    table = F.from_json(F.lit(str([[top, before[r]] for r, top in sorted(first)])), "array<array<bigint>>")
-    place = _search(F.col("order"), sorted(top for _, top in first))
-    is_top = F.get(table, place - 1)
-    rows = rows.withColumn("top", is_top)
+    before = [first[i - 1][0] for i in range(len(first))][::-1]
+    tops = [top for _, top in first][::-1]
+    place = _search(F.col("key"), tops)
+    is_top = F.get(F.from_json(F.lit(json.dumps([{"o": o, "h": h} for o, h in tops])), _KEYS), place - 1) == F.col("key")
+    goes = F.get(F.from_json(F.lit(json.dumps(before)), "array<bigint>"), place - 1)
     homes = F.array(F.struct(F.col("range").cast("long").alias("range"), F.lit(False).alias("guest")))
-    guests = F.array(F.struct(F.col("top")[1].alias("range"), F.lit(True).alias("guest")))
-    rows = rows.select("doc_id", "text", "order", F.explode(F.when(F.col("top")[0] == F.col("order"), F.concat(homes, guests)).otherwise(homes)).alias("at"))
-    order = Window.partitionBy("at.range").orderBy(F.col("at.guest"), F.desc("order"), F.xxhash64("text"))
+    guests = F.array(F.struct(goes.alias("range"), F.lit(True).alias("guest")))
+    rows = rows.select("doc_id", "text", "key", F.explode(F.when(is_top, F.concat(homes, guests)).otherwise(homes)).alias("at"))
+    order = Window.partitionBy("at.range").orderBy(F.col("at.guest"), F.desc("key"))
     return rows.select("doc_id", "text", F.col("at.guest").alias("guest"), F.lead("text").over(order).alias("next_text")).where(~F.col("guest")).drop("guest")
 
 

@@ -205,6 +205,28 @@ def test_neighbours_and_edits(spark, monkeypatch):
     assert sum(near) / len(near) > 0.95
 
 
+@pytest.mark.parametrize("ids", [[None] * 900, [7] * 900, [None, 7, 3] * 300, list(range(900)), [1] * 400 + [None] * 400 + [9] * 100])
+def test_frequent_ids_are_several_ranges(spark, monkeypatch, ids):
+    monkeypatch.setattr(fingerprints, "RANGE_BYTES", 1 << 9)
+    # repeated texts among them
+    docs = documents(spark, *[(d, f"text {i % 850} " + "x" * 40) for i, d in enumerate(ids)]).repartition(5)
+    got = fingerprints.with_next(docs)
+    seen = [(r.doc_id, r.text, r.next_text) for r in got.collect()]
+    assert Counter((d, t) for d, t, _ in seen) == Counter((d, f"text {i % 850} " + "x" * 40) for i, d in enumerate(ids))
+    # one ring through all texts
+    assert Counter(t for _, t, _ in seen) == Counter(t for *_, t in seen)
+    follow = {}
+    for d, t, n in seen:
+        follow.setdefault((d, t), set()).add(n)
+    assert sum(len(v - {k[1]}) for k, v in follow.items()) >= len(follow) - 1
+    known = [d for d in dict.fromkeys(sorted((x for x in ids if x is not None), reverse=True))]
+    groups = [*known, *([None] if None in ids else [])]
+    for a, b in zip(groups, groups[1:] + groups[:1]):
+        if a != b:  # of each group of one id, one row is followed by a text of the next group alone
+            mine, theirs = [s for s in seen if s[0] == a], {t for d, t, _ in seen if d == b}
+            assert sum((Counter(t for _, t, _ in mine) - Counter(n for *_, n in mine)).values()) <= 1 and any(n in theirs for *_, n in mine)
+
+
 def test_next_rows_with_ties_and_nulls(spark):
     rows = fingerprints.with_next(documents(spark, (3, "c"), (None, "n"), (1, "a"), (2, None), (3, "c"))).collect()
     assert sorted(((r.doc_id, r.text, r.next_text) for r in rows), key=str) == sorted([(3, "c", "c"), (3, "c", ""), (2, "", "a"), (1, "a", "n"), (None, "n", "c")], key=str)
