@@ -14,7 +14,9 @@ from shotlake.llm.common import documents, materialise
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the chain, fitted on the labelled ones among docs, doesn't call toxic."""
+    """Documents that the chain, fitted on the labelled ones among docs, doesn't call toxic. A null or empty text is not
+    toxic, a null id stays, repeated rows are judged alike, an empty table gives an empty one; columns of any names are
+    kept, as the row travels as a struct."""
     chain = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.score(docs, chain).where("not toxic").select("record.*")
 
@@ -36,17 +38,19 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets masked."""
+    """All documents, their secrets masked; all other columns, null ids and repeated rows as they are, null texts null."""
     return secret_scan.redact(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document at least once, small sources more often."""
+    """Each document at least once, small sources more often. A null source is a source, documents without tokens come
+    once, of repeated rows each counts; an empty table gives an empty one; further columns are kept."""
     return mixing.mix(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences. A null text is empty: its end is a piece of one token;
+    null ids stay null, repeated rows are packed as often; an empty table gives none; other columns end here."""
     return packing.pack(docs)
 
 
@@ -64,7 +68,8 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply STAGES to the documents; all but the last result are written to the shared folder."""
+    """Apply STAGES to the documents; all but the last result are written to the shared folder. Odd rows (null ids and
+    texts, repeated rows, empty tables) pass as each stage says."""
     docs = documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
