@@ -845,3 +845,84 @@ def test_written_shards(spark, tmp_path):
     for k in range(4):
         files = sorted((tmp_path / "out" / f"shard={k}").glob("*.parquet"))
         assert len(files) > 1 and [i for f in files for i in pq.ParquetFile(f).read(["doc_id"])["doc_id"].to_pylist()] == want[k]
+
+
+# --- fitted models against fits of another kind
+
+def optimum(x, y, penalty=1e-4, rounds=60):
+    """Weights and bias by Newton's method, where linear.fit takes gradient steps."""
+    z = np.concatenate([x, np.ones((len(x), 1))], 1)
+    ridge = np.full(z.shape[1], penalty)
+    ridge[-1] = 1e-12
+    w = np.zeros(z.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -40, 40)))
+        g = z.T @ (p - y) / len(y) + ridge * w * (ridge > 1e-9)
+        h = (z * (p * (1 - p))[:, None]).T @ z / len(y) + np.diag(ridge)
+        w = w - np.linalg.solve(h + 1e-9 * np.eye(len(w)), g)
+    return w
+
+
+def loss(x, y, w):
+    p = np.clip(1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -40, 40))), 1e-12, 1 - 1e-12)
+    return -(y * np.log(p) + (1 - y) * np.log(1 - p)).mean() + 0.5e-4 * (w[:-1] ** 2).sum()
+
+
+def test_linear_fit_against_newton():
+    from shotlake.llm.linear import Sparse, fit
+
+    rng = np.random.default_rng(4)
+    x = (rng.random((800, 12)) < 0.3).astype(float)
+    y = (rng.random(800) < 1 / (1 + np.exp(-(x @ rng.normal(size=12) * 2 - 0.5)))).astype(float)
+    w = fit(Sparse([np.flatnonzero(r) for r in x], None, 12), np.zeros((800, 0)), y, rounds=150, rate=0.2)
+    best = optimum(x, y)
+    assert loss(x, y, best) - 1e-9 <= loss(x, y, w) <= loss(x, y, best) + 0.003
+    assert np.abs(1 / (1 + np.exp(-(x @ w[:-1] + w[-1]))) - 1 / (1 + np.exp(-(x @ best[:-1] + best[-1])))).max() < 0.08
+
+
+def test_chain_against_newton_on_the_given_labels(spark):
+    """The query's chain, from given labels, against one whose models Newton's method fits on the same columns and folds."""
+    sf = SF.replace("0.001", "0.01")
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    truth = sorted((r.doc_id, float(r.toxic > 0)) for r in spark.read.parquet(f"{sf}/labels.parquet").collect() if r.doc_id in texts and r.toxic is not None)
+    chain = toxicity.train(spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet"))
+    features = [np.array(sorted({h for w in toxicity.words_of(texts[i]) for h in toxicity.hashed(w)})) for i, _ in truth]
+    x = np.zeros((len(truth), len(chain.place)))
+    for k, f in enumerate(features):
+        x[k, [chain.place[h] for h in f.tolist() if h in chain.place]] = 1
+    y = np.array([t for _, t in truth])
+    kinds, fold, dense = toxicity.kinds_of(features, y), np.arange(len(y)) % toxicity.FOLDS, np.zeros((len(y), 0))
+    assert np.array_equal(kinds.sum(1), y)
+    for target in (*kinds.T, y):
+        z, out = np.concatenate([x, dense], 1), np.zeros(len(y))
+        for f in range(toxicity.FOLDS):
+            w = optimum(z[fold != f], target[fold != f], penalty=1e-3, rounds=25)
+            out[fold == f] = 1 / (1 + np.exp(-np.clip(z[fold == f] @ w[:-1] + w[-1], -40, 40)))
+        dense = np.concatenate([dense, out[:, None]], 1)
+    ours = chain.predict([np.flatnonzero(r) for r in x])[:, -1] >= toxicity.THRESHOLD
+    assert ((dense[:, -1] >= 0.5) == ours).mean() > 0.95 and (ours == (y > 0)).mean() > 0.95
+
+
+def test_em_against_plain_steps():
+    """Expectation and maximisation row by row, in probabilities instead of logarithms and patterns."""
+    rng = random.Random(3)
+    cast = ["".join(rng.choices("gba", [6, 1, 3] if rng.random() < 0.8 else [2, 6, 2])[0] for _ in quality.LABELLERS) for _ in range(400)]
+    count = Counter(cast)
+    patterns = sorted(count)
+    share, table, post = quality.accuracies(patterns, np.array([count[p] for p in patterns], float), rounds=7)
+    belief = [0.1 if "b" in p else 0.9 if "g" in p else 0.5 for p in cast]
+    for _ in range(7):
+        good = (sum(belief) + 1) / (len(cast) + 2)
+        rates = []
+        for j in range(len(quality.LABELLERS)):
+            rates.append([])
+            for own in (lambda b: b, lambda b: 1 - b):
+                hit = {v: 1 + sum(own(b) for b, p in zip(belief, cast) if p[j] == v) for v in "gb"}
+                rates[-1].append({v: n / sum(hit.values()) for v, n in hit.items()} | {"a": 1.0})
+        belief = []
+        for p in cast:
+            a, b = good * math.prod(r[0][v] for r, v in zip(rates, p)), (1 - good) * math.prod(r[1][v] for r, v in zip(rates, p))
+            belief.append(a / (a + b))
+    assert abs(share - good) < 1e-12
+    assert max(abs(dict(zip(patterns, post))[p] - b) for p, b in zip(cast, belief)) < 1e-9
+    assert max(abs(table[j, c, "gb".index(v)] - rates[j][c][v]) for j in range(len(rates)) for c in (0, 1) for v in "gb") < 1e-12
