@@ -5,6 +5,7 @@ from __future__ import annotations
 import array
 import json
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -63,7 +64,8 @@ class Words:
         self.remembered = remembered
         self.counts: dict[bytes, int] = {}
         self.packed: dict[bytes, bytes] = {}
-        self.marks: dict[bytes, list[int]] = {}
+        # by what is asked of ids (their number or bytes): that of letters and of marks, to be added
+        self.parts: dict[Callable, tuple[dict[bytes, object], dict[bytes, object]]] = {}
         # byte-level alphabet: bytes without a visible Latin-1 character of their own count on from 256
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.visible = dict(zip(own, own)) | {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in set(own))}
@@ -80,26 +82,31 @@ class Words:
         if len(known) + len(new) > self.remembered:
             known.clear()
             new = set(words)
-        odd = []
+        odd, letters_of, marks_of = [], *self.parts.setdefault(value, ({}, {}))
+        if len(letters_of) + len(new) > self.remembered // 4:
+            letters_of.clear()
         for w in new:
-            m = PLAIN.fullmatch(w)
-            if not m:
-                odd.append(w)
-                continue
-            letters, marks = m.groups()
-            ids = [t.id for t in self.library.model.tokenize(letters.decode("latin-1").translate(self.visible))]
-            if marks:
-                ids += self._marks(marks)
-            known[w] = value(ids)
+            # words that differ by the marks that follow them share their letters' ids
+            letters, marks = w, b""
+            if not (w.isalpha() and w.islower()):
+                m = PLAIN.fullmatch(w)
+                if not m:
+                    odd.append(w)
+                    continue
+                letters, marks = m.groups()
+            ids = letters_of.get(letters)
+            if ids is None:
+                ids = letters_of[letters] = value([t.id for t in self.library.model.tokenize(letters.decode("latin-1").translate(self.visible))])
+            known[w] = ids + self._marks(marks, marks_of, value) if marks else ids
         found = self.library.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
         known.update((w, value(e.ids)) for w, e in zip(odd, found))
 
-    def _marks(self, marks: bytes) -> list[int]:
-        if marks not in self.marks:
-            if len(self.marks) > 10_000:
-                self.marks.clear()
-            self.marks[marks] = self.library.encode(marks.decode(), add_special_tokens=False).ids
-        return self.marks[marks]
+    def _marks(self, marks: bytes, known: dict, value: Callable[[list[int]], object]) -> object:
+        if marks not in known:
+            if len(known) > 10_000:
+                known.clear()
+            known[marks] = value(self.library.encode(marks.decode(), add_special_tokens=False).ids)
+        return known[marks]
 
     def _counts(self, data: bytes) -> list[int]:
         words = self.split(data)
@@ -134,8 +141,6 @@ class Words:
 
 
 def little_endian(ids: list[int]) -> bytes:
-    import sys
-
     a = array.array("I", ids)
     if sys.byteorder == "big":
         a.byteswap()
