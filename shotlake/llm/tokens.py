@@ -64,8 +64,8 @@ class Words:
         self.remembered = remembered
         self.counts: dict[bytes, int] = {}
         self.packed: dict[bytes, bytes] = {}
-        # by what is asked of ids (their number or bytes): that of letters and of marks, to be added
-        self.parts: dict[Callable, tuple[dict[bytes, object], dict[bytes, object]]] = {}
+        # by what is asked of ids (their number or bytes): that of marks, to be added to that of letters
+        self.marks: dict[Callable, dict[bytes, object]] = {}
         # byte-level alphabet: bytes without a visible Latin-1 character of their own count on from 256
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         self.visible = dict(zip(own, own)) | {b: 256 + i for i, b in enumerate(x for x in range(256) if x not in set(own))}
@@ -82,22 +82,24 @@ class Words:
         if len(known) + len(new) > self.remembered:
             known.clear()
             new = set(words)
-        odd, letters_of, marks_of = [], *self.parts.setdefault(value, ({}, {}))
-        if len(letters_of) + len(new) > self.remembered // 4:
-            letters_of.clear()
+        odd, marked, marks_of = [], [], self.marks.setdefault(value, {})
+
+        def of(letters: bytes) -> object:
+            return value([t.id for t in self.library.model.tokenize(letters.decode("latin-1").translate(self.visible))])
+
         for w in new:
-            # words that differ by the marks that follow them share their letters' ids
-            letters, marks = w, b""
-            if not (w.isalpha() and w.islower()):
-                m = PLAIN.fullmatch(w)
-                if not m:
-                    odd.append(w)
-                    continue
-                letters, marks = m.groups()
-            ids = letters_of.get(letters)
-            if ids is None:
-                ids = letters_of[letters] = value([t.id for t in self.library.model.tokenize(letters.decode("latin-1").translate(self.visible))])
-            known[w] = ids + self._marks(marks, marks_of, value) if marks else ids
+            m = None if w.isalpha() and w.islower() else PLAIN.fullmatch(w)
+            if m and m[2]:
+                marked.append((w, *m.groups()))
+            elif m or w.isalpha() and w.islower():
+                known[w] = of(w)
+            else:
+                odd.append(w)
+        # words that differ by the marks that follow them share their letters' ids, which are a word of their own
+        for w, letters, marks in marked:
+            if letters not in known:
+                known[letters] = of(letters)
+            known[w] = known[letters] + self._marks(marks, marks_of, value)
         found = self.library.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
         known.update((w, value(e.ids)) for w, e in zip(odd, found))
 
