@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 #: Name of the vocabulary file in public_tokenizers.
 VOCABULARY = "word_bpe_49k.json"
 #: Distinct words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 1_500_000
+REMEMBERED = 600_000
 #: Bytes of a chunk of a long text, and of what two chunks have in common.
 CHUNK, OVERLAP = 4_096, 256
 # How a vocabulary file must normalise and split text for words to be counted by themselves.
