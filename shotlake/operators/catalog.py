@@ -31,12 +31,13 @@ def union_listings(listings: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def roll_up(listing: DataFrame, required: list[str] | None = None, products: tuple[str, ...] = PRODUCTS, start_year: int | None = None, end_year: int | None = None, denied: tuple[str, ...] = DENIED) -> DataFrame:
+def roll_up(listing: DataFrame, required: list[str] | None = None, products: tuple[str, ...] = PRODUCTS, start_year: int | None = None, end_year: int | None = None, denied: tuple[str, ...] = DENIED, apart: tuple[str, ...] = ()) -> DataFrame:
     """One row per granule that has every required product (all, if none are named).
 
     Takes granule_name, granule_url, granule_size, polygons, product, product_order. Gives granule_key,
     granule_size (sum), granule_names (by product, then name), a <product>_url each, polygons (of the first product)
-    and granule_hash. Years count only if both are given.
+    and granule_hash. Years count only if both are given. apart: more columns of the listing, which tell granules of one
+    key apart, as where orbits have more digits than names have room for; they stay in the result.
     """
     required = list(products) if required is None else required
     extra = [p for p in required if p not in products]
@@ -49,7 +50,7 @@ def roll_up(listing: DataFrame, required: list[str] | None = None, products: tup
         first, last = F.to_timestamp(F.lit(f"{start_year}-01-01 00:00:00")), F.to_timestamp(F.lit(f"{end_year}-12-31 23:59:59"))
         named = named.where(start_time(F.col("granule_name")).between(first, last))
     url = lambda p: F.expr(f"min_by(granule_url, granule_name) FILTER (WHERE product = '{p}' AND granule_url IS NOT NULL)").alias(f"{p}_url")
-    rolled = named.groupBy("granule_key").agg(
+    rolled = named.groupBy("granule_key", *apart).agg(
         F.sum("granule_size").alias("granule_size"),
         F.array_sort(F.collect_list(F.struct("product_order", "granule_name"))).alias("names"),
         F.collect_set("product").alias("present"),

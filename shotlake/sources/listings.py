@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shotlake.functions.geometry import RINGS
+from shotlake.functions.granules import let
 
 ENTRY = (
     "online_access_flag boolean, data_center string, producer_granule_id string, title string, granule_size string, "
@@ -32,13 +35,17 @@ def _split(ddl: str) -> list[str]:
 
 def ring_of(text: Column) -> Column:
     """Points of "lat lon lat lon ...", as x and y."""
-    number = F.split(F.trim(text), r"\s+")
-    at = F.sequence(F.lit(0), F.size(number) - 2, F.lit(2))
-    return F.transform(at, lambda i: F.struct(F.get(number, i + 1).cast("double").alias("x"), F.get(number, i).cast("double").alias("y")))
+
+    def points(number: Column) -> Column:
+        at = F.sequence(F.lit(0), F.size(number) - 2, F.lit(2))
+        return F.transform(at, lambda i: F.struct(F.get(number, i + 1).cast("double").alias("x"), F.get(number, i).cast("double").alias("y")))
+
+    return let(F.split(F.trim(text), r"\s+"), points)
 
 
-def parse_entries(entries: DataFrame, cloud: bool = True) -> DataFrame:
-    """(granule_name, granule_url, granule_size, polygons) of entries that are online and have polygons.
+def parse_entries(entries: DataFrame, cloud: bool = True, keep: Iterable[str] = ()) -> DataFrame:
+    """(granule_name, granule_url, granule_size, polygons) of entries that are online and have polygons, and their columns
+    in keep.
 
     The name is the producer's for data centres with LP, the title's second part between dots for those with
     ORNL (which wins); entries of other centres are left out. The URL is the first s3:// link, or without cloud
@@ -50,5 +57,5 @@ def parse_entries(entries: DataFrame, cloud: bool = True) -> DataFrame:
     url = F.try_element_at(F.filter("links", fits), F.lit(1))["href"]
     polygons = F.transform("polygons", lambda p: F.array(ring_of(p[0]))).cast(f"array<{RINGS}>")
     rows = entries.where(F.col("online_access_flag") & (F.size("polygons") > 0))
-    rows = rows.select(name.alias("granule_name"), F.when(url != "", url).alias("granule_url"), F.col("granule_size").cast("double").alias("granule_size"), polygons.alias("polygons"))
+    rows = rows.select(name.alias("granule_name"), F.nullif(url, F.lit("")).alias("granule_url"), F.col("granule_size").cast("double").alias("granule_size"), polygons.alias("polygons"), *keep)
     return rows.where("granule_name is not null")
