@@ -33,8 +33,8 @@ def drifted(current: DataFrame, existing: DataFrame) -> DataFrame:
 
 
 def is_covered(required: DataFrame, existing: DataFrame) -> bool:
-    """Whether every required tile exists."""
-    return required.select("tile_id").join(existing.select("tile_id"), "tile_id", "left_anti").isEmpty()
+    """Whether every required tile exists. Each tile is joined once: a tile's shots would be one key's work."""
+    return required.select("tile_id").distinct().join(existing.select("tile_id").distinct(), "tile_id", "left_anti").isEmpty()
 
 
 def tile_status(required: DataFrame, planned: DataFrame, stored: DataFrame) -> DataFrame:
