@@ -49,3 +49,19 @@ def test_covered_joins_each_tile_once(spark):
     """A tile's shots aren't one key's work: what is joined has been reduced to tiles."""
     shots = spark.range(0, 1000).select((F.col("id") % 2).cast("string").alias("tile_id"))
     assert maintain.is_covered(shots, shots.where("tile_id < '9'")) and not maintain.is_covered(shots, shots.where("tile_id = '1'"))
+
+
+def test_short_ways_are_bent(spark):
+    """Up to a kilometre: as along the ellipsoid, at every latitude and direction, and without its steps in the plan."""
+    from shotlake.functions.geometry import with_distance
+    from shotlake.operators.crossovers import SHORT_M, pairs_within
+
+    n = F.col("id")
+    points = spark.range(0, 600).select(n.alias("shot_number"), ((n % 30) * 6.2 - 89.9 + (F.floor(n / 30) * 7919 % 101) * 2e-5).alias("lat_lowestmode"), (170 + (n % 30) * 0.3 + (F.floor(n / 30) * 31 % 97) * 5e-5).alias("lon_lowestmode"))
+    found = pairs_within(points, SHORT_M)
+    assert "ATAN2" not in found._jdf.queryExecution().optimizedPlan().toString().upper()
+    both = with_distance(found.withColumnRenamed("distance_m", "d"), *[f"t{i}_{c}_lowestmode" for i in (1, 2) for c in ("lat", "lon")])
+    count, most = both.agg(F.count("*"), F.max(F.abs(F.col("d") - F.col("distance_m")))).first()
+    assert count > 3000 and most < 2e-7
+    beyond = pairs_within(points, SHORT_M + 1e-6)
+    assert beyond.count() == count and "ATAN2" in beyond._jdf.queryExecution().optimizedPlan().toString().upper()
