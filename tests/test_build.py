@@ -156,3 +156,32 @@ def test_a_build_that_was_broken_off_is_made_good(spark, tmp_path, monkeypatch):
             arrive(spark, tmp_path, {p: df.where("shot_number % 2 = 1") for p, df in products.items()}, plan)
     arrive(spark, tmp_path, {}, plan)
     assert calls and sorted(stored(spark, tmp_path), key=str) == wanted()
+
+
+def test_a_batch_is_dealt_once_and_unready_granules_are_not_read(spark, tmp_path, monkeypatch):
+    products, plan = tables(spark)
+    assembled, made, calls = [], intake.assemble, []
+    write = lambda df, at, *more: (calls.append((at, df, more)), kept(df, at, *more))
+    kept = intake.write_lake
+    with monkeypatch.context() as m:
+        m.setattr(intake, "assemble", lambda t, p, *more: assembled.append((t, p.count(), {r[0] for df in t.values() for r in df.select("granule_key").distinct().collect()})) or made(t, p, *more))
+        m.setattr(intake, "write_lake", write)
+        # h lacks a product that is due
+        arrive(spark, tmp_path, {"level2A": products["level2A"], "level2B": products["level2B"], "level4A": products["level4A"].where("granule_key <> 'h'")}, plan)
+    assert assembled[0][1:] == (3, {"g", "i"})
+    assert sorted(stored(spark, tmp_path), key=str) == [r for r in wanted() if r[0] != "h"]
+    # neither what is staged nor the lake is shuffled for being written
+    assert [at.rpartition("/")[2] for at, _, _ in calls] == ["new", "lake"] and all(more == (None, False) for _, _, more in calls)
+    arrive(spark, tmp_path, {"level4A": products["level4A"].where("granule_key = 'h'")}, plan)
+    assert sorted(stored(spark, tmp_path), key=str) == wanted()
+
+
+def test_a_crowded_tile_is_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(build, "SPLIT_SHOTS", 2)
+    products, plan = tables(spark)
+    splits = build.tile_splits(build.row_counts(products))
+    assert {r.tile_id: r.splits for r in splits.collect()} == {"N01_E000": 4, "N01_E001": 2}
+    got = build.assemble(products, plan, splits)
+    assert sorted(facts(got), key=str) == wanted()
+    monkeypatch.setattr(build, "MOST_SENT", 1)
+    assert sorted(facts(build.assemble(products, plan, splits)), key=str) == wanted()
