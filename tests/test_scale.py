@@ -65,3 +65,25 @@ def test_short_ways_are_bent(spark):
     assert count > 3000 and most < 2e-7
     beyond = pairs_within(points, SHORT_M + 1e-6)
     assert beyond.count() == count and "ATAN2" in beyond._jdf.queryExecution().optimizedPlan().toString().upper()
+
+
+def test_only_points_in_a_regions_extent_meet_its_edges(spark):
+    """Boxes are compared first, so that a tile that many regions meet doesn't ask the edges of all of them for each point."""
+    from shotlake.operators import spatial
+
+    n = F.col("id")
+    ring = lambda x, y: F.array(*[F.struct((x + F.lit(a)).alias("x"), (y + F.lit(b)).alias("y")) for a, b in ((0.0, 0.0), (0.06, 0.01), (0.03, 0.07), (0.0, 0.0))])
+    regions = spark.range(0, 100).select(n.alias("region_id"), F.array(ring(n % 10 * 0.1 - 0.05, F.floor(n / 10) * 0.1 - 0.05)).alias("rings"))
+    points = spark.range(0, 4000).select(n.alias("p"), (n * 7919 % 3989 / 3989).alias("lon_lowestmode"), (n * 104729 % 3967 / 3967).alias("lat_lowestmode"))
+    found = spatial.within_regions(points, regions)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in text.splitlines() if "Join Inner" in line and "filter(_near" in line]
+    assert len(joins) == 2 and all(line.find("_box#") < line.find("filter(_near") and "_box#" in line for line in joins)
+    got = sorted((r.p, r.region_id) for r in found.select("p", "region_id").collect())
+    want = []
+    for p, x, y in points.collect():
+        for r in range(100):
+            u, v = x - (r % 10 * 0.1 - 0.05), y - (r // 10 * 0.1 - 0.05)
+            if 0.06 * v - 0.01 * u > 0 and -0.03 * (v - 0.01) - 0.06 * (u - 0.06) > 0 and -0.03 * v + 0.07 * u > 0:
+                want.append((p, r))
+    assert len(want) > 500 and got == want
