@@ -12,14 +12,23 @@ from shotlake.operators.build import KEY, whole_rows, with_tile
 BUCKETS = 64
 
 
-def write_product(df: DataFrame, product: str, table: str, path: str | None = None, buckets: int = BUCKETS) -> None:
-    """Store a product's table with its tile_id, bucketed by what products meet by and sorted within buckets, so that row
-    groups hold few tiles. Of rows with one key the greatest is kept, whole ones before others. With a path the table's files
-    lie there, and stay when it is dropped."""
+def one_of_each(df: DataFrame, product: str, buckets: int | None = BUCKETS) -> DataFrame:
+    """A product's rows with their tile_id, dealt to buckets by key: of rows with one key the greatest, whole ones before
+    others. Without buckets rows stay where they are, if those of a key lie together."""
     rows = with_tile(df)
     rest = [c for c in rows.columns if c not in KEY]
-    rows = rows.select(*KEY, F.struct(whole_rows(rows, product).alias("_whole"), *rest).alias("r")).repartition(buckets, *KEY)
-    rows = rows.groupBy(*KEY).agg(F.max("r").alias("r")).select(*KEY, *[F.col(f"r.{c}") for c in rest])
+    rows = rows.select(*KEY, F.struct(whole_rows(rows, product).alias("_whole"), *rest).alias("r"))
+    if buckets:
+        rows = rows.repartition(buckets, *KEY)
+    return rows.groupBy(*KEY).agg(F.max("r").alias("r")).select(*KEY, *[F.col(f"r.{c}") for c in rest])
+
+
+def write_product(df: DataFrame, product: str, table: str, path: str | None = None, buckets: int = BUCKETS, dealt: bool = False) -> None:
+    """Store a product's table with its tile_id, bucketed by what products meet by and sorted within buckets, so that row
+    groups hold few tiles. Of rows with one key the greatest is kept, whole ones before others. With a path the table's files
+    lie there, and stay when it is dropped. dealt: df has tile_id and was dealt by KEY into as many partitions as there are
+    buckets, so that its rows need not move."""
+    rows = one_of_each(df, product, None if dealt else buckets)
     writer = rows.write.mode("overwrite").format("parquet").bucketBy(buckets, *KEY).sortBy(*KEY).option("compression", "zstd")
     (writer.option("path", path) if path else writer).saveAsTable(table)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shotlake.operators import build
 from shotlake.schema import product_schema
-from shotlake.sources.products import read_product, write_product
+from shotlake.sources.products import one_of_each, read_product, write_product
 from shotlake.streaming import intake
 from shotlake.streaming.intake import build_tiles
 
@@ -185,3 +185,18 @@ def test_a_crowded_tile_is_many_tasks(spark, monkeypatch):
     assert sorted(facts(got), key=str) == wanted()
     monkeypatch.setattr(build, "MOST_SENT", 1)
     assert sorted(facts(build.assemble(products, plan, splits)), key=str) == wanted()
+
+
+def test_products_that_are_dealt_by_key_stay_where_they_are(spark):
+    from shotlake import queries
+
+    sf = "/root/testdata/sf0.001"
+    dealt, others = queries.products(spark, sf, dealt=True), queries.products(spark, sf)
+    for p in dealt:
+        got, want = one_of_each(dealt[p], p, None), one_of_each(others[p], p, 4)
+        text = got._jdf.queryExecution().executedPlan().toString()
+        # the orders' exchange, before they become shots
+        assert text.count("Exchange hashpartitioning(tile_id") == text.count("Exchange ") == 1
+        assert sorted(got.columns) == sorted(want.columns)
+        told = lambda df: sorted(map(str, df.select(sorted(got.columns)).collect()))  # noqa: B023, E731
+        assert got.count() > 1000 and told(got) == told(want)
