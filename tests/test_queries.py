@@ -32,3 +32,10 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() == 1
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_assembly_plans_every_granule_of_shots(spark):
+    from shotlake.queries import shots
+
+    made = {r.granule for r in QUERIES["product_assembly"](spark, SF).select("granule").distinct().collect()}
+    assert made == {r.granule_key for r in shots(spark, SF).select("granule_key").distinct().collect()}
