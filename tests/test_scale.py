@@ -87,3 +87,23 @@ def test_only_points_in_a_regions_extent_meet_its_edges(spark):
             if 0.06 * v - 0.01 * u > 0 and -0.03 * (v - 0.01) - 0.06 * (u - 0.06) > 0 and -0.03 * v + 0.07 * u > 0:
                 want.append((p, r))
     assert len(want) > 500 and got == want
+
+
+def test_shots_of_one_place_are_compared_once(spark, monkeypatch):
+    """Places are joined, and only those that are near each other become pairs of their shots."""
+    from shotlake.operators import crossovers
+
+    monkeypatch.setattr(crossovers, "MEMBERS", 3)
+    n = F.col("id")
+    # 40 places some 10 m apart, of one to eight shots; a number that comes again elsewhere, and a place of either zero
+    rows = [(int(r.n), float(r.lat), float(r.lon), float(r.n) / 7) for r in spark.range(0, 180).select(n.alias("n"), (n * n % 40 * 9e-5).alias("lat"), F.lit(1.5).alias("lon")).collect()]
+    rows += [(7, 9e-5, 1.5, 1.0), (900, 0.0, 1.5, 900 / 7), (901, -0.0, 1.5, 901 / 7)]
+    points = spark.createDataFrame(rows, "shot_number long, lat_lowestmode double, lon_lowestmode double, v double")
+    found = crossovers.pairs_within(points, 40.0, ["v"], digits=1)
+    text = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= text.find("Generate explode(q_shots") < text.find("Join Inner")
+    metre = 110574.3  # of latitude at the equator, a degree
+    want = sorted((a[0], b[0], a[1], b[1], a[3], b[3]) for a in rows for b in rows if a[0] < b[0] and abs(a[1] - b[1]) * metre <= 40)
+    got = found.collect()
+    assert len(want) > 1000 and sorted((r.t1_shot_number, r.t2_shot_number, r.t1_lat_lowestmode, r.t2_lat_lowestmode, r.t1_v, r.t2_v) for r in got) == want
+    assert all(abs(r.distance_m - abs(r.t1_lat_lowestmode - r.t2_lat_lowestmode) * metre) < 0.06 for r in got)
