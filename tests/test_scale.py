@@ -107,3 +107,22 @@ def test_shots_of_one_place_are_compared_once(spark, monkeypatch):
     got = found.collect()
     assert len(want) > 1000 and sorted((r.t1_shot_number, r.t2_shot_number, r.t1_lat_lowestmode, r.t2_lat_lowestmode, r.t1_v, r.t2_v) for r in got) == want
     assert all(abs(r.distance_m - abs(r.t1_lat_lowestmode - r.t2_lat_lowestmode) * metre) < 0.06 for r in got)
+
+
+@pytest.mark.parametrize("most", [16_384, 5])
+def test_pairs_are_counted_without_being_made(spark, monkeypatch, most):
+    """Against the pairs: crowded places, cubes in parts, both sides of a cube's edge, a number that comes twice."""
+    from shotlake.operators import crossovers
+
+    monkeypatch.setattr(crossovers, "MEMBERS", 4)
+    monkeypatch.setattr(crossovers, "MOST_PLACES", most)
+    n = F.col("id")
+    points = spark.range(0, 900).select((n * 7 % 890).alias("shot_number"), (-4.0 + n * 7919 % 23 * 7e-5).alias("lat_lowestmode"), (-63.0 + n * 104729 % 29 * 8e-5).alias("lon_lowestmode"))
+    points = points.unionByName(spark.createDataFrame([(5000, 40.0, 40.0), (5001, None, 1.0)], points.schema))
+    made = []
+    kept = crossovers.pairs_within
+    want = kept(points).groupBy("t1_shot_number").agg(F.count("*").alias("n"), F.max("distance_m").alias("farthest"))
+    want = {tuple(r) for r in want.select("t1_shot_number", "n", "farthest").collect()}
+    monkeypatch.setattr(crossovers, "pairs_within", lambda *a: made.append(a) or kept(*a))
+    got = [tuple(r) for r in crossovers.counts_within(points).select("t1_shot_number", "n", "farthest").collect()]
+    assert not made and len(got) > 500 and len(set(got)) == len(got) and set(got) == want
