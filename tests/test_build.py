@@ -200,3 +200,46 @@ def test_products_that_are_dealt_by_key_stay_where_they_are(spark):
         assert sorted(got.columns) == sorted(want.columns)
         told = lambda df: sorted(map(str, df.select(sorted(got.columns)).collect()))  # noqa: B023, E731
         assert got.count() > 1000 and told(got) == told(want)
+
+
+def test_partitions_without_a_batchs_granules_keep_their_files(spark, tmp_path):
+    """New granules of a tile and year are put beside those that are there; only what is replaced is written anew."""
+    products, plan = tables(spark)
+    of = lambda *g: {p: df.where(F.col("granule_key").isin(*g)) for p, df in products.items()}
+    products["level2A"] = products["level2A"].withColumn("delta_time", F.lit(0.0))
+    files = lambda: {str(f.relative_to(tmp_path / "lake")): f.stat().st_mtime_ns for f in (tmp_path / "lake").rglob("*.parquet")}
+    arrive(spark, tmp_path, of("g"), plan)
+    first = files()
+    arrive(spark, tmp_path, of("i"), plan)
+    second = files()
+    assert first and first.items() < second.items() and {f.rpartition("/")[0] for f in second} == {"tile_id=N01_E000/year=2018"}
+    assert {r[0] for r in stored(spark, tmp_path)} == {"g", "i"} and len(stored(spark, tmp_path)) == 6
+    arrive(spark, tmp_path, of("i"), plan)  # again: now its partition holds it
+    assert not second.keys() & files().keys() and len(stored(spark, tmp_path)) == 6
+
+
+def test_files_that_were_moved_in_part_are_moved_to_the_end(spark, tmp_path, monkeypatch):
+    products, plan = tables(spark)
+    kept, calls = intake.add_files, []
+
+    def broken(session, staged, root, apart=()):
+        calls.append(staged)
+        kept(session, staged, root, {"tile_id=N01_E001/year=__HIVE_DEFAULT_PARTITION__"})
+        raise RuntimeError("broken off")
+
+    with monkeypatch.context() as m:
+        m.setattr(intake, "add_files", broken)
+        with pytest.raises(Exception, match="broken off"):
+            arrive(spark, tmp_path, products, plan)
+    assert {r[0] for r in stored(spark, tmp_path)} == {"g", "i"}
+    arrive(spark, tmp_path, {}, plan)
+    assert calls and sorted(stored(spark, tmp_path), key=str) == wanted()
+
+
+def test_a_profile_is_whole_without_null_or_nan_bins(spark):
+    nan = float("nan")
+    rows = [([1.0, 2.0],), ([],), ([1.0, nan],), ([1.0, None],), ([nan, None],), ([None],), (None,), ([float("inf")],)]
+    df = spark.createDataFrame(rows, "rh array<float>")
+    found = df.select(build.whole(df, ["rh"]).alias("w"))
+    assert [r.w for r in found.collect()] == [True, True, False, False, False, False, False, True]
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
